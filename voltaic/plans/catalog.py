@@ -194,15 +194,17 @@ def q_src4(f: Frames) -> DataFrame:
 
 def q_snk2(f: Frames) -> DataFrame:
     path = scratch_path(f.spark, "append")
-    tables.write_partitioned(tables.with_date_parts(f.solar_bronze), path, ("year", "month"), "append")
-    tables.write_partitioned(tables.with_date_parts(f.wind_bronze), path, ("year", "month"), "append")
+    ym = ("year", "month")
+    tables.write_partitioned(tables.with_date_parts(f.solar_bronze, parts=ym), path, ym, "append")
+    tables.write_partitioned(tables.with_date_parts(f.wind_bronze, parts=ym), path, ym, "append")
     return tables.read_table(f.spark, path, merge_schema=True)
 
 
 def q_snk3(f: Frames) -> DataFrame:
     path = scratch_path(f.spark, "overwrite-parted")
-    tables.write_partitioned(tables.with_date_parts(f.wind_bronze), path, ("year", "month"), "overwrite")
-    tables.write_partitioned(tables.with_date_parts(f.solar_bronze), path, ("year", "month"), "overwrite")
+    ym = ("year", "month")
+    tables.write_partitioned(tables.with_date_parts(f.wind_bronze, parts=ym), path, ym, "overwrite")
+    tables.write_partitioned(tables.with_date_parts(f.solar_bronze, parts=ym), path, ym, "overwrite")
     return tables.read_table(f.spark, path)
 
 
