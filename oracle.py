@@ -521,7 +521,7 @@ def build(final: str, round_doubles: bool = True) -> str:
     body = final
     if round_doubles:
         names = ", ".join(f"'{c}'" for c in DOUBLE_COLUMNS)
-        body = (f"SELECT round(round(COLUMNS(lambda c: c IN ({names})), 9), 6), "
+        body = (f"SELECT round(round(COLUMNS(lambda c: c IN ({names})), 9), 6) + CAST(0.0 AS DOUBLE), "
                 f"COLUMNS(lambda c: c NOT IN ({names})) FROM ({final}) AS q")
     return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
 
