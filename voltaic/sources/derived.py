@@ -45,34 +45,45 @@ def _exact_sum(c: str):
     return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
 
 
-def hour_scaffold(events: DataFrame) -> DataFrame:
+def hourly_event_stats(events: DataFrame) -> DataFrame:
+    """One row per hour that has any event: per resource the exact sum, the
+    count (NULL when the resource has no event in the hour) and the max of
+    ``value``.  One scan and one shuffle serve both resources and the span."""
+    hr = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    aggs = []
+    for res, etype in RESOURCE_EVENT.items():
+        hit = F.col("event_type") == etype
+        aggs += [F.sum(F.when(hit, F.col("value").cast("decimal(18,2)"))).cast("double")
+                 .alias(f"_sum_{res}"),
+                 F.nullif(F.count_if(hit), F.lit(0)).alias(f"_n_{res}"),
+                 F.max(F.when(hit, F.col("value"))).alias(f"_max_{res}")]
+    return events.groupBy(hr.alias("Interval_Start")).agg(*aggs)
+
+
+def hour_scaffold(stats: DataFrame) -> DataFrame:
     """Every hour from the first to the last event hour (bounded by the time
     span, not by the row count)."""
-    hr = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
-    bounds = events.agg(F.min(hr).alias("lo"), F.max(hr).alias("hi"))
+    bounds = stats.agg(F.min("Interval_Start").alias("lo"), F.max("Interval_Start").alias("hi"))
     return bounds.select(
         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("Interval_Start"))
 
 
 def _resource_feed(spark: SparkSession, sf_dir: str, resource: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
-    hourly = (ev.filter(F.col("event_type") == RESOURCE_EVENT[resource])
-              .groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("Interval_Start"))
-              .agg(_exact_sum("value").alias("_sum"), F.count("*").alias("_n"),
-                   F.max("value").alias("_max")))
+    stats = hourly_event_stats(table(spark, sf_dir, "events"))
     fc, pot = (("STPPF_SYSTEM_WIDE", "PVGRPP_SYSTEM_WIDE") if resource == "solar"
                else ("STWPF_SYSTEM_WIDE", "WGRPP_SYSTEM_WIDE"))
     start = F.col("Interval_Start")
-    return (hour_scaffold(ev).join(hourly, "Interval_Start", "left")
+    n, mx = F.col(f"_n_{resource}"), F.col(f"_max_{resource}")
+    return (hour_scaffold(stats).join(stats, "Interval_Start", "left")
             .select(
                 start.alias("Interval_Start"),
                 (start + F.expr("INTERVAL 1 HOUR")).alias("Interval_End"),
                 (start - F.expr("INTERVAL 1 DAY")).alias("Publish_Time"),
-                F.col("_sum").alias("GEN_SYSTEM_WIDE"),
-                (F.col("_max") * F.col("_n")).alias("HSL_SYSTEM_WIDE"),
-                (F.lit(FORECAST_PER_EVENT) * F.col("_n")).alias(fc),
-                (F.lit(POTENTIAL_PER_EVENT) * F.col("_n")).alias(pot),
-                (F.col("_max") * F.col("_n")).alias("COP_HSL_SYSTEM_WIDE")))
+                F.col(f"_sum_{resource}").alias("GEN_SYSTEM_WIDE"),
+                (mx * n).alias("HSL_SYSTEM_WIDE"),
+                (F.lit(FORECAST_PER_EVENT) * n).alias(fc),
+                (F.lit(POTENTIAL_PER_EVENT) * n).alias(pot),
+                (mx * n).alias("COP_HSL_SYSTEM_WIDE")))
 
 
 def solar_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
