@@ -63,3 +63,20 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, run-unique path under the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               max_partitions: int = 100_000) -> dict:
+    """Shuffle sizing for a cluster run: enough initial shuffle partitions that
+    each holds about ``target_partition_bytes`` of the input (AQE coalesces the
+    small ones and splits skewed join partitions at run time), and scan splits
+    of 256 MB.  Apply with ``get_session(extra=scale_conf(n))``."""
+    parts = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
