@@ -1,7 +1,7 @@
 """Column expressions (JVM-side, codegen-friendly); no Python UDFs."""
 
 from voltaic.functions.calendar import (  # noqa: F401
-    day_name, hour_of_day, is_peak_hour, is_weekend, with_calendar,
+    calendar_columns, day_name, hour_of_day, is_peak_hour, is_weekend, with_calendar,
 )
 from voltaic.functions.measures import (  # noqa: F401
     curtailment, forecast_error, forecast_error_pct, pct_of, safe_div,

@@ -38,11 +38,10 @@ def is_peak_hour(ts, start: int = PEAK_START_HOUR, end: int = PEAK_END_HOUR) ->
     return (h >= start) & (h < end)
 
 
-def with_calendar(df: DataFrame, time_col: str, end_col: str | None = None, *,
-                  peak: bool = False, delivery_date: bool = False,
-                  parts: tuple[str, ...] = ()) -> DataFrame:
-    """Add hour/day-name/weekend (and optionally peak flag, delivery date,
-    hour ending and partition parts) in a single projection."""
+def calendar_columns(time_col: str, end_col: str | None = None, *, peak: bool = False,
+                     delivery_date: bool = False, parts: tuple[str, ...] = ()) -> dict[str, Column]:
+    """Hour/day-name/weekend (and optionally peak flag, delivery date, hour
+    ending and partition parts) as named expressions."""
     ts = F.col(time_col)
     cols: dict[str, Column] = {}
     if delivery_date:
@@ -57,4 +56,12 @@ def with_calendar(df: DataFrame, time_col: str, end_col: str | None = None, *,
         cols["is_peak_hour"] = is_peak_hour(ts)
     for p in parts:
         cols[p] = {"year": F.year, "month": F.month, "day": F.dayofmonth}[p](ts)
-    return df.withColumns(cols)
+    return cols
+
+
+def with_calendar(df: DataFrame, time_col: str, end_col: str | None = None, *,
+                  peak: bool = False, delivery_date: bool = False,
+                  parts: tuple[str, ...] = ()) -> DataFrame:
+    """``calendar_columns`` added in a single projection."""
+    return df.withColumns(calendar_columns(time_col, end_col, peak=peak,
+                                           delivery_date=delivery_date, parts=parts))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.functions.calendar import with_calendar
+from voltaic.functions.calendar import calendar_columns
 from voltaic.functions.classify import classify_point
 from voltaic.functions.measures import curtailment, forecast_error, forecast_error_pct
 from voltaic.operators import metrics, reshape
@@ -19,25 +19,29 @@ from voltaic.sources.registry import DAM, SOLAR, SOLAR_REGIONAL, WIND, Source
 RESOURCE_FORECAST = {"solar": "stppf", "wind": "stwpf"}
 
 
+def lineage_columns(source_table: str) -> dict:
+    return {"_transformed_at": F.current_timestamp(), "_source_table": F.lit(source_table)}
+
+
 def stamp_transform(df: DataFrame, source_table: str) -> DataFrame:
-    return df.withColumns({"_transformed_at": F.current_timestamp(),
-                           "_source_table": F.lit(source_table)})
+    return df.withColumns(lineage_columns(source_table))
 
 
 def transform_hourly(bronze: DataFrame, source: Source, forecast: str) -> DataFrame:
     """PIP-1 / PIP-2: canonical names, calendar, error vs ``<forecast>``,
-    curtailment estimate, lineage and partition columns."""
+    curtailment estimate, lineage and partition columns (one projection)."""
     df = rename(bronze, source.rename, source.required)
     fc = f"{forecast}_forecast_mw"
-    df = with_calendar(df, "interval_start")
-    df = df.withColumns({
+    cols = calendar_columns("interval_start")
+    cols.update({
         f"{forecast}_error_mw": forecast_error("actual_mw", fc),
         f"{forecast}_error_pct": forecast_error_pct("actual_mw", fc),
         "estimated_curtailment_mw": curtailment("actual_mw", "hsl_mw"),
     })
-    df = stamp_transform(df, source.name)
-    return df.withColumns({"year": F.year("interval_start"), "month": F.month("interval_start"),
-                           "day": F.dayofmonth("interval_start")})
+    cols.update(lineage_columns(source.name))
+    cols.update({"year": F.year("interval_start"), "month": F.month("interval_start"),
+                 "day": F.dayofmonth("interval_start")})
+    return df.withColumns(cols)
 
 
 def transform_solar_hourly(bronze: DataFrame) -> DataFrame:
@@ -74,22 +78,22 @@ def transform_regional(bronze_wide: DataFrame, source: Source = SOLAR_REGIONAL,
     (interval, region) with a column per metric, calendar and partitions."""
     df = rename(sanitize_columns(bronze_wide), source.rename)
     long = reshape.unpivot_regions(df, ["interval_start", "interval_end"], metrics_)
-    long = long.withColumns({"hour_of_day": F.hour("interval_start"),
-                             "year": F.year("interval_start"),
-                             "month": F.month("interval_start"),
-                             "day": F.dayofmonth("interval_start")})
-    return stamp_transform(long, source.name)
+    cols = {"hour_of_day": F.hour("interval_start"), "year": F.year("interval_start"),
+            "month": F.month("interval_start"), "day": F.dayofmonth("interval_start")}
+    cols.update(lineage_columns(source.name))
+    return long.withColumns(cols)
 
 
 def transform_lmp_dam(bronze: DataFrame) -> DataFrame:
     """PIP-5: canonical names, delivery date, hour ending, calendar, peak flag,
-    point class, lineage and partitions."""
+    point class, lineage and partitions (one projection)."""
     df = rename(bronze, DAM.rename, DAM.required)
-    df = with_calendar(df, "interval_start", "interval_end", peak=True, delivery_date=True)
-    df = df.withColumn("point_type", classify_point("settlement_point"))
-    df = stamp_transform(df, DAM.name)
-    return df.withColumns({"year": F.year("interval_start"), "month": F.month("interval_start"),
-                           "day": F.dayofmonth("interval_start")})
+    cols = calendar_columns("interval_start", "interval_end", peak=True, delivery_date=True)
+    cols["point_type"] = classify_point("settlement_point")
+    cols.update(lineage_columns(DAM.name))
+    cols.update({"year": F.year("interval_start"), "month": F.month("interval_start"),
+                 "day": F.dayofmonth("interval_start")})
+    return df.withColumns(cols)
 
 
 def lmp_hub_daily_summary(lmp: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaic.sources.registry import DAM, SOLAR, WIND
+from voltaic.sources.registry import DAM
 
 # Event type feeding each resource, price point names (picked by
 # user_id modulo their count), and the constants of the derived measures.
@@ -37,8 +37,26 @@ DAM_MARKET = "DAM"
 DAM_LOCATION_TYPE = "SP"
 
 
+_READ_CACHE: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's (read-only) table ``name``.  The DataFrame is kept per
+    session and path, so its file listing and footer schema are read once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId if _has_context(spark) else None, path)
+    df = _READ_CACHE.get(key)
+    if df is None:
+        df = _READ_CACHE[key] = spark.read.parquet(path)
+    return df
+
+
+def _has_context(spark: SparkSession) -> bool:
+    try:
+        spark.sparkContext  # noqa: B018
+        return True
+    except Exception:  # noqa: BLE001 - Connect sessions have none
+        return False
 
 
 def _exact_sum(c: str):
@@ -69,6 +87,7 @@ def hour_scaffold(stats: DataFrame) -> DataFrame:
 
 
 def _resource_feed(spark: SparkSession, sf_dir: str, resource: str) -> DataFrame:
+    """The landed hourly feed of one resource, columns in declared order."""
     stats = hourly_event_stats(table(spark, sf_dir, "events"))
     fc, pot = (("STPPF_SYSTEM_WIDE", "PVGRPP_SYSTEM_WIDE") if resource == "solar"
                else ("STWPF_SYSTEM_WIDE", "WGRPP_SYSTEM_WIDE"))
@@ -87,11 +106,11 @@ def _resource_feed(spark: SparkSession, sf_dir: str, resource: str) -> DataFrame
 
 
 def solar_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _resource_feed(spark, sf_dir, "solar").select(*SOLAR.schema.fieldNames())
+    return _resource_feed(spark, sf_dir, "solar")
 
 
 def wind_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _resource_feed(spark, sf_dir, "wind").select(*WIND.schema.fieldNames())
+    return _resource_feed(spark, sf_dir, "wind")
 
 
 def dam_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
