@@ -8,8 +8,8 @@ one task.  ``lag_roll`` computes the same values in blocks instead:
    rows in all earlier buckets (a running sum over the small per-bucket count
    table);
 2. rows are cut into blocks of ``block_rows`` positions; the last ``halo``
-   rows of each block are copied into the next block, where they serve only
-   as history;
+   rows of each block are also emitted into the next block (``explode``), where
+   they serve only as history;
 3. the window runs per block (``partitionBy(by…, block)``), and the copies are
    dropped again.
 
@@ -71,14 +71,16 @@ def lag_roll(df: DataFrame, order: list[str], value: str, *,
         raise ValueError(f"block_rows ({block_rows}) must be >= the longest reach ({halo})")
 
     indexed = position_index(df, order, by, bucket)
-    blk = F.floor(F.col("_rn") / block_rows)
-    own = indexed.withColumns({"_blk": blk, "_halo": F.lit(False)})
-    copies = (indexed.filter(F.col("_rn") % block_rows >= block_rows - halo)
-              .withColumns({"_blk": blk + 1, "_halo": F.lit(True)}))
+    own = F.floor(F.col("_rn") / block_rows)
+    # a row in the last `halo` positions of its block is also sent to the next
+    # block (one generator, so the input is read once, not once per copy)
+    in_halo = F.col("_rn") % block_rows >= block_rows - halo
+    staged = indexed.withColumn("_own", own).withColumn(
+        "_blk", F.explode(F.when(in_halo, F.array(own, own + 1)).otherwise(F.array(own))))
     w = Window.partitionBy(*by, "_blk").orderBy("_rn")
     v = F.col(value)
     cols = {n: F.lag(v, k).over(w) for n, k in lags.items()}
     cols.update({n: _FUNCS[fn](v).over(w.rowsBetween(lo, hi))
                  for n, (fn, lo, hi) in frames.items()})
-    return (own.unionByName(copies).withColumns(cols)
-            .filter(~F.col("_halo")).drop("_rn", "_blk", "_halo"))
+    return (staged.withColumns(cols)
+            .filter(F.col("_blk") == F.col("_own")).drop("_rn", "_blk", "_own"))
