@@ -168,3 +168,24 @@ def test_calendar_and_peak_flags(spark):
     got = silver.transform_lmp_dam(df).orderBy("interval_start").collect()
     assert [(r.day_of_week, r.is_weekend, r.is_peak_hour, r.hour_ending) for r in got] == [
         ("Saturday", True, False, 7), ("Monday", False, True, 22), ("Monday", False, False, 0)]
+
+
+def test_hot_key_dedupe_keeps_newest_with_total_order(spark):
+    # one key holds a third of the rows, all with the same ingest time (one batch)
+    t = _ts("2024-01-01 00:00:00")
+    rows = [(0, float(i), t) for i in range(300)] + [(k, 1.0, t) for k in range(1, 601)]
+    df = spark.createDataFrame(rows, "k LONG, v DOUBLE, _ingested_at TIMESTAMP_NTZ").repartition(7)
+    out = merge.dedupe_latest(df, ["k"]).collect()
+    assert len(out) == 601
+    assert {r.k: r.v for r in out}[0] == 299.0     # tie on the ingest time -> greatest remaining column
+
+
+def test_skill_score_against_persistence(spark):
+    rows = [(_ts("2024-01-01 00:00:00") + dt.timedelta(hours=h), 100.0 + h, 100.0 + h + 1.0, 100.0 + h - 2.0)
+            for h in range(24)]
+    df = spark.createDataFrame(rows, "interval_start TIMESTAMP_NTZ, actual_mw DOUBLE, "
+                                     "forecast DOUBLE, persist DOUBLE")
+    r = metrics.skill_score(df, actual="actual_mw", forecast="forecast", floor=10.0,
+                            persistence="persist").first()
+    assert r.mse_forecast == pytest.approx(1.0) and r.mse_persistence == pytest.approx(4.0)
+    assert r.skill_score == pytest.approx(0.75)

@@ -79,3 +79,19 @@ def test_read_feed_range_prunes_partitions(spark, scratch):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "year" in plan
     assert "GreaterThanOrEqual(Interval_Start" in plan or "Interval_Start >=" in plan
+
+
+def test_dedupe_source_table_preset(spark, scratch):
+    from voltaic.sources.registry import DAM
+    path = scratch("dam")
+    s = ("Interval_Start TIMESTAMP_NTZ, Interval_End TIMESTAMP_NTZ, Location STRING, "
+         "Location_Type STRING, Market STRING, LMP DOUBLE, _ingested_at TIMESTAMP_NTZ")
+    t = dt.datetime(2024, 5, 1)
+    rows = [(t, t, "HB_A", "SP", "DAM", 1.0, t), (t, t, "HB_A", "SP", "DAM", 2.0, t + dt.timedelta(1)),
+            (t, t, "HB_B", "SP", "DAM", 3.0, t)]
+    df = tables.with_date_parts(spark.createDataFrame(rows, s), parts=DAM.partitions)
+    tables.write_partitioned(df, path, DAM.partitions, "overwrite")
+    out = tables.dedupe_source_table(spark, path, DAM)
+    assert out["removed"] == 1
+    got = {r.Location: r.LMP for r in tables.read_table(spark, path).collect()}
+    assert got == {"HB_A": 2.0, "HB_B": 3.0}

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from voltaic.operators.merge import dedupe_latest, upsert
 from voltaic.session import scratch_path
+from voltaic.sources.registry import Source
 
 _PART_FUNCS = {"year": F.year, "month": F.month, "day": F.dayofmonth}
 
@@ -131,3 +132,9 @@ def dedupe_table(spark: SparkSession, path: str, keys: list[str], *,
         staged = _stage(spark, dedupe_latest(df, keys, list(order_by)), parts, "dedupe")
         write_partitioned(staged, path, parts, "overwrite")
     return out
+
+
+def dedupe_source_table(spark: SparkSession, path: str, source: Source) -> dict:
+    """``dedupe_table`` with the feed's own business keys and partitions from
+    the registry (e.g. ``dedupe_source_table(spark, path, DAM)``)."""
+    return dedupe_table(spark, path, list(source.keys), parts=source.partitions)
