@@ -59,6 +59,14 @@ def _has_context(spark: SparkSession) -> bool:
         return False
 
 
+def hour_start(ts: str = "ts"):
+    """The wall-clock hour of a ``timestamp_ntz`` built from its fields, so the
+    session time zone (and its clock changes) plays no part."""
+    c = F.col(ts)
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c),
+                                F.lit(0), F.lit(0))
+
+
 def _exact_sum(c: str):
     return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
 
@@ -67,7 +75,7 @@ def hourly_event_stats(events: DataFrame) -> DataFrame:
     """One row per hour that has any event: per resource the exact sum, the
     count (NULL when the resource has no event in the hour) and the max of
     ``value``.  One scan and one shuffle serve both resources and the span."""
-    hr = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    hr = hour_start("ts")
     aggs = []
     for res, etype in RESOURCE_EVENT.items():
         hit = F.col("event_type") == etype
@@ -117,7 +125,7 @@ def dam_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     names = F.array(*[F.lit(n) for n in POINT_NAMES])
     point = F.element_at(names, (F.pmod(F.col("user_id"), F.lit(len(POINT_NAMES))) + 1).cast("int"))
-    hr = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    hr = hour_start("ts")
     return (ev.groupBy(hr.alias("Interval_Start"), point.alias("Location"))
             .agg(_exact_sum("value").alias("_sum"), F.count("*").alias("_n"))
             .select(
