@@ -18,7 +18,8 @@ def test_build_silver_and_gold(spark, scratch):
     f = Frames(spark, SF)
     bronze = {SOLAR.name: f.solar_bronze, WIND.name: f.wind_bronze,
               DAM.name: f.dam_bronze, SOLAR_REGIONAL.name: f.regional_bronze}
-    s_root, g_root = scratch("silver"), scratch("gold")
+    # URIs, as on a cluster (shared storage), not bare local folder names
+    s_root, g_root = "file://" + scratch("silver"), "file://" + scratch("gold")
     silver = layers.build_silver(spark, bronze, s_root)
     assert set(silver) == set(layers.SILVER_TABLES) - {"wind_hourly_regional"}
     gold = layers.build_gold(spark, s_root, g_root)

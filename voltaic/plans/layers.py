@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from voltaic.plans import gold, silver
 from voltaic.sources.registry import DAM, SOLAR, SOLAR_REGIONAL, WIND, WIND_REGIONAL
-from voltaic.sources.tables import read_table, write_partitioned
+from voltaic.sources.tables import read_table, table_exists, write_partitioned
 
 YM = ("year", "month")
 
@@ -92,9 +92,15 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -
 
 def build_gold(spark: SparkSession, silver_root: str, root: str) -> dict[str, str]:
     """Gold tables from the stored silver tables (steps whose inputs are
-    missing are skipped; errors inside a step are raised)."""
+    missing are skipped; errors inside a step are raised).  Presence is
+    checked through Spark's file system layer, so ``silver_root`` may be any
+    shared-storage URI, not only a local folder."""
+    present: dict[str, bool] = {}
+
     def has(name):
-        return os.path.isdir(os.path.join(silver_root, name))
+        if name not in present:
+            present[name] = table_exists(spark, os.path.join(silver_root, name))
+        return present[name]
 
     def load(name):
         return read_table(spark, os.path.join(silver_root, name))
