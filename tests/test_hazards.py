@@ -1,0 +1,117 @@
+"""Hand-computed cases for the remaining hazards of the source pipeline
+(README, "Decisions"): rows whose partition moves on upsert (H-18), full loads
+(H-19), the combined forecast column (H-4), the high-water mark of a
+``Time``-keyed feed (H-13), regional duplicates (H-15) and zone-free calendar
+columns (H-12)."""
+
+import datetime as dt
+import glob
+import os
+
+from pyspark.sql import functions as F
+
+from voltaic.operators import quality
+from voltaic.plans import silver
+from voltaic.sources import landing, tables
+from voltaic.sources.registry import FUEL_MIX, SOLAR
+
+
+def _ts(s):
+    return dt.datetime.fromisoformat(s)
+
+
+def test_upsert_moves_a_row_to_its_new_partition(spark, scratch):
+    # H-18: the key (k) does not contain the time column, so a new version of
+    # a key can land in another month; the old copy must not survive
+    s = "k LONG, ts TIMESTAMP_NTZ, v DOUBLE, _ingested_at TIMESTAMP_NTZ"
+    path = scratch("moved")
+    t0 = _ts("2024-03-01 00:00:00")
+    first = spark.createDataFrame([(1, _ts("2024-01-15 10:00:00"), 1.0, t0),
+                                   (2, _ts("2024-02-10 10:00:00"), 2.0, t0)], s)
+    tables.upsert_table(spark, path, first, ["k"], time_col="ts")
+    batch = spark.createDataFrame([(1, _ts("2024-02-20 10:00:00"), 10.0,
+                                    t0 + dt.timedelta(days=1))], s)
+    out = tables.upsert_table(spark, path, batch, ["k"], time_col="ts")
+    assert out["partitions"] == 2                         # February and the old January
+    got = sorted((r.k, r.month, r.v) for r in tables.read_table(spark, path).collect())
+    assert got == [(1, 2, 10.0), (2, 2, 2.0)]
+    assert not glob.glob(os.path.join(path, "year=2024", "month=1", "*.parquet"))
+
+
+def test_full_load_replaces_incremental_load_merges(spark, scratch):
+    # H-19: "full" overwrites (it does not append or merge)
+    s = ("Interval_Start TIMESTAMP_NTZ, GEN_SYSTEM_WIDE DOUBLE, STPPF_SYSTEM_WIDE DOUBLE, "
+         "_ingested_at TIMESTAMP_NTZ")
+    path = scratch("bronze")
+    day = _ts("2024-01-01 00:00:00")
+    t0 = _ts("2024-02-01 00:00:00")
+    rows = [(day + dt.timedelta(hours=h), float(h), 1.0, t0) for h in range(4)]
+    # the same key twice in one full batch: the newest copy wins
+    rows.append((day, 100.0, 1.0, t0 + dt.timedelta(hours=1)))
+    assert tables.load_bronze(spark, path, spark.createDataFrame(rows, s), SOLAR,
+                              load_type="full")["action"] == "overwrite"
+    back = {r.Interval_Start: r.GEN_SYSTEM_WIDE for r in tables.read_table(spark, path).collect()}
+    assert len(back) == 4 and back[day] == 100.0
+    inc = spark.createDataFrame([(day + dt.timedelta(hours=3), 30.0, 1.0, t0 + dt.timedelta(days=1)),
+                                 (day + dt.timedelta(hours=4), 40.0, 1.0, t0 + dt.timedelta(days=1))], s)
+    assert tables.load_bronze(spark, path, inc, SOLAR)["action"] == "merge"
+    assert tables.read_table(spark, path).count() == 5
+    again = spark.createDataFrame([(day, 7.0, 1.0, t0 + dt.timedelta(days=2))], s)
+    tables.load_bronze(spark, path, again, SOLAR, load_type="full")
+    assert [(r.Interval_Start, r.GEN_SYSTEM_WIDE) for r in tables.read_table(spark, path).collect()] \
+        == [(day, 7.0)]
+
+
+def test_combined_view_carries_each_resources_forecast(spark):
+    # H-4: forecast_mw is the resource's own forecast, not a copy of the actual
+    def hourly(fc_name, actual, forecast):
+        df = spark.createDataFrame([(_ts("2024-01-01 10:00:00"), _ts("2024-01-01 11:00:00"),
+                                     actual, forecast, actual + 5.0)],
+                                   f"Interval_Start TIMESTAMP_NTZ, Interval_End TIMESTAMP_NTZ, "
+                                   f"GEN_SYSTEM_WIDE DOUBLE, {fc_name} DOUBLE, HSL_SYSTEM_WIDE DOUBLE")
+        return df
+    by_tag = {"solar": silver.transform_solar_hourly(hourly("STPPF_SYSTEM_WIDE", 10.0, 12.0)),
+              "wind": silver.transform_wind_hourly(hourly("STWPF_SYSTEM_WIDE", 20.0, 25.0))}
+    got = {r.resource_type: (r.actual_mw, r.forecast_mw)
+           for r in silver.combined_resources(by_tag).collect()}
+    assert got == {"solar": (10.0, 12.0), "wind": (20.0, 25.0)}
+
+
+def test_high_water_mark_uses_the_feeds_time_column(spark):
+    # H-13: a Time-keyed feed has a high-water mark too (not the default start)
+    df = spark.createDataFrame([(_ts("2024-12-01 05:00:00"),), (_ts("2024-12-03 23:55:00"),)],
+                               "Time TIMESTAMP_NTZ")
+    hwm = landing.high_water_mark(df, FUEL_MIX.time_col)
+    assert hwm == dt.date(2024, 12, 3)
+    assert landing.load_range(hwm, today=dt.date(2024, 12, 4)) == ("2024-11-26", "2024-12-04")
+    assert landing.high_water_mark(df.limit(0), FUEL_MIX.time_col) is None
+
+
+def test_regional_duplicates_by_full_key(spark):
+    # H-15: long regional data repeats each interval once per region; that is
+    # the per-interval metric, not a duplicated business key
+    t = _ts("2024-01-01 00:00:00")
+    df = spark.createDataFrame([(t, "WEST", 1.0), (t, "NORTH", 2.0),
+                                (t + dt.timedelta(hours=1), "WEST", 3.0),
+                                (t + dt.timedelta(hours=1), "WEST", 4.0)],
+                               "Interval_Start TIMESTAMP_NTZ, region STRING, v DOUBLE")
+    rep = quality.quality_report(df, "regional").first()
+    assert rep.duplicate_intervals == 2 and rep.row_count == 4
+    dup = quality.duplicate_keys(df, ["Interval_Start", "region"]).collect()
+    assert [(r.region, r.duplicate_count) for r in dup] == [("WEST", 2)]
+
+
+def test_calendar_columns_do_not_shift_with_the_session_zone(spark):
+    # H-12: landing timestamps are zone-free; a different session zone must
+    # not move hours or days
+    df = spark.createDataFrame([(_ts("2024-03-10 02:30:00"), _ts("2024-03-10 03:30:00"))],
+                               "Interval_Start TIMESTAMP_NTZ, Interval_End TIMESTAMP_NTZ")
+    df = df.withColumns({"Location": F.lit("HB_X"), "Location_Type": F.lit("SP"),
+                         "Market": F.lit("DAM"), "LMP": F.lit(1.0)})
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+        r = silver.transform_lmp_dam(df).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert (r.hour_of_day, r.hour_ending, str(r.delivery_date), r.day) == (2, 3, "2024-03-10", 10)

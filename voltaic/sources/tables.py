@@ -10,6 +10,7 @@ is first written to a staging directory under the shared checkpoint folder
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from voltaic.operators.merge import dedupe_latest, upsert
 from voltaic.session import scratch_path
+from voltaic.sources.landing import LOAD_TYPES
 from voltaic.sources.registry import Source
 
 _PART_FUNCS = {"year": F.year, "month": F.month, "day": F.dayofmonth}
@@ -89,23 +91,75 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
         write_partitioned(dedupe_latest(batch, keys, order_by), path, parts, "overwrite")
         return {"action": "create", "path": path}
     # the batch's partitions: one small aggregate (bounded by the number of months)
-    touched = [tuple(r) for r in batch.select(*parts).distinct().collect()]
-    target = read_table(spark, path, merge_schema=True)
-    cond = None
-    for values in touched:
-        c = None
-        for p, v in zip(parts, values):
-            term = F.col(p).eqNullSafe(F.lit(v))
-            c = term if c is None else c & term
-        cond = c if cond is None else cond | c
-    target = target.filter(cond) if cond is not None else target
+    touched = {tuple(r) for r in batch.select(*parts).distinct().collect()}
+    stored = read_table(spark, path, merge_schema=True)
+    if parts and time_col not in keys:
+        # the partition is not a function of the key: an older version of a
+        # batch key may sit in a partition the batch does not touch, so those
+        # partitions are merged too (a key-only semi join; bounded result)
+        bkeys = batch.select(*[F.col(k).alias(f"_b_{k}") for k in keys])
+        on = functools.reduce(lambda a, b: a & b,
+                              [stored[k].eqNullSafe(bkeys[f"_b_{k}"]) for k in keys])
+        touched |= {tuple(r) for r in
+                    stored.join(bkeys, on, "left_semi").select(*parts).distinct().collect()}
+    target = stored.filter(_partition_filter(parts, touched)) if parts else stored
     merged = upsert(target.drop(*parts), batch.drop(*parts), keys, list(order_by))
     merged = with_date_parts(merged, time_col, parts)   # partitions always from the time column
     staged = _stage(spark, merged, parts, "upsert")
     write_partitioned(staged, path, parts, "replace_partitions")
+    if parts:
+        # dynamic overwrite leaves a partition alone when the merge emptied it
+        # (all its rows moved to another partition): drop those explicitly
+        kept = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+        _drop_partitions(spark, path, parts, touched - kept)
     return {"action": "merge", "path": path, "partitions": len(touched)}
 
 
+def _partition_filter(parts, values):
+    cond = F.lit(False)
+    for vals in values:
+        cond = cond | functools.reduce(
+            lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(v)) for p, v in zip(parts, vals)])
+    return cond
+
+
+def _drop_partitions(spark: SparkSession, path: str, parts, values) -> None:
+    """Delete partition directories through Hadoop's file system layer (works
+    for any shared-storage URI)."""
+    if not values:
+        return
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for vals in values:
+        sub = "/".join(f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"
+                       for p, v in zip(parts, vals))
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, sub), True)
+
+
+def load_bronze(spark: SparkSession, path: str, batch: DataFrame, source: Source, *,
+                load_type: str = "incremental", on_missing_key: str = "error") -> dict:
+    """Write a landed batch of ``source`` into its bronze table.
+
+    ``full`` replaces the whole table with the batch (deduplicated by the
+    business key, newest ``_ingested_at`` wins); ``incremental`` and
+    ``date_range`` merge the batch by the key (``upsert_table``), which makes
+    a re-read of the last days idempotent.
+    """
+    if load_type not in LOAD_TYPES:
+        raise ValueError(f"load_type must be one of {LOAD_TYPES}")
+    parts, keys = tuple(source.partitions), list(source.keys)
+    if load_type == "full":
+        missing = [k for k in keys if k not in batch.columns]
+        if missing:
+            raise ValueError(f"merge keys {missing} not in batch columns {batch.columns}")
+        out = with_date_parts(dedupe_latest(batch, keys), source.time_col, parts)
+        write_partitioned(out, path, parts, "overwrite")
+        return {"action": "overwrite", "path": path}
+    return upsert_table(spark, path, batch, keys, time_col=source.time_col, parts=parts,
+                        on_missing_key=on_missing_key)
+
+
 def backup(spark: SparkSession, src: str, dst: str | None = None, parts=()) -> str:
     """Copy the table at ``src`` to ``dst`` (default: a run-stamped path next
     to the shared checkpoint folder).  Restore = ``backup(spark, dst, src)``."""
