@@ -3,9 +3,13 @@ price statistics and price-versus-generation.
 
 All are single ``groupBy().agg()`` passes (partial aggregation on the map side,
 one shuffle on the group key).  Exact percentiles use one ``percentile(col,
-array)`` aggregate per group (one buffer for all quantiles); ``exact=False``
-swaps in the bounded-memory ``percentile_approx`` sketch for groups that are
-too large to hold their distinct values.
+array)`` aggregate per group (one buffer for all quantiles).  That buffer holds
+a group's distinct values in one task, which is fine for the pipeline's groups
+(a point-day has 24 hourly prices, a point-hour one price per day, so both are
+bounded by the time span, not by the table size).  For groups without such a
+bound, ``exact="distributed"`` computes the same values with
+``quantiles.exact_quantiles`` (range-partitioned ranks; no group in one task),
+and ``exact=False`` uses the bounded-memory ``percentile_approx`` sketch.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltaic.functions.measures import pct_of
+from voltaic.operators.quantiles import with_exact_quantiles
 
 
 def _col(c) -> Column:
@@ -185,15 +190,19 @@ def price_stats(df: DataFrame, by: list, *, price: str = "lmp_price",
                 name_style: str = "suffix") -> DataFrame:
     """avg/min/max, quantiles, stddev, max−min and count of ``price`` per group.
 
+    ``exact``: True = ``percentile``, ``"distributed"`` = the same values
+    without holding a group in one task, False = ``percentile_approx``.
     ``name_style='suffix'`` names columns ``avg_price``/``p25_price``,
     ``'lmp'`` names them ``avg_lmp``/``median_lmp``.  With ``peak_flag`` the
     peak and off-peak averages and their spread are added.
     """
     p = F.col(price)
-    qf = (F.percentile(p, list(quantiles)) if exact
-          else F.percentile_approx(p, list(quantiles)))
+    distributed = exact == "distributed"
     aggs = [F.avg(p).alias(f"avg_{suffix}"), F.min(p).alias(f"min_{suffix}"),
-            F.max(p).alias(f"max_{suffix}"), qf.alias("_q")]
+            F.max(p).alias(f"max_{suffix}")]
+    if not distributed:
+        aggs.append((F.percentile(p, list(quantiles)) if exact
+                     else F.percentile_approx(p, list(quantiles))).alias("_q"))
     if stddev:
         aggs.append(F.stddev_samp(p).alias(f"stddev_{suffix}"))
     if range_name:
@@ -204,8 +213,11 @@ def price_stats(df: DataFrame, by: list, *, price: str = "lmp_price",
         aggs += [F.avg(F.when(flag, p)).alias(f"avg_peak_{suffix}"),
                  F.avg(F.when(~flag, p)).alias(f"avg_offpeak_{suffix}")]
     out = df.groupBy(*by).agg(*aggs)
-    qcols = {f"{_qname(q)}_{suffix}": F.col("_q")[i] for i, q in enumerate(quantiles)}
-    out = out.withColumns(qcols).drop("_q")
+    qnames = [f"{_qname(q)}_{suffix}" for q in quantiles]
+    if distributed:
+        out = with_exact_quantiles(out, df, list(by), price, quantiles, qnames)
+    else:
+        out = out.withColumns({n: F.col("_q")[i] for i, n in enumerate(qnames)}).drop("_q")
     if peak_flag:
         out = out.withColumn("peak_offpeak_spread",
                              F.col(f"avg_peak_{suffix}") - F.col(f"avg_offpeak_{suffix}"))
