@@ -50,21 +50,25 @@ def test_dedupe_unique_keys_and_newest(spark, rows):
     assert {(r.a, r.b): ((r._ingested_at - BASE).days, r.v) for r in out} == newest
 
 
+@pytest.mark.parametrize("method", ["bucket", "range"])
 @pytest.mark.parametrize("block_rows", [24, 50, 1000])
-def test_blocked_window_equals_global_window(spark, block_rows):
+def test_blocked_window_equals_global_window(spark, block_rows, method):
     rnd = random.Random(7)
     rows = []
-    for ent in ("A", "B", "C"):
+    for ent in ("A", "B", "C", None):          # a NULL entity is an entity too
         t = BASE
         for _ in range(rnd.randint(50, 160)):
             t += dt.timedelta(hours=rnd.choice([1, 1, 1, 2, 30]))
             rows.append((ent, t, rnd.choice([None, round(rnd.uniform(-50, 500), 2)])))
-    df = spark.createDataFrame(rows, "e STRING, ts TIMESTAMP_NTZ, v DOUBLE")
+    # an entity whose rows all fall in one day: a third of all rows in one bucket
+    rows += [("H", BASE + dt.timedelta(minutes=m), float(m % 17)) for m in range(len(rows) // 2)]
+    df = spark.createDataFrame(rows, "e STRING, ts TIMESTAMP_NTZ, v DOUBLE").repartition(4)
     lags = {"l1": 1, "l7": 7, "l24": 24}
     frames = {"a24": ("avg", -24, -1), "s7": ("stddev", -6, 0), "mx": ("max", -24, -1),
               "mn": ("min", -12, 0), "c": ("count", -24, -1), "sm": ("sum", -3, -1)}
     got = series.lag_roll(df, ["ts"], "v", lags=lags, frames=frames, by=["e"],
-                          block_rows=block_rows, bucket=F.date_trunc("day", "ts"))
+                          block_rows=block_rows, bucket=F.date_trunc("day", "ts"),
+                          method=method)
     w = Window.partitionBy("e").orderBy("ts")
     fn = {"avg": F.avg, "stddev": F.stddev_samp, "max": F.max, "min": F.min,
           "count": F.count, "sum": F.sum}
@@ -73,7 +77,8 @@ def test_blocked_window_equals_global_window(spark, block_rows):
     want = df.withColumns(cols)
 
     def norm(rs):
-        return sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in rs)
+        return sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in rs),
+                      key=lambda t: tuple((x is None, str(x)) for x in t))
 
     names = ["e", "ts", "v", *lags, *frames]
     assert norm(got.select(*names).collect()) == norm(want.select(*names).collect())

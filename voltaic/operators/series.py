@@ -22,31 +22,63 @@ blocks.  Frames are ROWS frames, as in the source pipeline: over a gap the
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voltaic.session import checkpoint_root
+
 _FUNCS = {
     "avg": F.avg, "min": F.min, "max": F.max, "sum": F.sum,
     "stddev": F.stddev_samp, "count": F.count,
 }
 
 
+def _with_offsets(local: DataFrame, offsets: DataFrame, cols: list[str]) -> DataFrame:
+    """``local`` with the ``_off`` of its (``cols``) cell; NULL-safe on the
+    keys, so rows with a NULL entity or time are kept."""
+    o = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in cols], "_off")
+    on = functools.reduce(lambda a, b: a & b,
+                          [local[c].eqNullSafe(o[f"_o_{c}"]) for c in cols])
+    return local.join(o, on, "inner").drop(*[f"_o_{c}" for c in cols])
+
+
 def position_index(df: DataFrame, order: list[str], by: list[str] = (),
-                   bucket: Column | None = None, name: str = "_rn") -> DataFrame:
+                   bucket: Column | None = None, name: str = "_rn", *,
+                   method: str = "bucket", partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ``order`` (per ``by`` entity).
 
     ``order`` must be a total order within an entity (append a tie-break
     column otherwise), so positions are reproducible when a task is re-run.
+
+    ``method="bucket"`` numbers rows per (entity, bucket) — the bucket is the
+    day of ``order[0]`` by default, so a regular hourly series has at most 24
+    rows per entity-day, whatever the table size.  ``method="range"`` has no
+    such assumption: the rows are range-partitioned on (entity, order) — the
+    bounds come from a sample, so a bucket or entity with a third of the rows
+    is cut into many partitions — and checkpointed to the shared folder; the
+    position is the row number inside a partition plus the rows of the entity
+    in earlier partitions.
     """
     by = list(by)
-    bucket = bucket if bucket is not None else F.date_trunc("day", F.col(order[0]))
-    staged = df.withColumn("_bkt", bucket)
+    if method == "range":
+        spark = df.sparkSession
+        checkpoint_root(spark)
+        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        staged = (df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
+                  .checkpoint(eager=True).withColumn("_bkt", F.spark_partition_id()))
+    elif method == "bucket":
+        bucket = bucket if bucket is not None else F.date_trunc("day", F.col(order[0]))
+        staged = df.withColumn("_bkt", bucket)
+    else:
+        raise ValueError("method must be 'bucket' or 'range'")
     local = staged.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy(*by, "_bkt").orderBy(*order)) - 1)
     counts = staged.groupBy(*by, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_bkt", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    return (local.join(offsets, [*by, "_bkt"], "inner")
+    return (_with_offsets(local, offsets, [*by, "_bkt"])
             .withColumn(name, F.col("_off") + F.col("_lrn"))
             .drop("_bkt", "_lrn", "_off"))
 
@@ -55,10 +87,11 @@ def lag_roll(df: DataFrame, order: list[str], value: str, *,
              lags: dict[str, int] | None = None,
              frames: dict[str, tuple[str, int, int]] | None = None,
              by: list[str] = (), block_rows: int | None = None,
-             bucket: Column | None = None) -> DataFrame:
+             bucket: Column | None = None, method: str = "bucket") -> DataFrame:
     """Add ``lags`` (name → k: value k rows earlier) and trailing ROWS-frame
     aggregates ``frames`` (name → (func, lower, upper), e.g.
-    ``("avg", -24, -1)``) of ``value`` over ``order`` (per ``by`` entity)."""
+    ``("avg", -24, -1)``) of ``value`` over ``order`` (per ``by`` entity).
+    ``method`` is how rows are numbered (``position_index``)."""
     lags, frames, by = dict(lags or {}), dict(frames or {}), list(by)
     for fn, lo, hi in frames.values():
         if fn not in _FUNCS:
@@ -70,7 +103,7 @@ def lag_roll(df: DataFrame, order: list[str], value: str, *,
     if block_rows < halo:
         raise ValueError(f"block_rows ({block_rows}) must be >= the longest reach ({halo})")
 
-    indexed = position_index(df, order, by, bucket)
+    indexed = position_index(df, order, by, bucket, method=method)
     own = F.floor(F.col("_rn") / block_rows)
     # a row in the last `halo` positions of its block is also sent to the next
     # block (one generator, so the input is read once, not once per copy)
