@@ -50,7 +50,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set to a private temp folder only when the session has none (tests, local).
+    Set to a private temp folder only when the session has none and runs in
+    local mode (tests); on a cluster a missing setting is an error, since a
+    machine-local folder is not visible to the executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -61,6 +63,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
+                               "object store): staging, backups and checkpoints are written there")
         root = tempfile.mkdtemp(prefix="voltaic-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         if sc is not None:
