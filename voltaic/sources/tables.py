@@ -92,6 +92,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
         return {"action": "create", "path": path}
     # the batch's partitions: one small aggregate (bounded by the number of months)
     touched = {tuple(r) for r in batch.select(*parts).distinct().collect()}
+    batch_parts = set(touched)
     stored = read_table(spark, path, merge_schema=True)
     if parts and time_col not in keys:
         # the partition is not a function of the key: an older version of a
@@ -107,9 +108,10 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     merged = with_date_parts(merged, time_col, parts)   # partitions always from the time column
     staged = _stage(spark, merged, parts, "upsert")
     write_partitioned(staged, path, parts, "replace_partitions")
-    if parts:
+    if touched - batch_parts:
         # dynamic overwrite leaves a partition alone when the merge emptied it
-        # (all its rows moved to another partition): drop those explicitly
+        # (all its rows moved to another partition): drop those explicitly.
+        # Only partitions that hold no batch row can end up empty.
         kept = {tuple(r) for r in staged.select(*parts).distinct().collect()}
         _drop_partitions(spark, path, parts, touched - kept)
     return {"action": "merge", "path": path, "partitions": len(touched)}
