@@ -31,7 +31,12 @@ REPORT_SCHEMA = T.StructType([
 
 
 def _typed(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in REPORT_SCHEMA])
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                           for f in REPORT_SCHEMA])
+
+
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _status_only(spark: SparkSession, table: str, status: str, rows=None,
@@ -55,25 +60,25 @@ def quality_report(df: DataFrame, table: str, time_col: str | None = None,
             *[F.lit(None).alias(c) for c in ("min_date", "max_date", "null_time_column",
                                              "null_ingested_at", "duplicate_intervals")]))
     has_ingest = ingest_col in df.columns
+    # expressions as SQL text: one JVM call each
     per_time = df.groupBy(F.col(time_col).alias("_t")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        (F.count_if(F.col(ingest_col).isNull()) if has_ingest
-         else F.lit(None).cast("long")).alias("_ni"))
+        F.expr("count(1) AS _n"),
+        F.expr(f"count_if(`{ingest_col}` IS NULL) AS _ni" if has_ingest
+               else "CAST(NULL AS BIGINT) AS _ni"))
     rep = per_time.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
-        F.min(F.to_date("_t")).alias("min_date"),
-        F.max(F.to_date("_t")).alias("max_date"),
-        F.sum(F.when(F.col("_t").isNull(), F.col("_n"))).alias("null_time_column"),
-        F.sum("_ni").alias("null_ingested_at"),
-        F.count_if(F.col("_n") > 1).alias("duplicate_intervals"))
-    rep = rep.withColumns({
-        "table_name": F.lit(table), "time_column": F.lit(time_col),
-        "status": F.when(F.col("row_count") == 0, "empty").otherwise("ok"),
-        "null_time_column": F.coalesce("null_time_column", F.lit(0)),
-        "null_ingested_at": (F.coalesce("null_ingested_at", F.lit(0)) if has_ingest
-                             else F.lit(None).cast("long")),
-    })
-    return _typed(rep)
+        F.expr("coalesce(sum(_n), 0) AS row_count"),
+        F.expr("min(to_date(_t)) AS min_date"),
+        F.expr("max(to_date(_t)) AS max_date"),
+        F.expr("coalesce(sum(CASE WHEN _t IS NULL THEN _n END), 0) AS null_time_column"),
+        F.expr(("coalesce(sum(_ni), 0)" if has_ingest else "CAST(NULL AS BIGINT)")
+               + " AS null_ingested_at"),
+        F.expr("count_if(_n > 1) AS duplicate_intervals"))
+    return _typed(rep.selectExpr(
+        f"{_sql_str(table)} AS table_name",
+        "CASE WHEN row_count = 0 THEN 'empty' ELSE 'ok' END AS status",
+        f"{_sql_str(time_col)} AS time_column",
+        "row_count", "min_date", "max_date", "null_time_column", "null_ingested_at",
+        "duplicate_intervals"))
 
 
 def quality_report_path(spark: SparkSession, path: str, table: str,

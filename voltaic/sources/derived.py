@@ -22,7 +22,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaic.sources.registry import DAM
 
 # Event type feeding each resource, price point names (picked by
 # user_id modulo their count), and the constants of the derived measures.
@@ -62,36 +61,38 @@ def _has_context(spark: SparkSession) -> bool:
 def hour_start(ts: str = "ts"):
     """The wall-clock hour of a ``timestamp_ntz`` built from its fields, so the
     session time zone (and its clock changes) plays no part."""
-    c = F.col(ts)
-    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c),
-                                F.lit(0), F.lit(0))
+    c = f"`{ts}`"
+    return F.expr(f"make_timestamp_ntz(year({c}), month({c}), day({c}), hour({c}), 0, 0)")
 
 
-def _exact_sum(c: str):
-    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+def _exact_sum(c: str, when: str | None = None) -> str:
+    """SQL for the exact (decimal) sum of a two-decimal column, as a double."""
+    v = f"CAST(`{c}` AS DECIMAL(18,2))"
+    v = f"CASE WHEN {when} THEN {v} END" if when else v
+    return f"CAST(sum({v}) AS DOUBLE)"
 
 
+# The helpers below write their expressions as SQL text: one expression is one
+# call into the JVM, however many functions it nests.
+
 def hourly_event_stats(events: DataFrame) -> DataFrame:
     """One row per hour that has any event: per resource the exact sum, the
     count (NULL when the resource has no event in the hour) and the max of
     ``value``.  One scan and one shuffle serve both resources and the span."""
-    hr = hour_start("ts")
     aggs = []
     for res, etype in RESOURCE_EVENT.items():
-        hit = F.col("event_type") == etype
-        aggs += [F.sum(F.when(hit, F.col("value").cast("decimal(18,2)"))).cast("double")
-                 .alias(f"_sum_{res}"),
-                 F.nullif(F.count_if(hit), F.lit(0)).alias(f"_n_{res}"),
-                 F.max(F.when(hit, F.col("value"))).alias(f"_max_{res}")]
-    return events.groupBy(hr.alias("Interval_Start")).agg(*aggs)
+        hit = f"event_type = '{etype}'"
+        aggs += [F.expr(f"{_exact_sum('value', hit)} AS _sum_{res}"),
+                 F.expr(f"nullif(count_if({hit}), 0) AS _n_{res}"),
+                 F.expr(f"max(CASE WHEN {hit} THEN value END) AS _max_{res}")]
+    return events.groupBy(hour_start("ts").alias("Interval_Start")).agg(*aggs)
 
 
 def hour_scaffold(stats: DataFrame) -> DataFrame:
     """Every hour from the first to the last event hour (bounded by the time
     span, not by the row count)."""
-    bounds = stats.agg(F.min("Interval_Start").alias("lo"), F.max("Interval_Start").alias("hi"))
-    return bounds.select(
-        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("Interval_Start"))
+    bounds = stats.agg(F.expr("min(Interval_Start) AS lo"), F.expr("max(Interval_Start) AS hi"))
+    return bounds.selectExpr("explode(sequence(lo, hi, INTERVAL 1 HOUR)) AS Interval_Start")
 
 
 def _resource_feed(spark: SparkSession, sf_dir: str, resource: str) -> DataFrame:
@@ -99,18 +100,17 @@ def _resource_feed(spark: SparkSession, sf_dir: str, resource: str) -> DataFrame
     stats = hourly_event_stats(table(spark, sf_dir, "events"))
     fc, pot = (("STPPF_SYSTEM_WIDE", "PVGRPP_SYSTEM_WIDE") if resource == "solar"
                else ("STWPF_SYSTEM_WIDE", "WGRPP_SYSTEM_WIDE"))
-    start = F.col("Interval_Start")
-    n, mx = F.col(f"_n_{resource}"), F.col(f"_max_{resource}")
+    n, mx = f"_n_{resource}", f"_max_{resource}"
     return (hour_scaffold(stats).join(stats, "Interval_Start", "left")
-            .select(
-                start.alias("Interval_Start"),
-                (start + F.expr("INTERVAL 1 HOUR")).alias("Interval_End"),
-                (start - F.expr("INTERVAL 1 DAY")).alias("Publish_Time"),
-                F.col(f"_sum_{resource}").alias("GEN_SYSTEM_WIDE"),
-                (mx * n).alias("HSL_SYSTEM_WIDE"),
-                (F.lit(FORECAST_PER_EVENT) * n).alias(fc),
-                (F.lit(POTENTIAL_PER_EVENT) * n).alias(pot),
-                (mx * n).alias("COP_HSL_SYSTEM_WIDE")))
+            .selectExpr(
+                "Interval_Start",
+                "Interval_Start + INTERVAL 1 HOUR AS Interval_End",
+                "Interval_Start - INTERVAL 1 DAY AS Publish_Time",
+                f"_sum_{resource} AS GEN_SYSTEM_WIDE",
+                f"{mx} * {n} AS HSL_SYSTEM_WIDE",
+                f"{FORECAST_PER_EVENT!r}D * {n} AS {fc}",
+                f"{POTENTIAL_PER_EVENT!r}D * {n} AS {pot}",
+                f"{mx} * {n} AS COP_HSL_SYSTEM_WIDE"))
 
 
 def solar_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,19 +123,17 @@ def wind_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dam_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    names = F.array(*[F.lit(n) for n in POINT_NAMES])
-    point = F.element_at(names, (F.pmod(F.col("user_id"), F.lit(len(POINT_NAMES))) + 1).cast("int"))
-    hr = hour_start("ts")
-    return (ev.groupBy(hr.alias("Interval_Start"), point.alias("Location"))
-            .agg(_exact_sum("value").alias("_sum"), F.count("*").alias("_n"))
-            .select(
+    names = ", ".join(f"'{n}'" for n in POINT_NAMES)
+    point = F.expr(f"element_at(array({names}), CAST(pmod(user_id, {len(POINT_NAMES)}) + 1 AS INT))")
+    return (ev.groupBy(hour_start("ts").alias("Interval_Start"), point.alias("Location"))
+            .agg(F.expr(f"{_exact_sum('value')} AS _sum"), F.expr("count(1) AS _n"))
+            .selectExpr(
                 "Interval_Start",
-                (F.col("Interval_Start") + F.expr("INTERVAL 1 HOUR")).alias("Interval_End"),
+                "Interval_Start + INTERVAL 1 HOUR AS Interval_End",
                 "Location",
-                F.lit(DAM_LOCATION_TYPE).alias("Location_Type"),
-                F.lit(DAM_MARKET).alias("Market"),
-                (F.col("_sum") / F.col("_n") - F.lit(PRICE_OFFSET)).alias("LMP"))
-            .select(*DAM.schema.fieldNames()))
+                f"'{DAM_LOCATION_TYPE}' AS Location_Type",
+                f"'{DAM_MARKET}' AS Market",
+                f"_sum / _n - {PRICE_OFFSET!r}D AS LMP"))
 
 
 def region_names(spark: SparkSession, sf_dir: str) -> list[str]:
