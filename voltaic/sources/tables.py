@@ -90,19 +90,22 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     if not table_exists(spark, path):
         write_partitioned(dedupe_latest(batch, keys, order_by), path, parts, "overwrite")
         return {"action": "create", "path": path}
-    # the batch's partitions: one small aggregate (bounded by the number of months)
-    touched = {tuple(r) for r in batch.select(*parts).distinct().collect()}
-    batch_parts = set(touched)
     stored = read_table(spark, path, merge_schema=True)
+    # the batch's partitions: one small aggregate (bounded by the number of
+    # partitions), flagged 1
+    found = batch.select(*parts, F.lit(1).alias("_in_batch"))
     if parts and time_col not in keys:
         # the partition is not a function of the key: an older version of a
         # batch key may sit in a partition the batch does not touch, so those
-        # partitions are merged too (a key-only semi join; bounded result)
+        # partitions are merged too (a key-only semi join, in the same job)
         bkeys = batch.select(*[F.col(k).alias(f"_b_{k}") for k in keys])
         on = functools.reduce(lambda a, b: a & b,
                               [stored[k].eqNullSafe(bkeys[f"_b_{k}"]) for k in keys])
-        touched |= {tuple(r) for r in
-                    stored.join(bkeys, on, "left_semi").select(*parts).distinct().collect()}
+        found = found.unionByName(stored.join(bkeys, on, "left_semi")
+                                  .select(*parts, F.lit(0).alias("_in_batch")))
+    rows = found.groupBy(*parts).agg(F.max("_in_batch").alias("_in_batch")).collect()
+    touched = {tuple(r)[:len(parts)] for r in rows}
+    batch_parts = {tuple(r)[:len(parts)] for r in rows if r["_in_batch"] == 1}
     target = stored.filter(_partition_filter(parts, touched)) if parts else stored
     merged = upsert(target.drop(*parts), batch.drop(*parts), keys, list(order_by))
     merged = with_date_parts(merged, time_col, parts)   # partitions always from the time column
