@@ -95,3 +95,22 @@ def test_dedupe_source_table_preset(spark, scratch):
     assert out["removed"] == 1
     got = {r.Location: r.LMP for r in tables.read_table(spark, path).collect()}
     assert got == {"HB_A": 2.0, "HB_B": 3.0}
+
+
+@pytest.mark.parametrize("parts", [(), ("year", "month")])
+def test_upsert_empty_batch_and_unpartitioned_tables(spark, scratch, parts):
+    s = "k LONG, ts TIMESTAMP_NTZ, v DOUBLE, _ingested_at TIMESTAMP_NTZ"
+    path = scratch("plain")
+    t0 = dt.datetime(2024, 3, 1)
+    first = spark.createDataFrame([(1, dt.datetime(2024, 1, 5), 1.0, t0),
+                                   (2, dt.datetime(2024, 2, 5), 2.0, t0)], s)
+    tables.upsert_table(spark, path, first, ["k"], time_col="ts", parts=parts)
+    # an empty batch leaves the table as it is (and never removes it)
+    tables.upsert_table(spark, path, spark.createDataFrame([], s), ["k"], time_col="ts",
+                        parts=parts)
+    assert sorted((r.k, r.v) for r in tables.read_table(spark, path).collect()) == [(1, 1.0), (2, 2.0)]
+    batch = spark.createDataFrame([(2, dt.datetime(2024, 1, 9), 20.0, t0 + dt.timedelta(days=1)),
+                                   (3, dt.datetime(2024, 2, 9), 3.0, t0 + dt.timedelta(days=1))], s)
+    tables.upsert_table(spark, path, batch, ["k"], time_col="ts", parts=parts)
+    assert sorted((r.k, r.v) for r in tables.read_table(spark, path).collect()) == \
+        [(1, 1.0), (2, 20.0), (3, 3.0)]

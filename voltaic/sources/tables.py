@@ -66,7 +66,8 @@ def write_partitioned(df: DataFrame, path: str, parts=(), mode: str = "append")
 def _stage(spark: SparkSession, df: DataFrame, parts, name: str) -> DataFrame:
     staged = scratch_path(spark, f"stage-{name}")
     write_partitioned(df, staged, parts, "overwrite")
-    return spark.read.parquet(staged)
+    # the frame's own schema: an empty stage (no files) reads as no rows
+    return spark.read.schema(df.schema).parquet(staged)
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], *,
@@ -103,15 +104,22 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
                               [stored[k].eqNullSafe(bkeys[f"_b_{k}"]) for k in keys])
         found = found.unionByName(stored.join(bkeys, on, "left_semi")
                                   .select(*parts, F.lit(0).alias("_in_batch")))
-    rows = found.groupBy(*parts).agg(F.max("_in_batch").alias("_in_batch")).collect()
-    touched = {tuple(r)[:len(parts)] for r in rows}
-    batch_parts = {tuple(r)[:len(parts)] for r in rows if r["_in_batch"] == 1}
+    if parts:
+        rows = found.groupBy(*parts).agg(F.max("_in_batch").alias("_in_batch")).collect()
+        touched = {tuple(r)[:len(parts)] for r in rows}
+        batch_parts = {tuple(r)[:len(parts)] for r in rows if r["_in_batch"] == 1}
+        if not batch_parts:
+            return {"action": "none", "path": path, "partitions": 0}   # empty batch
+    else:                           # one unpartitioned table: nothing to prune or drop
+        if batch.isEmpty():
+            return {"action": "none", "path": path, "partitions": 0}
+        touched = batch_parts = set()
     target = stored.filter(_partition_filter(parts, touched)) if parts else stored
     merged = upsert(target.drop(*parts), batch.drop(*parts), keys, list(order_by))
     merged = with_date_parts(merged, time_col, parts)   # partitions always from the time column
     staged = _stage(spark, merged, parts, "upsert")
     write_partitioned(staged, path, parts, "replace_partitions")
-    if touched - batch_parts:
+    if parts and touched - batch_parts:
         # dynamic overwrite leaves a partition alone when the merge emptied it
         # (all its rows moved to another partition): drop those explicitly.
         # Only partitions that hold no batch row can end up empty.
@@ -131,8 +139,9 @@ def _partition_filter(parts, values):
 def _drop_partitions(spark: SparkSession, path: str, parts, values) -> None:
     """Delete partition directories through Hadoop's file system layer (works
     for any shared-storage URI)."""
-    if not values:
-        return
+    values = [v for v in values if len(v) == len(parts) and len(v) > 0]
+    if not parts or not values:
+        return                      # never the table root
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
