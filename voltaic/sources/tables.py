@@ -138,7 +138,9 @@ def _partition_filter(parts, values):
 
 def _drop_partitions(spark: SparkSession, path: str, parts, values) -> None:
     """Delete partition directories through Hadoop's file system layer (works
-    for any shared-storage URI)."""
+    for any shared-storage URI).  Directory names are written as Spark writes
+    them for the numeric date parts the feeds are partitioned by
+    (``year=2024/month=1``); string values needing escaping are not expected."""
     values = [v for v in values if len(v) == len(parts) and len(v) > 0]
     if not parts or not values:
         return                      # never the table root
