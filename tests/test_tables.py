@@ -114,3 +114,26 @@ def test_upsert_empty_batch_and_unpartitioned_tables(spark, scratch, parts):
     tables.upsert_table(spark, path, batch, ["k"], time_col="ts", parts=parts)
     assert sorted((r.k, r.v) for r in tables.read_table(spark, path).collect()) == \
         [(1, 1.0), (2, 20.0), (3, 3.0)]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_read_feed_text_formats(spark, scratch, fmt):
+    rows = [(BASE + dt.timedelta(days=d), BASE, BASE, float(d), 1.0, 2.0, 3.0, 4.0) for d in range(60)]
+    feed = tables.with_date_parts(spark.createDataFrame(rows, SOLAR.schema), parts=("year", "month"))
+    path = scratch(f"feed-{fmt}")
+    w = feed.write.partitionBy("year", "month").mode("overwrite")
+    (w.option("header", "true").csv(path) if fmt == "csv" else w.json(path))
+    got = landing.read_feed(spark, path, SOLAR, start="2024-02-03", end="2024-02-05", fmt=fmt)
+    assert got.schema["Interval_Start"].dataType == SOLAR.schema["Interval_Start"].dataType
+    assert sorted(r.GEN_SYSTEM_WIDE for r in got.collect()) == [4.0, 5.0, 6.0]
+
+
+def test_read_feed_csv_with_reordered_columns_fails(spark, scratch):
+    rows = [(BASE, BASE, BASE, 1.0, 2.0, 3.0, 4.0, 5.0)]
+    feed = spark.createDataFrame(rows, SOLAR.schema)
+    path = scratch("feed-swapped")
+    cols = feed.columns
+    feed.select(cols[0], cols[1], cols[2], cols[4], cols[3], *cols[5:]) \
+        .write.option("header", "true").mode("overwrite").csv(path)
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        landing.read_feed(spark, path, SOLAR, fmt="csv").collect()

@@ -73,7 +73,11 @@ def read_feed(spark: SparkSession, path: str, source: Source, start=None, end=No
     reader = spark.read.format(fmt)
     if fmt in ("csv", "json"):
         # text formats carry no types: the declared schema is the contract
-        reader = reader.schema(source.schema).option("header", "true")
+        reader = reader.schema(source.schema)
+    if fmt == "csv":
+        # header names are checked against the schema, so a file with its
+        # columns in another order fails instead of being read by position
+        reader = reader.option("header", "true").option("enforceSchema", "false")
     df = reader.load(path)
     have = set(df.columns)
     parts = tuple(p for p in source.partitions if p in have)
