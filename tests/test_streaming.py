@@ -33,3 +33,18 @@ def test_stream_upserts_landed_batches(spark, scratch):
     assert got[BASE + dt.timedelta(hours=1)] == 101.0
     assert got[BASE + dt.timedelta(hours=30)] == 1030.0
     assert out.groupBy("Interval_Start").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_restarted_stream_resumes_from_its_checkpoint(spark, scratch):
+    # no checkpoint given: the default is stable per target table, so the
+    # second start reads only the newly landed file
+    landing, table = scratch("landing2"), scratch("bronze2")
+    _batch(spark, range(0, 24), 1.0, BASE).write.mode("append").parquet(landing)
+    q = start_incremental_upsert(spark, landing, table, SOLAR)
+    q.awaitTermination(120)
+    _batch(spark, range(24, 30), 1.0, BASE).write.mode("append").parquet(landing)
+    q = start_incremental_upsert(spark, landing, table, SOLAR)
+    q.awaitTermination(120)
+    # the batch ids go on from the first run (a fresh checkpoint starts at 0)
+    assert [p["batchId"] for p in q.recentProgress if p["numInputRows"]] == [1]
+    assert read_table(spark, table).count() == 30

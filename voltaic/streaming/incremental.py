@@ -14,11 +14,13 @@ landed, then stop) or with a processing-time trigger as a service.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from voltaic.session import scratch_path
+from voltaic.session import checkpoint_root
 from voltaic.sources.registry import Source
 from voltaic.sources.tables import upsert_table
 
@@ -32,6 +34,14 @@ def landed_schema(source: Source) -> T.StructType:
     return T.StructType(list(source.schema.fields) + list(LINEAGE_FIELDS))
 
 
+def stream_checkpoint(spark: SparkSession, table_path: str, source: Source) -> str:
+    """The default checkpoint of the stream into ``table_path``: under the
+    shared checkpoint folder and the same on every start, so a restarted
+    stream resumes from its offsets instead of re-reading every landed file."""
+    digest = hashlib.sha1(table_path.rstrip("/").encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark)}/stream-{source.name}-{digest}"
+
+
 def start_incremental_upsert(spark: SparkSession, landing_dir: str, table_path: str,
                              source: Source, *, keys=None, parts=("year", "month"),
                              checkpoint: str | None = None, available_now: bool = True,
@@ -46,14 +56,20 @@ def start_incremental_upsert(spark: SparkSession, landing_dir: str, table_path:
     stream = reader.load(landing_dir)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        upsert_table(batch.sparkSession, table_path, batch, keys,
-                     time_col=source.time_col, parts=parts)
+        # the merge runs several actions over the micro-batch: keep it (memory,
+        # spilling to disk) instead of re-reading the landed files each time.
+        # A micro-batch is bounded by maxFilesPerTrigger; a lost block is
+        # recomputed from the files.
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                upsert_table(batch.sparkSession, table_path, batch, keys,
+                             time_col=source.time_col, parts=parts)
+        finally:
+            batch.unpersist()
 
     writer = (stream.writeStream.foreachBatch(merge_batch)
-              .option("checkpointLocation",
-                      checkpoint or scratch_path(spark, f"stream-ckpt-{source.name}")))
+              .option("checkpointLocation", checkpoint or stream_checkpoint(spark, table_path, source)))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time))
     return writer.start()
