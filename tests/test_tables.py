@@ -137,3 +137,18 @@ def test_read_feed_csv_with_reordered_columns_fails(spark, scratch):
         .write.option("header", "true").mode("overwrite").csv(path)
     with pytest.raises(Exception, match="(?i)header|schema"):
         landing.read_feed(spark, path, SOLAR, fmt="csv").collect()
+
+
+def test_partition_filter_for_thousands_of_partitions(spark):
+    # a backfill touching years of daily partitions: one flat predicate (a
+    # chain of ORs this long overflowed the planner's stack)
+    df = spark.range(10000).selectExpr(
+        "CAST(2000 + id % 20 AS INT) AS year", "CAST(1 + id % 12 AS INT) AS month",
+        "CAST(1 + id % 28 AS INT) AS day").unionByName(
+        spark.createDataFrame([(None, None, None)], "year INT, month INT, day INT"))
+    vals = {(y, m, d) for y in range(2000, 2020) for m in range(1, 13) for d in range(1, 29, 2)}
+    parts = ("year", "month", "day")
+    assert df.filter(tables._partition_filter(parts, vals)).count() == 5000
+    vals.add((None, None, None))
+    assert df.filter(tables._partition_filter(parts, vals)).count() == 5001
+    assert df.filter(tables._partition_filter(parts, set())).count() == 0

@@ -128,12 +128,33 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     return {"action": "merge", "path": path, "partitions": len(touched)}
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, (int, float)) and not isinstance(v, bool):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _partition_filter(parts, values):
-    cond = F.lit(False)
-    for vals in values:
-        cond = cond | functools.reduce(
-            lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(v)) for p, v in zip(parts, vals)])
-    return cond
+    """Rows of the given partitions.  One ``struct(parts) IN (...)`` predicate
+    (a hash-set lookup after optimisation), so a backfill touching thousands
+    of partitions does not build an expression thousands of levels deep.
+    Partitions with a NULL value are matched NULL-safely."""
+    values = list(values)
+    plain = [v for v in values if None not in v]
+    terms = []
+    if plain:
+        cols = ", ".join(f"`{p}`" for p in parts)
+        items = ", ".join(
+            "named_struct(" + ", ".join(f"'{p}', {_sql_literal(x)}" for p, x in zip(parts, v)) + ")"
+            for v in plain)
+        terms.append(f"struct({cols}) IN ({items})")
+    for v in values:
+        if None in v:
+            terms.append("(" + " AND ".join(f"`{p}` <=> {_sql_literal(x)}"
+                                           for p, x in zip(parts, v)) + ")")
+    return F.expr(" OR ".join(terms)) if terms else F.lit(False)
 
 
 def _drop_partitions(spark: SparkSession, path: str, parts, values) -> None:
