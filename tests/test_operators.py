@@ -94,6 +94,18 @@ def test_upsert_keeps_columns_the_batch_lacks(spark):
     assert got == [(1, 5.0, "x"), (2, 6.0, None)]
 
 
+def test_upsert_carry_with_a_key_stored_twice(spark):
+    # the target holds key 1 twice (an earlier append); the batch row for key 1
+    # stays one row and carries the newest stored value of the missing column
+    target = spark.createDataFrame([(1, 1.0, "old", _ts("2024-01-01 00:00:00")),
+                                    (1, 2.0, "new", _ts("2024-01-01 06:00:00"))],
+                                   "k LONG, v DOUBLE, extra STRING, _ingested_at TIMESTAMP_NTZ")
+    batch = spark.createDataFrame([(1, 5.0, _ts("2024-01-02 00:00:00"))],
+                                  "k LONG, v DOUBLE, _ingested_at TIMESTAMP_NTZ")
+    got = [(r.k, r.v, r.extra) for r in merge.upsert(target, batch, ["k"]).collect()]
+    assert got == [(1, 5.0, "new")]
+
+
 def test_upsert_missing_key_raises(spark):
     df = spark.createDataFrame([(1, 1.0)], "k LONG, v DOUBLE")
     with pytest.raises(ValueError):

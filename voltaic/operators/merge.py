@@ -52,7 +52,11 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
     kept = target.join(bkeys, _null_safe_on(target, bkeys, keys, "_b_"), "left_anti")
     carry = [c for c in target.columns if c not in src.columns]
     if carry:
-        old = target.select(*[F.col(k).alias(f"_b_{k}") for k in keys], *carry)
+        # one stored row per key (the newest), so a key the target holds twice
+        # (e.g. after an append fallback) does not multiply the batch row
+        order = [c for c in order_by if c in target.columns]
+        newest = dedupe_latest(target.select(*keys, *order, *carry), keys, order)
+        old = newest.select(*[F.col(k).alias(f"_b_{k}") for k in keys], *carry)
         src = (src.join(old, _null_safe_on(src, old, keys, "_b_"), "left")
                .drop(*[f"_b_{k}" for k in keys]))
     return kept.unionByName(src, allowMissingColumns=True)
