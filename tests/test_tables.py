@@ -139,16 +139,25 @@ def test_read_feed_csv_with_reordered_columns_fails(spark, scratch):
         landing.read_feed(spark, path, SOLAR, fmt="csv").collect()
 
 
-def test_partition_filter_for_thousands_of_partitions(spark):
-    # a backfill touching years of daily partitions: one flat predicate (a
-    # chain of ORs this long overflowed the planner's stack)
-    df = spark.range(10000).selectExpr(
-        "CAST(2000 + id % 20 AS INT) AS year", "CAST(1 + id % 12 AS INT) AS month",
-        "CAST(1 + id % 28 AS INT) AS day").unionByName(
-        spark.createDataFrame([(None, None, None)], "year INT, month INT, day INT"))
-    vals = {(y, m, d) for y in range(2000, 2020) for m in range(1, 13) for d in range(1, 29, 2)}
-    parts = ("year", "month", "day")
-    assert df.filter(tables._partition_filter(parts, vals)).count() == 5000
-    vals.add((None, None, None))
-    assert df.filter(tables._partition_filter(parts, vals)).count() == 5001
-    assert df.filter(tables._partition_filter(parts, set())).count() == 0
+
+def test_upsert_reads_the_touched_partitions_with_their_own_schema(spark, scratch):
+    # January's files carry a column added later (schema evolution by
+    # append); merging a batch into January keeps it, February is untouched
+    path = scratch("evolve")
+    t0 = dt.datetime(2024, 3, 1)
+    old = spark.createDataFrame([(1, dt.datetime(2024, 2, 5), 1.0, t0)],
+                                "k LONG, ts TIMESTAMP_NTZ, v DOUBLE, _ingested_at TIMESTAMP_NTZ")
+    tables.upsert_table(spark, path, old, ["k", "ts"], time_col="ts")
+    wide = spark.createDataFrame([(2, dt.datetime(2024, 1, 5), 2.0, t0, "x")],
+                                 "k LONG, ts TIMESTAMP_NTZ, v DOUBLE, _ingested_at TIMESTAMP_NTZ, "
+                                 "extra STRING")
+    tables.write_partitioned(tables.with_date_parts(wide, "ts", ("year", "month")), path,
+                             ("year", "month"), "append")
+    feb = _files(path, "year=2024/month=2")
+    batch = spark.createDataFrame([(2, dt.datetime(2024, 1, 5), 20.0, t0 + dt.timedelta(days=1)),
+                                   (3, dt.datetime(2024, 1, 6), 3.0, t0 + dt.timedelta(days=1))],
+                                  "k LONG, ts TIMESTAMP_NTZ, v DOUBLE, _ingested_at TIMESTAMP_NTZ")
+    out = tables.upsert_table(spark, path, batch, ["k", "ts"], time_col="ts")
+    assert out["partitions"] == 1 and _files(path, "year=2024/month=2") == feb
+    got = sorted((r.k, r.v, r.extra) for r in tables.read_table(spark, path, merge_schema=True).collect())
+    assert got == [(1, 1.0, None), (2, 20.0, "x"), (3, 3.0, None)]

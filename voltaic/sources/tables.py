@@ -91,7 +91,9 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     if not table_exists(spark, path):
         write_partitioned(dedupe_latest(batch, keys, order_by), path, parts, "overwrite")
         return {"action": "create", "path": path}
-    stored = read_table(spark, path, merge_schema=True)
+    # schema from one footer: enough for the key and partition columns used
+    # below; the merged partitions are read with their own merged schema
+    stored = read_table(spark, path)
     # the batch's partitions: one small aggregate (bounded by the number of
     # partitions), flagged 1
     found = batch.select(*parts, F.lit(1).alias("_in_batch"))
@@ -114,7 +116,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
         if batch.isEmpty():
             return {"action": "none", "path": path, "partitions": 0}
         touched = batch_parts = set()
-    target = stored.filter(_partition_filter(parts, touched)) if parts else stored
+    target = (_read_partitions(spark, path, parts, touched, like=stored) if parts
+              else read_table(spark, path, merge_schema=True))
     merged = upsert(target.drop(*parts), batch.drop(*parts), keys, list(order_by))
     merged = with_date_parts(merged, time_col, parts)   # partitions always from the time column
     staged = _stage(spark, merged, parts, "upsert")
@@ -128,33 +131,32 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     return {"action": "merge", "path": path, "partitions": len(touched)}
 
 
-def _sql_literal(v) -> str:
-    if v is None:
-        return "NULL"
-    if isinstance(v, (int, float)) and not isinstance(v, bool):
-        return repr(v)
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _partition_filter(parts, values):
-    """Rows of the given partitions.  One ``struct(parts) IN (...)`` predicate
-    (a hash-set lookup after optimisation), so a backfill touching thousands
-    of partitions does not build an expression thousands of levels deep.
-    Partitions with a NULL value are matched NULL-safely."""
-    values = list(values)
-    plain = [v for v in values if None not in v]
-    terms = []
-    if plain:
-        cols = ", ".join(f"`{p}`" for p in parts)
-        items = ", ".join(
-            "named_struct(" + ", ".join(f"'{p}', {_sql_literal(x)}" for p, x in zip(parts, v)) + ")"
-            for v in plain)
-        terms.append(f"struct({cols}) IN ({items})")
+def _partition_dir(parts, values) -> str:
+    return "/".join(f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"
+                    for p, v in zip(parts, values))
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _read_partitions(spark: SparkSession, path: str, parts, values, like: DataFrame) -> DataFrame:
+    """The stored rows of the given partitions, with the schema merged over
+    those partitions' files only: an incremental load reads the footers of
+    the partitions it touches, not of the whole table.  Partitions that do not
+    exist yet are skipped (NULL-safe: the NULL partition is a directory too)."""
+    jvm, root, fs = _file_system(spark, path)
+    dirs = []
     for v in values:
-        if None in v:
-            terms.append("(" + " AND ".join(f"`{p}` <=> {_sql_literal(x)}"
-                                           for p, x in zip(parts, v)) + ")")
-    return F.expr(" OR ".join(terms)) if terms else F.lit(False)
+        sub = _partition_dir(parts, v)
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(root, sub)):
+            dirs.append(f"{path.rstrip('/')}/{sub}")
+    if not dirs:
+        return like.filter(F.lit(False))
+    return (spark.read.option("basePath", path).option("mergeSchema", "true")
+            .parquet(*dirs))
 
 
 def _drop_partitions(spark: SparkSession, path: str, parts, values) -> None:
@@ -165,13 +167,9 @@ def _drop_partitions(spark: SparkSession, path: str, parts, values) -> None:
     values = [v for v in values if len(v) == len(parts) and len(v) > 0]
     if not parts or not values:
         return                      # never the table root
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    jvm, root, fs = _file_system(spark, path)
     for vals in values:
-        sub = "/".join(f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"
-                       for p, v in zip(parts, vals))
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, sub), True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, _partition_dir(parts, vals)), True)
 
 
 def load_bronze(spark: SparkSession, path: str, batch: DataFrame, source: Source, *,
