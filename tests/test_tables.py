@@ -161,3 +161,19 @@ def test_upsert_reads_the_touched_partitions_with_their_own_schema(spark, scratc
     assert out["partitions"] == 1 and _files(path, "year=2024/month=2") == feb
     got = sorted((r.k, r.v, r.extra) for r in tables.read_table(spark, path, merge_schema=True).collect())
     assert got == [(1, 1.0, None), (2, 20.0, "x"), (3, 3.0, None)]
+
+
+def test_dedupe_and_backup_keep_columns_added_by_appends(spark, scratch):
+    path = scratch("dd-evolve")
+    t0 = dt.datetime(2024, 3, 1)
+    s1 = "Interval_Start TIMESTAMP_NTZ, v DOUBLE, _ingested_at TIMESTAMP_NTZ"
+    first = spark.createDataFrame([(BASE, 1.0, t0), (BASE, 2.0, t0 + dt.timedelta(days=1))], s1)
+    tables.write_partitioned(first, path, (), "append")
+    wide = spark.createDataFrame([(BASE + dt.timedelta(hours=1), 3.0, t0, "x")],
+                                 s1 + ", extra STRING")
+    tables.write_partitioned(wide, path, (), "append")
+    out = tables.dedupe_table(spark, path, ["Interval_Start"])
+    assert out["removed"] == 1
+    assert "extra" in tables.read_table(spark, out["backup"], merge_schema=True).columns
+    got = sorted((r.v, r.extra) for r in tables.read_table(spark, path, merge_schema=True).collect())
+    assert got == [(2.0, None), (3.0, "x")]

@@ -200,7 +200,8 @@ def backup(spark: SparkSession, src: str, dst: str | None = None, parts=()) -> s
     to the shared checkpoint folder).  Restore = ``backup(spark, dst, src)``."""
     stamp = dt.datetime.now().strftime("%Y%m%d_%H%M%S")
     dst = dst or scratch_path(spark, f"backup_{stamp}")
-    write_partitioned(spark.read.parquet(src), dst, parts, "overwrite")
+    # every file's schema: a column that appends added to some files is kept
+    write_partitioned(read_table(spark, src, merge_schema=True), dst, parts, "overwrite")
     return dst
 
 
@@ -211,7 +212,7 @@ def dedupe_table(spark: SparkSession, path: str, keys: list[str], *,
     Counts before/after come from one grouped job; the table is backed up and
     rewritten only when something is removed.
     """
-    df = read_table(spark, path)
+    df = read_table(spark, path, merge_schema=True)   # the rewrite keeps every column
     row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
            .agg(F.sum("_n").alias("before"), F.count(F.lit(1)).alias("after")).first())
     before, after = int(row["before"] or 0), int(row["after"] or 0)
