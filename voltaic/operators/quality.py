@@ -86,7 +86,8 @@ def quality_report_path(spark: SparkSession, path: str, table: str,
     """``quality_report`` of the table stored at ``path``; status
     ``table_not_found`` when there is none."""
     try:
-        df = spark.read.parquet(path)
+        # every file's schema: a lineage column only some files carry still counts
+        df = spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException:
         return _status_only(spark, table, "table_not_found")
     return quality_report(df, table, time_col, ingest_col)
