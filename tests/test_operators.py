@@ -201,3 +201,18 @@ def test_skill_score_against_persistence(spark):
                             persistence="persist").first()
     assert r.mse_forecast == pytest.approx(1.0) and r.mse_persistence == pytest.approx(4.0)
     assert r.skill_score == pytest.approx(0.75)
+
+
+def test_feature_table_same_with_range_numbering(spark):
+    start = _ts("2024-01-01 00:00:00")
+    rows = [(start + dt.timedelta(hours=h), float(h % 37)) for h in range(400)]
+    df = spark.createDataFrame(rows, "interval_start TIMESTAMP_NTZ, actual_mw DOUBLE")
+    df = df.withColumns({"hour_of_day": F.hour("interval_start"), "is_weekend": F.lit(False),
+                         "stppf_forecast_mw": F.lit(1.0), "year": F.year("interval_start"),
+                         "month": F.month("interval_start"), "day": F.dayofmonth("interval_start")})
+
+    def rows_of(out):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in out.collect())
+
+    assert rows_of(gold.solar_features(df, block_rows=200, method="range")) == \
+        rows_of(gold.solar_features(df, block_rows=200))

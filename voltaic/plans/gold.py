@@ -71,12 +71,16 @@ FEATURE_COLUMNS = (
 )
 
 
-def solar_features(solar: DataFrame, block_rows: int | None = None) -> DataFrame:
+def solar_features(solar: DataFrame, block_rows: int | None = None,
+                   method: str = "bucket") -> DataFrame:
     """PIP-12: lags, trailing statistics and cyclic calendar features of the
-    hours with an actual, keeping only rows with a full week of history."""
+    hours with an actual, keeping only rows with a full week of history.
+    ``method="range"`` numbers rows without assuming a bounded day
+    (``series.position_index``)."""
     base = solar.filter(F.col("actual_mw").isNotNull())
     rolled = series.lag_roll(base, ["interval_start"], "actual_mw",
-                             lags=FEATURE_LAGS, frames=FEATURE_FRAMES, block_rows=block_rows)
+                             lags=FEATURE_LAGS, frames=FEATURE_FRAMES, block_rows=block_rows,
+                             method=method)
     angle = F.lit(2 * math.pi) * F.col("hour_of_day") / F.lit(24.0)
     ts = F.col("interval_start")
     return (rolled.withColumns({
@@ -129,12 +133,13 @@ def price_flags(df: DataFrame, *, spike_factor: float = SPIKE_FACTOR,
     })
 
 
-def lmp_volatility(daily_stats: DataFrame, block_rows: int | None = None) -> DataFrame:
+def lmp_volatility(daily_stats: DataFrame, block_rows: int | None = None,
+                   method: str = "bucket") -> DataFrame:
     """PIP-15: trailing 7- and 30-row volatility per hub, CV and price flags."""
     hubs = daily_stats.filter(F.col("point_type") == "Hub")
     rolled = series.lag_roll(hubs, ["date"], "avg_price", frames=VOLATILITY_FRAMES,
                              by=["settlement_point"], block_rows=block_rows,
-                             bucket=F.trunc("date", "month"))
+                             bucket=F.trunc("date", "month"), method=method)
     rolled = rolled.withColumns({
         "cv_7d": pct_of("rolling_7d_stddev", "rolling_7d_avg"),
         "cv_30d": pct_of("rolling_30d_stddev", "rolling_30d_avg"),
