@@ -5,6 +5,8 @@ import os
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from voltaic.operators.metrics import daily_price_statistics
@@ -58,3 +60,21 @@ def test_price_statistics_distributed_equals_default(spark):
 
     assert rows(daily_price_statistics(lmp, exact="distributed")) == \
         rows(daily_price_statistics(lmp))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]),
+                               st.one_of(st.none(), st.integers(-20, 20).map(lambda x: x / 4))),
+                     min_size=1, max_size=120),
+       parts=st.integers(1, 9))
+def test_equals_percentile_property(spark, rows, parts):
+    df = spark.createDataFrame(rows, "g STRING, v DOUBLE")
+    qs = [0.0, 0.3, 0.5, 0.95, 1.0]
+    names = [f"q{i}" for i in range(len(qs))]
+    got = {r.g: [r[n] for n in names]
+           for r in exact_quantiles(df, ["g"], "v", qs, names=names, partitions=parts).collect()}
+    want = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("v", qs).alias("p")).collect()
+            if r.p is not None}
+    assert set(got) == set(want)
+    for g, ps in want.items():
+        assert got[g] == pytest.approx(ps, rel=1e-12, abs=1e-12)
