@@ -37,7 +37,8 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, quantiles, *,
                     partitions: int | None = None) -> DataFrame:
     """One row per group of ``by`` (NULL keys form a group) with one double
     column per quantile (``names``, default ``q_<i>``): the exact quantile of
-    the non-NULL ``value``s, equal to ``percentile(value, q)``."""
+    the non-NULL ``value``s, equal to ``percentile(value, q)``.  The range
+    partitioning and checkpoint run when this is called; the rest is lazy."""
     by, quantiles = list(by), list(quantiles)
     names = names or [f"q_{i}" for i in range(len(quantiles))]
     spark = df.sparkSession
