@@ -177,3 +177,16 @@ def test_dedupe_and_backup_keep_columns_added_by_appends(spark, scratch):
     assert "extra" in tables.read_table(spark, out["backup"], merge_schema=True).columns
     got = sorted((r.v, r.extra) for r in tables.read_table(spark, path, merge_schema=True).collect())
     assert got == [(2.0, None), (3.0, "x")]
+
+
+def test_read_feed_parquet_uses_the_declared_schema(spark, scratch):
+    path = scratch("feed-narrow")
+    rows = [(BASE + dt.timedelta(hours=h), BASE, BASE, float(h), 1.0, 2.0, 3.0, 4.0) for h in range(5)]
+    feed = spark.createDataFrame(rows, SOLAR.schema).drop("PVGRPP_SYSTEM_WIDE")   # an older file
+    tables.write_partitioned(tables.with_date_parts(feed, parts=("year", "month")), path,
+                             ("year", "month"), "append")
+    got = landing.read_feed(spark, path, SOLAR)
+    assert got.columns[:len(SOLAR.schema)] == SOLAR.schema.fieldNames()
+    assert {"_ingested_at", "_source", "_endpoint", "year", "month"} <= set(got.columns)
+    assert got.filter(F.col("PVGRPP_SYSTEM_WIDE").isNotNull()).count() == 0
+    assert got.count() == 5

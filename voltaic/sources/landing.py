@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltaic.sources.registry import Source
 
@@ -66,18 +67,36 @@ def range_filter(df: DataFrame, time_col: str, start=None, end=None,
     return out
 
 
+# lineage stamps carried by every landed batch (see ``stamp_lineage``)
+LINEAGE_FIELDS = (T.StructField("_ingested_at", T.TimestampNTZType()),
+                  T.StructField("_source", T.StringType()),
+                  T.StructField("_endpoint", T.StringType()))
+
+
+def landed_schema(source: Source) -> T.StructType:
+    """The feed's declared schema plus the lineage stamps."""
+    return T.StructType(list(source.schema.fields) + list(LINEAGE_FIELDS))
+
+
 def read_feed(spark: SparkSession, path: str, source: Source, start=None, end=None,
               fmt: str = "parquet") -> DataFrame:
     """Read a landed feed with its declared schema (no inference) and keep
-    ``[start, end]`` by its time column."""
+    ``[start, end]`` by its time column.
+
+    Parquet and JSON are read with the declared schema plus the lineage
+    stamps: no footer of the landing history is read to infer a schema, a
+    column a file lacks reads as NULL and a column of another type fails.
+    CSV is read with the declared schema and its header is checked against it.
+    """
     reader = spark.read.format(fmt)
-    if fmt in ("csv", "json"):
-        # text formats carry no types: the declared schema is the contract
-        reader = reader.schema(source.schema)
+    if fmt in ("parquet", "json"):
+        reader = reader.schema(landed_schema(source))
     if fmt == "csv":
-        # header names are checked against the schema, so a file with its
-        # columns in another order fails instead of being read by position
-        reader = reader.option("header", "true").option("enforceSchema", "false")
+        # the declared schema is the contract; header names must match it
+        # (a file with its columns in another order fails instead of being
+        # read by position)
+        reader = (reader.schema(source.schema).option("header", "true")
+                  .option("enforceSchema", "false"))
     df = reader.load(path)
     have = set(df.columns)
     parts = tuple(p for p in source.partitions if p in have)

@@ -17,22 +17,13 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from voltaic.session import checkpoint_root
+from voltaic.sources.landing import LINEAGE_FIELDS, landed_schema  # noqa: F401 (re-exported)
 from voltaic.sources.registry import Source
 from voltaic.sources.tables import upsert_table
 
-LINEAGE_FIELDS = (T.StructField("_ingested_at", T.TimestampNTZType()),
-                  T.StructField("_source", T.StringType()),
-                  T.StructField("_endpoint", T.StringType()))
-
-
-def landed_schema(source: Source) -> T.StructType:
-    """The feed's declared schema plus the lineage stamps."""
-    return T.StructType(list(source.schema.fields) + list(LINEAGE_FIELDS))
-
 
 def stream_checkpoint(spark: SparkSession, table_path: str, source: Source) -> str:
     """The default checkpoint of the stream into ``table_path``: under the
