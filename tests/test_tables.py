@@ -190,3 +190,19 @@ def test_read_feed_parquet_uses_the_declared_schema(spark, scratch):
     assert {"_ingested_at", "_source", "_endpoint", "year", "month"} <= set(got.columns)
     assert got.filter(F.col("PVGRPP_SYSTEM_WIDE").isNotNull()).count() == 0
     assert got.count() == 5
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_read_feed_wide_regional_keeps_region_columns(spark, scratch, fmt):
+    from voltaic.sources.registry import SOLAR_REGIONAL
+    path = scratch(f"feed-wide-{fmt}")
+    rows = [(BASE + dt.timedelta(days=d), BASE + dt.timedelta(days=d + 1), float(d), 2.0 * d)
+            for d in range(10)]
+    wide = spark.createDataFrame(rows, "Interval_Start TIMESTAMP_NTZ, Interval_End TIMESTAMP_NTZ, "
+                                       "GEN_WEST DOUBLE, STPPF_WEST DOUBLE")
+    w = wide.write.mode("overwrite")
+    (w.option("header", "true").csv(path) if fmt == "csv" else w.parquet(path))
+    got = landing.read_feed(spark, path, SOLAR_REGIONAL, start="2024-02-02", end="2024-02-03",
+                            fmt=fmt)
+    assert {"GEN_WEST", "STPPF_WEST"} <= set(got.columns)
+    assert sorted(r.GEN_WEST for r in got.collect()) == [3.0, 4.0]

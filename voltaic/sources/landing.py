@@ -87,11 +87,16 @@ def read_feed(spark: SparkSession, path: str, source: Source, start=None, end=No
     stamps: no footer of the landing history is read to infer a schema, a
     column a file lacks reads as NULL and a column of another type fails.
     CSV is read with the declared schema and its header is checked against it.
+    Wide feeds (``open_schema``: a column per region or fuel) are read as
+    stored.
     """
     reader = spark.read.format(fmt)
-    if fmt in ("parquet", "json"):
+    if fmt in ("parquet", "json") and not source.open_schema:
         reader = reader.schema(landed_schema(source))
-    if fmt == "csv":
+    if fmt == "csv" and source.open_schema:
+        # wide CSV: the columns come from the header, the types from the data
+        reader = reader.option("header", "true").option("inferSchema", "true")
+    elif fmt == "csv":
         # the declared schema is the contract; header names must match it
         # (a file with its columns in another order fails instead of being
         # read by position)

@@ -30,6 +30,9 @@ class Source:
     rename: dict = field(default_factory=dict)
     # measure columns a silver step cannot work without (checked up front)
     required: tuple[str, ...] = ()
+    # wide feeds carry columns beyond the declared ones (one per region or
+    # fuel): they are read as stored, not with the declared schema
+    open_schema: bool = False
 
 
 # Landing column names and canonical names of each feed.
@@ -96,11 +99,13 @@ SOLAR_REGIONAL = Source(
     name="solar_hourly_actual_forecast_regional",
     schema=_schema(("Interval_Start", TS), ("Interval_End", TS)),
     keys=("Interval_Start",), time_col="Interval_Start", rename=REGIONAL_RENAME,
+    open_schema=True,
 )
 WIND_REGIONAL = Source(
     name="wind_hourly_actual_forecast_regional",
     schema=_schema(("Interval_Start", TS), ("Interval_End", TS)),
     keys=("Interval_Start",), time_col="Interval_Start", rename=REGIONAL_RENAME,
+    open_schema=True,
 )
 LOAD_FORECAST = Source(
     name="load_forecast_7day",
@@ -112,6 +117,7 @@ FUEL_MIX = Source(
     name="fuel_mix",
     schema=_schema(("Time", TS)),
     keys=("Time",), time_col="Time", partitions=("year", "month", "day"),
+    open_schema=True,
 )
 LMP_SETTLEMENT_POINT = Source(
     name="lmp_by_settlement_point",
