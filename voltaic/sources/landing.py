@@ -28,8 +28,10 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
 
 def stamp_lineage(df: DataFrame, source: str, endpoint: str,
                   ingested_at=None) -> DataFrame:
-    """Add ``_ingested_at`` (one value per batch), ``_source`` and ``_endpoint``."""
-    ts = F.current_timestamp() if ingested_at is None else ingested_at
+    """Add ``_ingested_at`` (one value per batch), ``_source`` and ``_endpoint``.
+    The stamp is a zone-free timestamp, the declared type of the lineage
+    column, so batches and stored tables order it the same way."""
+    ts = F.localtimestamp() if ingested_at is None else ingested_at
     return df.withColumns({"_ingested_at": ts, "_source": F.lit(source),
                            "_endpoint": F.lit(endpoint)})
 
