@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,18 @@ FOLDS = 4
 HELD_OUT = 2
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Put the folder this package was imported from on the Python workers' path (a cluster
+    has the package there too, or is given it with --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitpack, packing
-from .common import table
+from pyspark.sql import functions as F
+
+from . import bitpack, decontamination, language, packing, simhash
+from .common import held_out, pick, table
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +16,23 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         capacity=4096, end_id=1)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs)
+    own = language.identify(pick(docs, doc_id="doc_id", text="text"), model)
+    return own.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                      F.col("predicted.lang").alias("lang_pred"), F.col("predicted.score").alias("score"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = simhash.components(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return own.select("doc_id", "fingerprint", "component_id")
+
+
 def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bitpack.read_packed(bitpack.write_packed(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0))
@@ -21,6 +40,9 @@ def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_decontamination": op2_decontamination,
+    "op5_language_id": op5_language_id,
+    "op7_simhash": op7_simhash,
     "op10_bit_packed_ids": op10_bit_packed_ids,
 }
 
