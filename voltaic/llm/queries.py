@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bitpack, decontamination, language, packing, simhash
+from . import bitpack, decontamination, language, licenses, packing, simhash, toxicity
 from .common import held_out, pick, table
 
 
@@ -33,6 +33,18 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select("doc_id", "fingerprint", "component_id")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    own = toxicity.score(pick(docs, doc_id="doc_id", text="text"), model, into="score")
+    return own.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bitpack.read_packed(bitpack.write_packed(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0))
@@ -43,6 +55,8 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op5_language_id": op5_language_id,
     "op7_simhash": op7_simhash,
+    "op8_license_scan": op8_license_scan,
+    "op9_toxicity": op9_toxicity,
     "op10_bit_packed_ids": op10_bit_packed_ids,
 }
 
