@@ -1,19 +1,23 @@
 """Token ids of whole texts through the tokenizers library.
 
-A byte-pair tokenizer never merges across the white space its pre-tokenizer
-splits at, so ids of a text are the ids of its white-space chunks, one after the
-other.  Chunks repeat far more often than texts, so each worker keeps the ids of
-the chunks it has met and asks the library for new ones only.  Texts for which
-the split isn't known to be exact (white space that libraries class differently,
-strings of special tokens) and tokenizers of another kind go to the library whole.
+A byte-pair tokenizer never merges across the places its pre-tokenizer splits at,
+so ids of a text are the ids of its white-space chunks, and those the ids of their
+pre-tokens, one after the other.  Both repeat far more often than texts, so each
+worker keeps the ids of chunks and pre-tokens it has met, and gives the library's
+model new pre-tokens only.  Chunks with characters on which Unicode tables might
+differ go to the library whole, and so do texts for which the split at white space
+isn't known to be exact (white space that libraries class differently, strings of special
+tokens) and all texts of tokenizers of another kind.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
+import regex
 
 #: White space other than the six ASCII characters, and invisible characters that some
 #: libraries class as white space and others don't (code points).
@@ -23,66 +27,113 @@ _ODD_SPACE = re.compile("[" + "".join(map(chr, (
 #: A word with the one space before it; white space up to its last character before a
 #: word; other white space.
 _SPACED = re.compile(r" ?\S+|\s+(?=\s\S)|\s+")
+#: The patterns of the two public kinds of pre-tokenizer.
+_SPACED_PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_WORD_PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+#: Characters (of Latin scripts) whose case, normal form and class are the same in every Unicode version.
+_PLAIN = re.compile("[\t-\r -~\u00a1-\u012f\u0131-\u024f]*")
+#: Byte-level alphabet: printable bytes stand for themselves, others for code points from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {
+    b: chr(256 + k) for k, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
+
+
+class _Recent:
+    """The ids of at most ``most`` strings, those met lately: when the younger half is full, the older one goes."""
+
+    def __init__(self, most: int):
+        self.half, self.young, self.old = max(1, most // 2), {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        ids = self.young.get(key)
+        if ids is None and (ids := self.old.get(key)) is not None:
+            self.put(key, ids)
+        return ids
+
+    def put(self, key: str, ids: bytes) -> None:
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        self.young[key] = ids
 
 
 class ChunkEncoder:
     """ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``."""
 
-    def __init__(self, path: str, cached: int = 400_000, longest: int = 48):
+    def __init__(self, path: str, cached: int = 900_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.cached, self.longest = cached, longest
-        self.known: dict[str, bytes] = {}
-        self.split = self._splitter(spec)
+        self.longest, self.chunks, self.pretokens = longest, _Recent(cached), _Recent(cached // 2)
+        self.split, self.pretokenize, self.lower = self._rules(spec)
         special = [re.escape(t["content"]) for t in spec.get("added_tokens", [])]
         self.special = re.compile("|".join(special)) if special else None
 
     @staticmethod
-    def _splitter(spec: dict):
+    def _rules(spec: dict):
+        """(split of a text into chunks, of a chunk into pre-tokens, whether it is lower-cased); None
+        for a tokenizer of another kind."""
         pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and norm is None:
-            return _SPACED.findall
+            return _SPACED.findall, regex.compile(_SPACED_PRETOKENS).findall, False
         parts = pre.get("pretokenizers", [])
         if parts and parts[0].get("type") == "Split" and parts[0].get("behavior") == "Removed" and parts[0].get("invert") \
-                and r"[^\s\p{L}\p{N}]+" in parts[0].get("pattern", {}).get("Regex", "") \
+                and parts[0].get("pattern", {}).get("Regex") == _WORD_PRETOKENS \
                 and [p["type"] for p in parts[1:]] == ["ByteLevel"] and not parts[1].get("use_regex") \
-                and not parts[1].get("add_prefix_space"):
-            return str.split  # white space is dropped
-        return None
+                and not parts[1].get("add_prefix_space") \
+                and [n["type"] for n in (norm or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
+            return str.split, regex.compile(_WORD_PRETOKENS).findall, True  # white space is dropped
+        return None, None, False
 
     def _whole(self, text: str) -> bool:
         return self.split is None or _ODD_SPACE.search(text) is not None or (
             self.special is not None and self.special.search(text) is not None)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _by_library(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _of_pretoken(self, pretoken: str) -> bytes:
+        ids = self.pretokens.get(pretoken)
+        if ids is None:
+            mapped = pretoken if pretoken.isascii() and pretoken.isalnum() else \
+                pretoken.encode().decode("latin-1").translate(_BYTE_CHARS)
+            ids = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+            if len(pretoken) <= self.longest:
+                self.pretokens.put(pretoken, ids)
+        return ids
+
+    def _of_chunk(self, chunk: str, plain: bool) -> bytes:
+        if not plain and not _PLAIN.fullmatch(chunk):
+            return self._by_library(chunk)
+        if self.lower:
+            chunk = chunk.lower()
+        if chunk.isalpha() or chunk[0] == " " and chunk[1:].isalpha():  # one run of letters
+            return self._of_pretoken(chunk)
+        return b"".join(map(self._of_pretoken, self.pretokenize(chunk)))
 
     def encode(self, text: str | None) -> np.ndarray:
         """ids as little-endian unsigned 32-bit integers; none for null or empty text."""
         if not text:
             return np.empty(0, "<u4")
         if self._whole(text):
-            return np.frombuffer(self._ids([text])[0], "<u4")
-        chunks, known = self.split(text), self.known
-        new = list(set(chunks).difference(known))
-        if new:
-            if len(known) + len(new) > self.cached:
-                known.clear()
-                new = list(set(chunks))
-            for i in range(0, len(new), 4096):
-                known.update(zip(new[i:i + 4096], self._ids(new[i:i + 4096])))
-        ids = np.frombuffer(b"".join(map(known.__getitem__, chunks)), "<u4")
-        for c in new:
-            if len(c) > self.longest:
-                del known[c]
-        if len(known) > 2 * self.cached:  # one text of very many chunks
-            known.clear()
-        return ids
+            return np.frombuffer(self._by_library(text), "<u4")
+        out, plain, get = [], _PLAIN.fullmatch(text) is not None, self.chunks.young.get
+        for chunk in self.split(text):
+            ids = get(chunk)
+            if ids is None:
+                ids = self.chunks.get(chunk)
+                if ids is None:
+                    ids = self._of_chunk(chunk, plain)
+                    if len(chunk) <= self.longest:
+                        self.chunks.put(chunk, ids)
+                        get = self.chunks.young.get
+            out.append(ids)
+        return np.frombuffer(b"".join(out), "<u4")
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
