@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bitpack, decontamination, language, licenses, packing, simhash, toxicity
+from . import bitpack, decontamination, language, licenses, packing, quality, simhash, toxicity
 from .common import held_out, pick, table
 
 
@@ -28,6 +28,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("predicted.lang").alias("lang_pred"), F.col("predicted.score").alias("score"))
 
 
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, log_weight, key (with Gumbel noise) and whether the document is sampled."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    own = quality.select(docs, model, columns=["doc_id"])
+    return own.rows.select(F.col("c0").alias("doc_id"), held_out(F.col("c0")).alias("held_out"), "log_weight", "key",
+                           own.selected().alias("selected"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = simhash.components(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return own.select("doc_id", "fingerprint", "component_id")
@@ -54,6 +63,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
     "op5_language_id": op5_language_id,
+    "op6_importance_resampling": op6_importance_resampling,
     "op7_simhash": op7_simhash,
     "op8_license_scan": op8_license_scan,
     "op9_toxicity": op9_toxicity,
