@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bitpack, decontamination, language, licenses, packing, quality, simhash, toxicity
+from . import bitpack, decontamination, language, licenses, neighbours, packing, quality, simhash, toxicity
 from .common import held_out, pick, table
 
 
@@ -20,6 +20,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(20)) == 0, k=20).found
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs)
@@ -62,6 +66,7 @@ def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_language_id": op5_language_id,
     "op6_importance_resampling": op6_importance_resampling,
     "op7_simhash": op7_simhash,
