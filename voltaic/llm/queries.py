@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bitpack, decontamination, language, licenses, neighbours, packing, quality, simhash, toxicity
+from . import bitpack, decontamination, language, licenses, neighbours, packing, quality, simhash, token_counts, toxicity
 from .common import held_out, pick, table
 
 
@@ -20,6 +20,15 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_before, and after personal data is masked: n_tokens, n_edits, n_chars, n_encoded (characters
+    encoded again)."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    trees = token_counts.with_trees(table(spark, sf_dir, "documents"), vocabulary)
+    edited = token_counts.edit_rows(trees.withColumn("edits", token_counts.mask_edits()("text")), "edits", vocabulary)
+    return edited.select("doc_id", "n_before", "n_tokens", "n_edits", F.length("text").alias("n_chars"), "n_encoded")
+
+
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(20)) == 0, k=20).found
 
@@ -66,6 +75,7 @@ def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
+    "op3_token_counts": op3_token_counts,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_language_id": op5_language_id,
     "op6_importance_resampling": op6_importance_resampling,
