@@ -33,8 +33,8 @@ HEADLINE = {
     "q_volatility": "PIP-15",          # per-hub rolling windows
     "q_price_vs_generation": "PIP-16", # join + daily aggregate
     "q_regional_unpivot": "PIP-4",     # orders x customer x nation x region, unpivot
-    "q_dedupe_latest": "SNK-6",        # keep-newest per key on lineitem
-    "q_quality_report": "QC-8",        # one-pass checks over several tables
+    "q_dedupe_latest": "WIN-1",        # keep-newest per key on lineitem
+    "q_quality_report": "QC-8",        # checks over several tables
     "q_upsert": "SNK-5",               # keyed upsert into a partitioned table
 }
 

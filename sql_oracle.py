@@ -11,8 +11,8 @@ from __future__ import annotations
 
 # Fixed values shared with the Spark side (see voltaic.sources.derived).
 POINTS = ("HB_HOUSTON", "HB_NORTH", "HB_SOUTH", "HB_WEST",
-          "LZ_HOUSTON", "LZ_NORTH", "ZONE_A", "RN_1")
-HUBS = ("HB_HOUSTON", "HB_NORTH", "HB_SOUTH", "HB_WEST")
+          "LZ_HOUSTON", "LZ_NORTH", "ZONE_A", "RN_1", "HB_PAN", "HB_BUSAVG")
+HUBS = tuple(sorted(p for p in POINTS if p.startswith("HB_")))
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 # Names of all double-typed result columns (rounded to 6 decimals).
@@ -47,6 +47,8 @@ DOUBLE_COLUMNS = (
     "target_actual_mw", "value", "o_totalprice", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "volatility_7d", "cv_7d_pct", "p10_mw", "p90_mw",
     "total_gwh", "curtailment_gwh",
+    "stwpf_mw", "wgrpp_mw", "forecast_horizon_hours", "mse_forecast", "mse_persistence",
+    "skill_score", "lmp_renewable_corr", "max_6h",
     *HUBS,
     *[f"GEN_{r.replace(' ', '_')}" for r in REGIONS],
     *[f"STPPF_{r.replace(' ', '_')}" for r in REGIONS],
@@ -176,6 +178,21 @@ FROM orders o JOIN geo g ON o.o_custkey = g.c_custkey
 GROUP BY o.o_orderdate"""
 
 
+def _wind_regional() -> str:
+    parts = []
+    for r in REGIONS:
+        hit = f"g.r_name = '{r}'"
+        n = f"NULLIF(COUNT(CASE WHEN {hit} THEN o.o_totalprice END), 0)"
+        parts.append(f"""
+SELECT o.o_orderdate AS interval_start, o.o_orderdate + INTERVAL 1 DAY AS interval_end,
+       o.o_orderdate - INTERVAL 1 DAY AS "Publish_Time", '{r.replace(' ', '_')}' AS region,
+       CAST(SUM(CASE WHEN {hit} THEN CAST(o.o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS gen_mw,
+       MAX(CASE WHEN {hit} THEN o.o_totalprice END) * {n} AS hsl_mw,
+       CAST(250000.0 AS DOUBLE) * {n} AS stwpf_mw, CAST(275000.0 AS DOUBLE) * {n} AS wgrpp_mw
+FROM orders o JOIN geo g ON o.o_custkey = g.c_custkey GROUP BY o.o_orderdate""")
+    return " UNION ALL ".join(parts)
+
+
 def _regional_long() -> str:
     parts = []
     for r in REGIONS:
@@ -217,9 +234,8 @@ def _point_daily(cls: str, range_name: str) -> str:
 def _pivot() -> str:
     cols = ", ".join(f"arg_min(lmp_price, interval_start) FILTER (WHERE settlement_point = '{h}') "
                      f"AS {h}" for h in HUBS)
-    hubs = ", ".join(f"'{h}'" for h in HUBS)
     return (f"SELECT delivery_date, hour_of_day, {cols} FROM lmp WHERE point_type = 'Hub' "
-            f"AND settlement_point IN ({hubs}) GROUP BY delivery_date, hour_of_day")
+            f"GROUP BY delivery_date, hour_of_day")
 
 
 def _dround(expr: str, d: int) -> str:
@@ -333,7 +349,8 @@ FROM feat_rolled WHERE actual_lag_168h IS NOT NULL""",
     "dam_bronze": f"""
 SELECT date_trunc('hour', ts) AS Interval_Start,
        date_trunc('hour', ts) + INTERVAL 1 HOUR AS Interval_End,
-       {_POINT_LIST}[CAST(user_id % 8 AS INTEGER) + 1] AS Location,
+       CASE WHEN hour(ts) = 3 THEN 'HB_PAN'
+            ELSE {_POINT_LIST}[CAST(user_id % {len(POINTS)} AS INTEGER) + 1] END AS Location,
        'SP' AS Location_Type, 'DAM' AS Market,
        CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) - 30.0 AS LMP
 FROM events GROUP BY 1, 2, 3""",
@@ -423,6 +440,14 @@ JOIN region r ON n.n_regionkey = r.r_regionkey""",
 SELECT *, {_i('hour(interval_start)')} AS hour_of_day, {_parts('interval_start')},
        'solar_hourly_actual_forecast_regional' AS _source_table
 FROM ({_regional_long()})""",
+    "wind_regional": f"""
+SELECT *, {_i('hour(interval_start)')} AS hour_of_day, {_parts('interval_start')},
+       'wind_hourly_actual_forecast_regional' AS _source_table
+FROM ({_wind_regional()})""",
+    "zoned": """
+SELECT interval_start,
+       (interval_start AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago' AS local_start
+FROM solar""",
     "ev_hwm": "SELECT max(CAST(ts AS DATE)) AS d FROM events",
     "up_target": "SELECT *, ts AS _ingested_at FROM events "
                  "WHERE ts < (SELECT d FROM ev_hwm) - INTERVAL 2 DAY",
@@ -521,7 +546,9 @@ def build(final: str, round_doubles: bool = True) -> str:
     body = final
     if round_doubles:
         names = ", ".join(f"'{c}'" for c in DOUBLE_COLUMNS)
-        body = (f"SELECT round(round(COLUMNS(lambda c: c IN ({names})), 9), 6) + CAST(0.0 AS DOUBLE), "
+        # decimal rounding, half up, as Spark rounds: a double just under a ...5 boundary is on it
+        body = (f"SELECT CAST(round(TRY_CAST(COLUMNS(lambda c: c IN ({names})) AS DECIMAL(38,9)), 6) AS DOUBLE) "
+                f"+ CAST(0.0 AS DOUBLE), "
                 f"COLUMNS(lambda c: c NOT IN ({names})) FROM ({final}) AS q")
     return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
 
@@ -538,10 +565,12 @@ WIND_CANON = ("interval_start", "interval_end", "report_time", "actual_mw", "hsl
 
 _NO_ROUND = {"INC-1", "QC-1", "QC-2", "QC-3", "QC-4", "QC-5", "QC-6", "QC-8", "AGG-18",
              "PRJ-5", "PRJ-6", "PRJ-7", "PRJ-8", "PRJ-9", "PRJ-10", "PRJ-14", "PRJ-15",
-             "PRJ-16", "PRJ-25", "PRJ-26", "PRJ-27", "SNK-1", "QC-7", "AGG-19"}
+             "PRJ-16", "EXT-zone", "PRJ-25", "PRJ-26", "PRJ-27", "SNK-1", "QC-7", "AGG-19"}
 
 _FINAL = {
-    "SRC-1": "SELECT * FROM solar_bronze",
+    "SRC-1": ("SELECT *, CAST(hour(Interval_Start) AS VARCHAR) AS \"Operator_Note\" FROM solar_bronze "
+              "WHERE Interval_Start >= (SELECT d FROM ev_hwm) - INTERVAL 9 DAY "
+              "AND Interval_Start < (SELECT d FROM ev_hwm) - INTERVAL 1 DAY"),
     "SRC-2": "SELECT * FROM regional_wide_s",
     "SRC-3": "SELECT *, 'lmp_day_ahead_market' AS _source, 'dam_lmp' AS _endpoint, "
              "true AS has_ingested_at FROM dam_bronze",
@@ -686,6 +715,28 @@ _FINAL = {
     "PIP-14": "SELECT * FROM hub_comparison",
     "PIP-15": "SELECT * FROM volatility",
     "PIP-16": "SELECT * FROM correlation",
+    "PIP-4-wind": "SELECT * FROM wind_regional",
+    "EXT-horizon": ("SELECT interval_start, date_diff('second', report_time, interval_start) / 3600.0 "
+                    "AS forecast_horizon_hours, report_time < interval_start AS is_forecast FROM solar"),
+    "EXT-skill": """
+SELECT CAST(interval_start AS DATE) AS date,
+       avg(power(stppf_forecast_mw - actual_mw, 2)) AS mse_forecast,
+       avg(power(actual_lag_24h - actual_mw, 2)) AS mse_persistence, count(*) AS observation_count,
+       1.0 - avg(power(stppf_forecast_mw - actual_mw, 2)) / NULLIF(avg(power(actual_lag_24h - actual_mw, 2)), 0)
+         AS skill_score
+FROM feat_rolled
+WHERE stppf_forecast_mw IS NOT NULL AND actual_mw > 10 AND actual_lag_24h IS NOT NULL
+GROUP BY 1""",
+    "EXT-corr": ("SELECT c.*, x.lmp_renewable_corr FROM correlation c JOIN (SELECT delivery_date, "
+                 "corr(houston_lmp, total_renewable_actual_mw) AS lmp_renewable_corr FROM houston_join "
+                 "GROUP BY delivery_date) x USING (delivery_date)"),
+    "EXT-zone": (f"SELECT interval_start, {_i('hour(local_start)')} AS hour_of_day, "
+                 f"dayname(local_start) AS day_of_week, dayofweek(local_start) IN (0, 6) AS is_weekend FROM zoned"),
+    "EXT-range": """
+SELECT event_id,
+       max(value) OVER (PARTITION BY event_type ORDER BY epoch_s RANGE BETWEEN 21600 PRECEDING AND 1 PRECEDING) AS max_6h,
+       count(value) OVER (PARTITION BY event_type ORDER BY epoch_s RANGE BETWEEN 86400 PRECEDING AND 3600 PRECEDING) AS n_24h
+FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS epoch_s FROM events)""",
 }
 
 

@@ -15,9 +15,7 @@ def spark():
     s = get_session("local[4]", shuffle_partitions=8)
     # tests set their own shared folder; a cluster names it in spark.checkpoint.dir
     if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="voltaic-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="voltaic-test-ckpt-"))
     yield s
 
 

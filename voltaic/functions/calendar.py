@@ -2,13 +2,13 @@
 
 All of them are locale-free built-ins: ``dayofweek`` is 1 = Sunday … 7 = Saturday,
 ``date_format(..., 'EEEE')`` gives the English day name.  Timestamps stay in the
-type they arrive in (the landing files carry ``timestamp_ntz``), so no zone shift
-happens; a caller that has zoned instants converts them before calling.
+type they arrive in (the landing files carry ``timestamp_ntz``), and no zone shift
+happens unless one is asked for (``local_time``, ``zone=``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Peak hours are 07:00 (inclusive) to 22:00 (exclusive), all days.
@@ -20,6 +20,19 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def local_time(ts, zone: str | None, stored_in: str = "UTC") -> Column:
+    """The wall-clock time in ``zone`` of a zone-free timestamp stored as ``stored_in`` time;
+    the timestamp itself without a zone."""
+    if zone is None:
+        return _c(ts)
+    return F.convert_timezone(F.lit(stored_in), F.lit(zone), _c(ts))
+
+
+def forecast_horizon_hours(interval_start, published) -> Column:
+    """Hours from publication to the start of the interval (negative for actuals published later)."""
+    return F.timestamp_diff("SECOND", _c(published), _c(interval_start)) / F.lit(3600.0)
+
+
 def hour_of_day(ts) -> Column:
     return F.hour(_c(ts))
 
@@ -39,29 +52,19 @@ def is_peak_hour(ts, start: int = PEAK_START_HOUR, end: int = PEAK_END_HOUR) ->
 
 
 def calendar_columns(time_col: str, end_col: str | None = None, *, peak: bool = False,
-                     delivery_date: bool = False, parts: tuple[str, ...] = ()) -> dict[str, Column]:
-    """Hour/day-name/weekend (and optionally peak flag, delivery date, hour
-    ending and partition parts) as named expressions."""
-    ts = F.col(time_col)
+                     delivery_date: bool = False, zone: str | None = None) -> dict[str, Column]:
+    """Hour/day-name/weekend (and optionally peak flag, delivery date and hour
+    ending) as named expressions, of the time in ``zone`` if one is given."""
+    ts = local_time(time_col, zone)
     cols: dict[str, Column] = {}
     if delivery_date:
         cols["delivery_date"] = F.to_date(ts)
     if end_col is not None:
         # hour of the interval end: 0 for the last hour of a day, not 24
-        cols["hour_ending"] = F.hour(F.col(end_col))
+        cols["hour_ending"] = F.hour(local_time(end_col, zone))
     cols["hour_of_day"] = hour_of_day(ts)
     cols["day_of_week"] = day_name(ts)
     cols["is_weekend"] = is_weekend(ts)
     if peak:
         cols["is_peak_hour"] = is_peak_hour(ts)
-    for p in parts:
-        cols[p] = {"year": F.year, "month": F.month, "day": F.dayofmonth}[p](ts)
     return cols
-
-
-def with_calendar(df: DataFrame, time_col: str, end_col: str | None = None, *,
-                  peak: bool = False, delivery_date: bool = False,
-                  parts: tuple[str, ...] = ()) -> DataFrame:
-    """``calendar_columns`` added in a single projection."""
-    return df.withColumns(calendar_columns(time_col, end_col, peak=peak,
-                                           delivery_date=delivery_date, parts=parts))

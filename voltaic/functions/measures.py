@@ -14,10 +14,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_div(num, den) -> Column:
-    return F.try_divide(_c(num), _c(den))
-
-
 def pct_of(part, total) -> Column:
     """``part / total * 100``; NULL when total is 0 or NULL."""
     return F.try_divide(_c(part), _c(total)) * F.lit(100.0)

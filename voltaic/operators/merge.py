@@ -1,11 +1,11 @@
 """Keep-newest dedupe and keyed upsert as DataFrame operations.
 
-``dedupe_latest`` is an aggregation, not a window: per key it keeps the row
-with the greatest (order columns…, remaining columns…) struct.  Partial
-aggregation collapses each key on the map side, so a key that holds a third of
-all rows still sends one row per map task through the shuffle, and the result
-is a total order (ties on the order columns are broken by the other columns,
-so a re-run picks the same row).
+``dedupe_latest`` counts keys first (a hash aggregate over the key columns) and
+passes rows whose key is unique through unsorted.  Rows of repeated keys are
+numbered newest first and only the first is kept; Spark applies that limit in
+each map task before the shuffle, so a key that holds a third of all rows sends
+one row per task through it.  The order is total (ties on the order columns are
+broken by the other columns, so a re-run picks the same row).
 
 ``upsert`` is ``target ⟕anti batch ∪ batch`` on null-safe key equality: a NULL
 key matches a NULL key once instead of being inserted again on every run.
@@ -15,22 +15,27 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def dedupe_latest(df: DataFrame, keys: list[str], order_by: list[str] = ("_ingested_at",),
                   tie_break: list[str] | None = None) -> DataFrame:
     """One row per key: the greatest by ``order_by`` (descending), ties broken
-    by ``tie_break`` (default: every other column)."""
+    by ``tie_break`` and then by every other column."""
     keys, order_by = list(keys), list(order_by)
-    rest = tie_break if tie_break is not None else [
-        c for c in df.columns if c not in keys and c not in order_by]
-    carried = order_by + [c for c in rest if c not in order_by]
-    carried += [c for c in df.columns if c not in keys and c not in carried]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*carried)).alias("_best"))
-    return best.select(*keys, *[F.col("_best").getField(c).alias(c) for c in carried]) \
-               .select(*df.columns)
+    rest = [c for c in (tie_break or []) if c not in keys]
+    rest += [c for c in df.columns if c not in keys and c not in rest]
+    order = order_by + [c for c in rest if c not in order_by]
+    # keys seen more than once: counted by hash aggregation over the keys alone
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    rkeys = repeated.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
+    on = _null_safe_on(df, rkeys, keys, "_r_")
+    # rows are ordered only where there is something to choose
+    latest = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in order])
+    chosen = (df.join(rkeys, on, "left_semi").withColumn("_rank", F.row_number().over(latest))
+              .filter(F.col("_rank") == 1).drop("_rank"))
+    return df.join(rkeys, on, "left_anti").unionByName(chosen)
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str], prefix: str):

@@ -21,10 +21,6 @@ from voltaic.functions.measures import pct_of
 from voltaic.operators.quantiles import with_exact_quantiles
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 # ---------------------------------------------------------------- accuracy
 
 def accuracy_base(df: DataFrame, actual: str, forecast: str, floor: float) -> DataFrame:
@@ -273,6 +269,7 @@ def price_vs_generation(lmp: DataFrame, totals: DataFrame, *, point_like: str =
             F.sum(F.when(lmp_c < 0, 1).otherwise(0)).alias("negative_price_hours"),
             F.count(F.lit(1)).alias("hours_count")]
     if with_corr:
-        aggs.append(F.corr(lmp_c, "total_renewable_actual_mw").alias("lmp_renewable_corr"))
+        # NULL, not NaN, where either side doesn't vary
+        aggs.append(F.nullif(F.corr(lmp_c, "total_renewable_actual_mw"), F.lit(float("nan"))).alias("lmp_renewable_corr"))
     return (houston_join(lmp, totals, point_like=point_like).groupBy("delivery_date").agg(*aggs)
             .withColumns({"year": F.year("delivery_date"), "month": F.month("delivery_date")}))

@@ -1,9 +1,9 @@
 """Data-quality checks.
 
-The row count, date range, NULL counts and the number of repeated time values
-come from one job: a grouped count per time value (partially aggregated on the
-map side, so a time value holding a third of the rows costs no more than any
-other) followed by a global aggregate over those groups.
+The row count, date range and NULL counts are one aggregate without a shuffle of
+rows.  The number of repeated time values is a second, grouped pass, made only
+where it is asked for (partially aggregated on the map side, so a time value
+holding a third of the rows costs no more than any other).
 """
 
 from __future__ import annotations
@@ -46,11 +46,12 @@ def _status_only(spark: SparkSession, table: str, status: str, rows=None,
 
 
 def quality_report(df: DataFrame, table: str, time_col: str | None = None,
-                   ingest_col: str = "_ingested_at") -> DataFrame:
+                   ingest_col: str = "_ingested_at", duplicates: bool = True) -> DataFrame:
     """One row: table, status, time column, row count, first/last day, NULL
     time values, NULL ingest stamps, number of time values seen more than once
     (NULL counts as one value).  Status ``empty`` when there are no rows,
-    ``no_time_column`` when no time column is known."""
+    ``no_time_column`` when no time column is known.  ``duplicates=False`` leaves the
+    repeated time values out (NULL), and with them the only shuffle."""
     time_col = time_col or pick_time_column(df.columns)
     if time_col is None:
         return _typed(df.agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -59,22 +60,24 @@ def quality_report(df: DataFrame, table: str, time_col: str | None = None,
             F.lit(None).alias("time_column"), "row_count",
             *[F.lit(None).alias(c) for c in ("min_date", "max_date", "null_time_column",
                                              "null_ingested_at", "duplicate_intervals")]))
-    has_ingest = ingest_col in df.columns
-    # expressions as SQL text: one JVM call each
-    per_time = df.groupBy(F.col(time_col).alias("_t")).agg(
-        F.expr("count(1) AS _n"),
-        F.expr(f"count_if(`{ingest_col}` IS NULL) AS _ni" if has_ingest
-               else "CAST(NULL AS BIGINT) AS _ni"))
-    rep = per_time.agg(
-        F.expr("coalesce(sum(_n), 0) AS row_count"),
-        F.expr("min(to_date(_t)) AS min_date"),
-        F.expr("max(to_date(_t)) AS max_date"),
-        F.expr("coalesce(sum(CASE WHEN _t IS NULL THEN _n END), 0) AS null_time_column"),
-        F.expr(("coalesce(sum(_ni), 0)" if has_ingest else "CAST(NULL AS BIGINT)")
-               + " AS null_ingested_at"),
-        F.expr("count_if(_n > 1) AS duplicate_intervals"))
+    # expressions as SQL text: one JVM call each; partial aggregates of one row a task
+    rep = df.agg(
+        F.expr("count(1) AS row_count"),
+        F.expr(f"min(to_date(`{time_col}`)) AS min_date"),
+        F.expr(f"max(to_date(`{time_col}`)) AS max_date"),
+        F.expr(f"count_if(`{time_col}` IS NULL) AS null_time_column"),
+        F.expr(f"count_if(`{ingest_col}` IS NULL) AS null_ingested_at" if ingest_col in df.columns
+               else "CAST(NULL AS BIGINT) AS null_ingested_at"))
+    rep = rep.withColumn("table_name", F.lit(table))
+    if duplicates:
+        repeated = (df.groupBy(F.col(time_col).alias("_t")).agg(F.expr("count(1) AS _n"))
+                    .agg(F.expr("count_if(_n > 1) AS duplicate_intervals"))
+                    .withColumn("table_name", F.lit(table)))
+        rep = rep.join(repeated, "table_name")  # one row each
+    else:
+        rep = rep.withColumn("duplicate_intervals", F.lit(None).cast("bigint"))
     return _typed(rep.selectExpr(
-        f"{_sql_str(table)} AS table_name",
+        "table_name",
         "CASE WHEN row_count = 0 THEN 'empty' ELSE 'ok' END AS status",
         f"{_sql_str(time_col)} AS time_column",
         "row_count", "min_date", "max_date", "null_time_column", "null_ingested_at",
@@ -82,7 +85,8 @@ def quality_report(df: DataFrame, table: str, time_col: str | None = None,
 
 
 def quality_report_path(spark: SparkSession, path: str, table: str,
-                        time_col: str | None = None, ingest_col: str = "_ingested_at") -> DataFrame:
+                        time_col: str | None = None, ingest_col: str = "_ingested_at",
+                        duplicates: bool = True) -> DataFrame:
     """``quality_report`` of the table stored at ``path``; status
     ``table_not_found`` when there is none."""
     try:
@@ -90,7 +94,7 @@ def quality_report_path(spark: SparkSession, path: str, table: str,
         df = spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException:
         return _status_only(spark, table, "table_not_found")
-    return quality_report(df, table, time_col, ingest_col)
+    return quality_report(df, table, time_col, ingest_col, duplicates)
 
 
 def quality_summary(reports: list[DataFrame]) -> DataFrame:

@@ -117,3 +117,42 @@ def lag_roll(df: DataFrame, order: list[str], value: str, *,
                  for n, (fn, lo, hi) in frames.items()})
     return (staged.withColumns(cols)
             .filter(F.col("_blk") == F.col("_own")).drop("_rn", "_blk", "_own"))
+
+
+def roll_by_entity(df: DataFrame, by: list[str], order: list[str], value: str,
+                   frames: dict[str, tuple[str, int, int]]) -> DataFrame:
+    """Trailing ROWS frames as a plain window per entity: for entities whose rows are bounded
+    (one a day, say).  One shuffle and one sort; ``lag_roll`` cuts longer ones into blocks."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    v = F.col(value)
+    return df.withColumns({n: _FUNCS[fn](v).over(w.rowsBetween(lo, hi)) for n, (fn, lo, hi) in frames.items()})
+
+
+def range_roll(df: DataFrame, time_col: str, value: str, frames: dict[str, tuple[str, int, int]],
+               by: list[str] = (), block_seconds: int | None = None) -> DataFrame:
+    """Trailing RANGE frames over time: name -> (func, lower, upper) in seconds before the row's own
+    time (e.g. ``("avg", -86400, -3600)``: the last day up to an hour ago), whatever
+    gaps the series has.  Several rows of one time see each other if ``upper`` is 0.
+
+    Rows are cut into blocks of time; those that later rows of the next block can reach are sent
+    there too, as history.  A block holds what falls in its time, not the whole series.
+    """
+    for fn, lo, hi in frames.values():
+        if fn not in _FUNCS:
+            raise ValueError(f"unknown frame function {fn}")
+        if hi > 0 or lo > hi:
+            raise ValueError("only trailing frames (lower <= upper <= 0) are supported")
+    reach = max([-lo for _, lo, _ in frames.values()], default=0)
+    block = block_seconds or max(8 * reach, 7 * 86400)
+    if block < reach:
+        raise ValueError(f"block_seconds ({block}) must be >= the longest reach ({reach})")
+    at = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(time_col).cast("timestamp_ntz"))
+    own = F.floor(F.col("_at") / block)
+    reached = F.col("_at") - own * block >= block - reach
+    staged = df.withColumn("_at", at).withColumn("_own", own).withColumn(
+        "_blk", F.explode(F.when(reached, F.array(own, own + 1)).otherwise(F.array(own))))
+    w = Window.partitionBy(*by, "_blk").orderBy("_at")
+    v = F.when(F.col("_at").isNotNull(), F.col(value))
+    out = staged.withColumns({n: _FUNCS[fn](v).over(w.rangeBetween(lo, hi)) for n, (fn, lo, hi) in frames.items()})
+    # rows without a time keep their row, with empty frames, and are in no other row's
+    return out.filter(F.col("_blk").eqNullSafe(F.col("_own"))).drop("_at", "_blk", "_own")

@@ -9,16 +9,18 @@ reproducible (transform / ingest timestamps) are left out of the results.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltaic.operators import merge, metrics, ordering, quality, reshape, series
-from voltaic.plans import gold, reports, silver
+from voltaic.plans import bronze, gold, reports, silver
 from voltaic.session import scratch_path
 from voltaic.sources import derived, landing, tables
-from voltaic.sources.registry import DAM, SOLAR, WIND
+from voltaic.sources.registry import DAM, SOLAR, WIND, WIND_REGIONAL, Source
 
 NONDETERMINISTIC = ("_transformed_at", "_ingested_at")
 
@@ -37,13 +39,21 @@ class Frames:
         return derived.table(self.spark, self.sf, name)
 
     # landing feeds
+    @cached_property
+    def hourly(self):
+        """The hourly aggregate that both resource feeds and their scaffold are built from, stored once:
+        events are scanned once a query."""
+        path = scratch_path(self.spark, "hourly-events")
+        derived.hourly_event_stats(self.table("events")).write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def solar_bronze(self):
-        return derived.solar_feed(self.spark, self.sf)
+        return derived.resource_feed(self.hourly, "solar")
 
     @cached_property
     def wind_bronze(self):
-        return derived.wind_feed(self.spark, self.sf)
+        return derived.resource_feed(self.hourly, "wind")
 
     @cached_property
     def dam_bronze(self):
@@ -53,6 +63,10 @@ class Frames:
     def regional_bronze(self):
         return derived.regional_feed(self.spark, self.sf)
 
+    @cached_property
+    def wind_regional_bronze(self):
+        return derived.regional_feed(self.spark, self.sf, resource="wind")
+
     # silver
     @cached_property
     def solar(self):
@@ -78,6 +92,10 @@ class Frames:
     def regional(self):
         return _clean(silver.transform_regional(self.regional_bronze))
 
+    @cached_property
+    def wind_regional(self):
+        return _clean(silver.transform_regional(self.wind_regional_bronze, WIND_REGIONAL))
+
     @cached_property
     def lmp(self):
         return _clean(silver.transform_lmp_dam(self.dam_bronze))
@@ -158,20 +176,27 @@ class Frames:
     def with_ingest(self, df: DataFrame, time_col: str = "Interval_Start") -> DataFrame:
         return df.withColumn("_ingested_at", F.col(time_col) + F.expr("INTERVAL 1 DAY"))
 
-    @cached_property
-    def quality(self):
+    def reports(self, duplicates: bool = True):
         spark = self.spark
+        rep = functools.partial(quality.quality_report, duplicates=duplicates)
         reps = [
-            quality.quality_report(self.table("events"), "events", "ts"),
-            quality.quality_report(self.table("lineitem"), "lineitem", "l_shipdate"),
-            quality.quality_report(self.with_ingest(self.solar_bronze), SOLAR.name),
-            quality.quality_report(self.with_ingest(self.dam_landed_twice.drop("_ingested_at")),
-                                   DAM.name),
-            quality.quality_report(self.table("customer"), "customer"),
+            rep(self.table("events"), "events", "ts"),
+            rep(self.table("lineitem"), "lineitem", "l_shipdate"),
+            rep(self.with_ingest(self.solar_bronze), SOLAR.name),
+            rep(self.with_ingest(self.dam_landed_twice.drop("_ingested_at")), DAM.name),
+            rep(self.table("customer"), "customer"),
             quality.quality_report_path(spark, scratch_path(spark, "absent"), "fuel_mix"),
         ]
         return quality.quality_summary(reps)
 
+    @cached_property
+    def quality(self):
+        return self.reports()
+
+    @cached_property
+    def quality_counts(self):
+        return self.reports(duplicates=False)
+
 
 # ------------------------------------------------------------ writers (I/O)
 
@@ -181,9 +206,29 @@ def _landed(f: Frames, df: DataFrame, name: str, parts=("year", "month")) -> str
     return path
 
 
+def _last_days(f: Frames, first: int, last: int) -> tuple[str, str]:
+    """The days from ``first`` to ``last`` days before the last event."""
+    hwm = landing.high_water_mark(f.hourly, "Interval_Start")
+    return (hwm - dt.timedelta(days=first)).isoformat(), (hwm - dt.timedelta(days=last)).isoformat()
+
+
 def q_src1(f: Frames) -> DataFrame:
-    path = _landed(f, f.solar_bronze, "landing-solar")
-    return landing.read_feed(f.spark, path, SOLAR).select(*SOLAR.schema.fieldNames())
+    """Solar files with raw column names and a column beyond the declared ones, a range of days."""
+    path, ym = scratch_path(f.spark, "landing-solar"), ("year", "month")
+    df = tables.with_date_parts(f.solar_bronze, parts=ym).withColumn("Operator_Note", F.hour("Interval_Start").cast("string"))
+    raw = df.withColumnsRenamed({c: c.replace("_", " ") for c in ("Interval_Start", "Interval_End", "Publish_Time", "Operator_Note")})
+    tables.write_partitioned(raw, path, ym, "overwrite")
+    start, end = _last_days(f, 9, 2)
+    return landing.read_feed(f.spark, path, SOLAR, start, end).select(*SOLAR.schema.fieldNames(), "Operator_Note")
+
+
+def q_src3(f: Frames) -> DataFrame:
+    """Unstamped price files through the bronze step: its rows carry the lineage."""
+    path, table = scratch_path(f.spark, "landing-dam"), scratch_path(f.spark, "bronze-dam")
+    tables.write_partitioned(f.dam_bronze, path, (), "overwrite")
+    bronze.land(f.spark, path, table, DAM, endpoint="dam_lmp")
+    return tables.read_table(f.spark, table).withColumn(
+        "has_ingested_at", F.col("_ingested_at").isNotNull()).drop("_ingested_at", "year", "month")
 
 
 def q_src4(f: Frames) -> DataFrame:
@@ -215,14 +260,35 @@ def q_snk4(f: Frames) -> DataFrame:
     return tables.read_table(f.spark, path)
 
 
+EVENTS = Source(name="events", schema=T.StructType([]), keys=("event_id",), time_col="ts")
+
+
 def q_snk5(f: Frames) -> DataFrame:
-    target, batch = f.upsert_pair
+    """Two landings of events through the bronze step."""
     path = scratch_path(f.spark, "upsert")
-    tables.upsert_table(f.spark, path, target, ["event_id"], time_col="ts")
-    tables.upsert_table(f.spark, path, batch, ["event_id"], time_col="ts")
+    for name, df in zip(("first", "again"), f.upsert_pair):
+        landed = scratch_path(f.spark, f"landing-events-{name}")
+        tables.write_partitioned(df, landed, (), "overwrite")
+        bronze.land(f.spark, landed, path, EVENTS)
     return tables.read_table(f.spark, path).drop("year", "month")
 
 
+def q_snk6(f: Frames) -> DataFrame:
+    """The stored table deduplicated in place: counts, backup, rewrite."""
+    path = scratch_path(f.spark, "dedupe")
+    tables.write_partitioned(f.table("lineitem"), path, (), "overwrite")
+    tables.dedupe_table(f.spark, path, LINEITEM_KEYS, order_by=("l_shipdate",))
+    return tables.read_table(f.spark, path)
+
+
+def q_inc1(f: Frames) -> DataFrame:
+    """The last loaded day of a partitioned table, from its latest partition."""
+    path = scratch_path(f.spark, "orders")
+    parts = ("year", "month")
+    tables.write_partitioned(tables.with_date_parts(f.table("orders"), "o_orderdate", parts), path, parts, "overwrite")
+    return landing.high_water_mark_path(f.spark, path, "o_orderdate", parts)
+
+
 def q_snk8(f: Frames) -> DataFrame:
     path = _landed(f, f.solar_bronze, "to-backup")
     dst = tables.backup(f.spark, path, parts=("year", "month"))
@@ -251,9 +317,27 @@ def _inc2(f: Frames) -> DataFrame:
 
 
 def _rpt6(f: Frames) -> DataFrame:
-    vol = f.volatility
-    as_of = vol.agg(F.max("date")).scalar()
-    return reports.recent_volatility(vol, as_of=as_of)
+    # the last day of the report is the last one priced: a small aggregate of the price table
+    as_of = f.lmp.filter(F.col("point_type") == "Hub").agg(F.max("delivery_date")).first()[0]
+    return reports.recent_volatility(f.volatility, as_of=as_of)
+
+
+def _skill(f: Frames) -> DataFrame:
+    """Against persistence: the actual 24 rows earlier."""
+    return metrics.skill_score(f.solar_rolled, actual="actual_mw", forecast="stppf_forecast_mw",
+                               floor=gold.SOLAR_FLOOR, persistence="actual_lag_24h")
+
+
+def _zoned(f: Frames) -> DataFrame:
+    return silver.transform_solar_hourly(f.solar_bronze, zone="America/Chicago").select(
+        _S, "hour_of_day", "day_of_week", "is_weekend")
+
+
+def _ranged(f: Frames) -> DataFrame:
+    """Time frames over the events as they come, gaps and repeated times included."""
+    ev = f.table("events").select("event_id", "event_type", "ts", "value")
+    return series.range_roll(ev, "ts", "value", {"max_6h": ("max", -6 * 3600, -1), "n_24h": ("count", -24 * 3600, -3600)},
+                             by=["event_type"]).select("event_id", "max_6h", "n_24h")
 
 
 def _sel(attr: str, *cols, idx=None):
@@ -270,8 +354,7 @@ _DEFS = {
     # sources
     "SRC-1": q_src1,
     "SRC-2": lambda f: landing.sanitize_columns(f.regional_bronze),
-    "SRC-3": lambda f: landing.stamp_lineage(f.dam_bronze, DAM.name, "dam_lmp")
-    .withColumn("has_ingested_at", F.col("_ingested_at").isNotNull()).drop("_ingested_at"),
+    "SRC-3": q_src3,
     "SRC-4": q_src4,
     # sinks
     "SNK-1": lambda f: tables.with_date_parts(f.solar_bronze).select(
@@ -280,18 +363,18 @@ _DEFS = {
     "SNK-3": q_snk3,
     "SNK-4": q_snk4,
     "SNK-5": q_snk5,
-    "SNK-6": _dedupe_lineitem,
+    "SNK-6": q_snk6,
     "SNK-7": lambda f: merge.dedupe_latest(f.dam_landed_twice, list(DAM.keys)),
     "SNK-8": q_snk8,
     # incremental
-    "INC-1": lambda f: landing.high_water_mark_df(f.table("orders"), "o_orderdate"),
+    "INC-1": q_inc1,
     "INC-2": _inc2,
     # quality
-    "QC-1": lambda f: f.quality.select("table_name", "status"),
-    "QC-2": lambda f: f.quality.select("table_name", "row_count"),
-    "QC-3": lambda f: f.quality.select("table_name", "time_column"),
-    "QC-4": lambda f: f.quality.select("table_name", "min_date", "max_date"),
-    "QC-5": lambda f: f.quality.select("table_name", "null_time_column", "null_ingested_at"),
+    "QC-1": lambda f: f.quality_counts.select("table_name", "status"),
+    "QC-2": lambda f: f.quality_counts.select("table_name", "row_count"),
+    "QC-3": lambda f: f.quality_counts.select("table_name", "time_column"),
+    "QC-4": lambda f: f.quality_counts.select("table_name", "min_date", "max_date"),
+    "QC-5": lambda f: f.quality_counts.select("table_name", "null_time_column", "null_ingested_at"),
     "QC-6": lambda f: f.quality.select("table_name", "duplicate_intervals"),
     "QC-7": lambda f: quality.duplicate_keys(f.table("lineitem"), LINEITEM_KEYS),
     "QC-8": lambda f: f.quality,
@@ -354,12 +437,12 @@ _DEFS = {
     "AGG-15": lambda f: f.price_stats[1],
     "AGG-16": lambda f: f.hub_comparison[1],
     "AGG-17": lambda f: f.correlation,
-    "AGG-18": lambda f: f.quality.select("table_name", "row_count", "min_date", "max_date",
+    "AGG-18": lambda f: f.quality_counts.select("table_name", "row_count", "min_date", "max_date",
                                          "null_time_column", "null_ingested_at"),
     "AGG-19": lambda f: quality.duplicate_keys(f.table("lineitem"), LINEITEM_KEYS),
     "AGG-20": lambda f: reshape.pivot_first(
         f.lmp.filter(F.col("point_type") == "Hub"), ["delivery_date", "hour_of_day"],
-        "settlement_point", list(gold.HUBS), "lmp_price", "interval_start"),
+        "settlement_point", None, "lmp_price", "interval_start"),
     # windows
     "WIN-1": _dedupe_lineitem,
     "WIN-2": _sel("solar_rolled", _S, "actual_lag_1h", "actual_lag_24h", "actual_lag_168h"),
@@ -392,6 +475,7 @@ _DEFS = {
     "PIP-2": lambda f: f.wind,
     "PIP-3": lambda f: f.totals,
     "PIP-4": lambda f: f.regional,
+    "PIP-4-wind": lambda f: f.wind_regional,
     "PIP-5": lambda f: f.lmp,
     "PIP-6": lambda f: silver.lmp_hub_daily_summary(f.lmp),
     "PIP-7": lambda f: silver.lmp_load_zone_daily_summary(f.lmp),
@@ -404,6 +488,12 @@ _DEFS = {
     "PIP-14": lambda f: f.hub_comparison[0],
     "PIP-15": lambda f: f.volatility,
     "PIP-16": lambda f: f.correlation,
+    # what the survey adds
+    "EXT-horizon": lambda f: silver.forecast_horizon(f.solar).select(_S, "forecast_horizon_hours", "is_forecast"),
+    "EXT-skill": _skill,
+    "EXT-corr": lambda f: gold.lmp_renewable_correlation(f.lmp, f.totals, with_corr=True),
+    "EXT-zone": _zoned,
+    "EXT-range": _ranged,
 }
 
 QUERIES = {k: _q(v) for k, v in _DEFS.items()}

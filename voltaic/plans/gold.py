@@ -15,8 +15,7 @@ from voltaic.operators import metrics, reshape, series
 # Accuracy floors (MW) below which hours are not scored.
 SOLAR_FLOOR = 10.0
 WIND_FLOOR = 100.0
-# Hub pivot columns and the spreads between them.
-HUBS = ("HB_HOUSTON", "HB_NORTH", "HB_SOUTH", "HB_WEST")
+# The spreads between hubs (each where both hubs are in the data).
 SPREADS = (("HB_HOUSTON", "HB_WEST", "houston_west_spread"),
            ("HB_NORTH", "HB_SOUTH", "north_south_spread"))
 # Price flag thresholds.
@@ -54,6 +53,7 @@ def curtailment_analysis(solar: DataFrame, wind: DataFrame) -> tuple[DataFrame,
     return hourly, metrics.daily_curtailment(solar, wind)
 
 
+# The columns of the feature and volatility tables.
 FEATURE_LAGS = {"actual_lag_1h": 1, "actual_lag_24h": 24, "actual_lag_168h": 168}
 FEATURE_FRAMES = {
     "actual_avg_24h": ("avg", -24, -1),
@@ -99,11 +99,12 @@ def lmp_price_statistics(lmp: DataFrame, exact: bool = True) -> tuple[DataFrame,
             metrics.hub_hourly_patterns(lmp, exact=exact))
 
 
-def hub_hourly_comparison(lmp: DataFrame, hubs=HUBS, spreads=SPREADS) -> DataFrame:
-    """PIP-14 (first table): hub prices side by side per (day, hour), with spreads."""
+def hub_hourly_comparison(lmp: DataFrame, hubs=None, spreads=SPREADS) -> DataFrame:
+    """PIP-14 (first table): prices of all hubs in the data (or of ``hubs``) side by side per
+    (day, hour), with spreads."""
     pivot = reshape.pivot_first(lmp.filter(F.col("point_type") == "Hub"),
                                 ["delivery_date", "hour_of_day"], "settlement_point",
-                                list(hubs), "lmp_price", "interval_start")
+                                None if hubs is None else list(hubs), "lmp_price", "interval_start")
     for a, b, name in spreads:
         pivot = reshape.add_spread(pivot, a, b, name)
     return pivot.withColumns({"year": F.year("delivery_date"),
@@ -133,13 +134,11 @@ def price_flags(df: DataFrame, *, spike_factor: float = SPIKE_FACTOR,
     })
 
 
-def lmp_volatility(daily_stats: DataFrame, block_rows: int | None = None,
-                   method: str = "bucket") -> DataFrame:
-    """PIP-15: trailing 7- and 30-row volatility per hub, CV and price flags."""
+def lmp_volatility(daily_stats: DataFrame) -> DataFrame:
+    """PIP-15: trailing 7- and 30-row volatility per hub, CV and price flags.  A hub has one
+    row a day, so its window is bounded by the time span."""
     hubs = daily_stats.filter(F.col("point_type") == "Hub")
-    rolled = series.lag_roll(hubs, ["date"], "avg_price", frames=VOLATILITY_FRAMES,
-                             by=["settlement_point"], block_rows=block_rows,
-                             bucket=F.trunc("date", "month"), method=method)
+    rolled = series.roll_by_entity(hubs, ["settlement_point"], ["date"], "avg_price", VOLATILITY_FRAMES)
     rolled = rolled.withColumns({
         "cv_7d": pct_of("rolling_7d_stddev", "rolling_7d_avg"),
         "cv_30d": pct_of("rolling_30d_stddev", "rolling_30d_avg"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.functions.calendar import calendar_columns
+from voltaic.functions.calendar import calendar_columns, forecast_horizon_hours
 from voltaic.functions.classify import classify_point
 from voltaic.functions.measures import curtailment, forecast_error, forecast_error_pct
 from voltaic.operators import metrics, reshape
@@ -23,16 +23,14 @@ def lineage_columns(source_table: str) -> dict:
     return {"_transformed_at": F.current_timestamp(), "_source_table": F.lit(source_table)}
 
 
-def stamp_transform(df: DataFrame, source_table: str) -> DataFrame:
-    return df.withColumns(lineage_columns(source_table))
-
-
-def transform_hourly(bronze: DataFrame, source: Source, forecast: str) -> DataFrame:
+def transform_hourly(bronze: DataFrame, source: Source, forecast: str,
+                     zone: str | None = None) -> DataFrame:
     """PIP-1 / PIP-2: canonical names, calendar, error vs ``<forecast>``,
-    curtailment estimate, lineage and partition columns (one projection)."""
+    curtailment estimate, lineage and partition columns (one projection).  Calendar columns
+    are of the time in ``zone`` (stored as UTC), or of the time as stored without one."""
     df = rename(bronze, source.rename, source.required)
     fc = f"{forecast}_forecast_mw"
-    cols = calendar_columns("interval_start")
+    cols = calendar_columns("interval_start", zone=zone)
     cols.update({
         f"{forecast}_error_mw": forecast_error("actual_mw", fc),
         f"{forecast}_error_pct": forecast_error_pct("actual_mw", fc),
@@ -44,12 +42,18 @@ def transform_hourly(bronze: DataFrame, source: Source, forecast: str) -> DataFr
     return df.withColumns(cols)
 
 
-def transform_solar_hourly(bronze: DataFrame) -> DataFrame:
-    return transform_hourly(bronze, SOLAR, "stppf")
+def transform_solar_hourly(bronze: DataFrame, zone: str | None = None) -> DataFrame:
+    return transform_hourly(bronze, SOLAR, "stppf", zone)
+
+
+def transform_wind_hourly(bronze: DataFrame, zone: str | None = None) -> DataFrame:
+    return transform_hourly(bronze, WIND, "stwpf", zone)
 
 
-def transform_wind_hourly(bronze: DataFrame) -> DataFrame:
-    return transform_hourly(bronze, WIND, "stwpf")
+def forecast_horizon(silver: DataFrame) -> DataFrame:
+    """Hours ahead of the interval that its report was published, and whether it was a forecast then."""
+    h = forecast_horizon_hours("interval_start", "report_time")
+    return silver.withColumns({"forecast_horizon_hours": h, "is_forecast": h > 0})
 
 
 SLIM_COLUMNS = ("interval_start", "interval_end", "actual_mw", "hsl_mw",
@@ -72,12 +76,15 @@ def renewable_totals(by_tag: dict[str, DataFrame]) -> DataFrame:
     return metrics.hourly_totals(combined_resources(by_tag), parts=tuple(by_tag))
 
 
-def transform_regional(bronze_wide: DataFrame, source: Source = SOLAR_REGIONAL,
-                       metrics_=("GEN", "STPPF")) -> DataFrame:
-    """PIP-4: sanitise names, unpivot ``<METRIC>_<REGION>`` to one row per
-    (interval, region) with a column per metric, calendar and partitions."""
-    df = rename(sanitize_columns(bronze_wide), source.rename)
-    long = reshape.unpivot_regions(df, ["interval_start", "interval_end"], metrics_)
+def transform_regional(bronze: DataFrame, source: Source = SOLAR_REGIONAL) -> DataFrame:
+    """PIP-4: sanitise names, unpivot every ``<METRIC>_<REGION>`` column to one row per
+    (interval, region) with a column per metric, calendar and partitions.  All other
+    columns (publish time, lineage) are carried; a feed that is long already (its region is a
+    column) keeps its rows."""
+    df = rename(sanitize_columns(bronze), source.rename, ("Interval_Start",))
+    df = df.drop("year", "month", "day")  # derived again below
+    region = next((c for c in source.region_cols if c in df.columns), None)
+    long = df.withColumnRenamed(region, "region") if region else reshape.unpivot_regions(df)
     cols = {"hour_of_day": F.hour("interval_start"), "year": F.year("interval_start"),
             "month": F.month("interval_start"), "day": F.dayofmonth("interval_start")}
     cols.update(lineage_columns(source.name))

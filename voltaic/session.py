@@ -50,9 +50,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set to a private temp folder only when the session has none and runs in
-    local mode (tests); on a cluster a missing setting is an error, since a
-    machine-local folder is not visible to the executors.
+    Only when the session has none and runs in local mode (tests) is a private temp
+    folder used, the same for the whole application; on a cluster a missing setting
+    is an error, since a machine-local folder is not visible to the executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -67,10 +67,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
                                "object store): staging, backups and checkpoints are written there")
+        if sc is None:  # a local Connect session can't be told a folder
+            raise RuntimeError("set spark.checkpoint.dir: this session has no SparkContext")
         root = tempfile.mkdtemp(prefix="voltaic-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        if sc is not None:
-            sc.setCheckpointDir(root)
+        sc.setCheckpointDir(root)  # getCheckpointDir() names it from now on
     return root.rstrip("/")
 
 
@@ -79,13 +79,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-               max_partitions: int = 100_000) -> dict:
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle sizing for a cluster run: enough initial shuffle partitions that
     each holds about ``target_partition_bytes`` of the input (AQE coalesces the
     small ones and splits skewed join partitions at run time), and scan splits
     of 256 MB.  Apply with ``get_session(extra=scale_conf(n))``."""
-    parts = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    parts = max(200, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(256 << 20),

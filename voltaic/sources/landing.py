@@ -1,5 +1,5 @@
-"""Landing-side readers: declared-schema reads, name sanitising, lineage
-stamps, renames, the high-water mark and the incremental load range."""
+"""Landing-side readers: lossless reads cast to the declared types, name sanitising,
+lineage stamps, renames, the high-water mark and the incremental load range."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltaic.sources.files import partition_dir, partition_dirs
 from voltaic.sources.registry import Source
 
 # Default start of a first load and the late-data lookback.
@@ -80,33 +81,82 @@ def landed_schema(source: Source) -> T.StructType:
     return T.StructType(list(source.schema.fields) + list(LINEAGE_FIELDS))
 
 
+def normalize_landed(df: DataFrame, source: Source) -> DataFrame:
+    """A landed frame as bronze takes it: names sanitised, the columns the feed can't do without
+    present, declared columns cast to their declared types, all others kept as they are.
+
+    Nothing is invented: a declared column that the files lack stays absent, and a missing
+    time, key or measure column is an error.  Measures of an ``open_schema`` feed that
+    arrive as text (CSV) are doubles by contract.
+    """
+    df = sanitize_columns(df)
+    needed = [c for c in (source.time_col, *source.keys, *source.required) if c not in df.columns]
+    if needed:
+        raise ValueError(f"{source.name}: the landed files lack {sorted(set(needed))}; they have {df.columns}")
+    declared = {f.name: f.dataType for f in landed_schema(source).fields}
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    known = {*declared, *source.partitions, *source.region_cols}
+    cols = []
+    for c in df.columns:
+        if c in declared:
+            cols.append(F.col(f"`{c}`").cast(declared[c]).alias(c))
+        elif source.open_schema and c in text and c not in known and (source.all_measures or _is_measure(c)):
+            cols.append(F.col(f"`{c}`").cast("double").alias(c))
+        else:
+            cols.append(F.col(f"`{c}`"))
+    return df.select(*cols)
+
+
+#: Prefixes of the measures of regional feeds.
+MEASURES = ("COP_HSL", "GEN", "HSL", "PVGRPP", "STPPF", "STWPF", "WGRPP")
+
+
+def _is_measure(name: str) -> bool:
+    return any(name.startswith(f"{m}_") for m in MEASURES)
+
+
+def landed_paths(spark: SparkSession, path: str, source: Source, start=None, end=None) -> list[str]:
+    """The partition folders of the landing that can hold days of ``[start, end]``; the landing
+    itself if it isn't partitioned as the source declares or no range is given."""
+    if start is None and end is None:
+        return [path]
+    parts = [p for p in source.partitions if p in ("year", "month", "day")]
+    found = partition_dirs(spark, path, parts)
+    if not found:
+        return [path]
+    lo = _as_date(start) if start is not None else None
+    hi = _as_date(end) if end is not None else None
+
+    def within(values):
+        if None in values:
+            return False
+        a = (lo.year, lo.month, lo.day)[:len(values)] if lo else None
+        b = (hi.year, hi.month, hi.day)[:len(values)] if hi else None
+        return (a is None or values >= a) and (b is None or values <= b)
+
+    return [f"{path.rstrip('/')}/{partition_dir(parts, v)}" for v in sorted(v for v in found if within(v))]
+
+
 def read_feed(spark: SparkSession, path: str, source: Source, start=None, end=None,
               fmt: str = "parquet") -> DataFrame:
-    """Read a landed feed with its declared schema (no inference) and keep
-    ``[start, end]`` by its time column.
-
-    Parquet and JSON are read with the declared schema plus the lineage
-    stamps: no footer of the landing history is read to infer a schema, a
-    column a file lacks reads as NULL and a column of another type fails.
-    CSV is read with the declared schema and its header is checked against it.
-    Wide feeds (``open_schema``: a column per region or fuel) are read as
-    stored.
+    """The landed feed for the days ``[start, end]`` (by its time column), lossless: by stored names,
+    with every column of the files in range (their schemas merged), then ``normalize_landed``.
+
+    CSV is read by its header with all columns as text, so no scan infers types; JSON
+    names come from the files.  Only the partition folders in range are listed and read.
     """
+    paths = landed_paths(spark, path, source, start, end)
+    if not paths:  # no folder in range: the feed's columns, no rows
+        return range_filter(read_feed(spark, path, source, fmt=fmt).limit(0), source.time_col, start, end)
     reader = spark.read.format(fmt)
-    if fmt in ("parquet", "json") and not source.open_schema:
-        reader = reader.schema(landed_schema(source))
-    if fmt == "csv" and source.open_schema:
-        # wide CSV: the columns come from the header, the types from the data
-        reader = reader.option("header", "true").option("inferSchema", "true")
-    elif fmt == "csv":
-        # the declared schema is the contract; header names must match it
-        # (a file with its columns in another order fails instead of being
-        # read by position)
-        reader = (reader.schema(source.schema).option("header", "true")
-                  .option("enforceSchema", "false"))
-    df = reader.load(path)
-    have = set(df.columns)
-    parts = tuple(p for p in source.partitions if p in have)
+    if paths != [path]:
+        reader = reader.option("basePath", path)
+    if fmt == "csv":
+        reader = reader.option("header", "true").option("inferSchema", "false")
+    elif fmt == "parquet":
+        reader = reader.option("mergeSchema", "true")
+    df = normalize_landed(reader.load(paths), source)
+    parts = tuple(p for p in source.partitions if p in df.columns)
     return range_filter(df, source.time_col, start, end, parts)
 
 
@@ -132,6 +182,21 @@ def high_water_mark(df: DataFrame | None, time_col: str) -> dt.date | None:
     return row["max_date"] if row is not None else None
 
 
+def high_water_mark_path(spark: SparkSession, path: str, time_col: str, parts=("year", "month")) -> DataFrame:
+    """``high_water_mark_df`` of a stored table, from its latest partition alone.
+
+    The greatest partition is found from directory names; only it is read.  Where it holds
+    no time (or the table isn't partitioned by date), the next older one, and at last the
+    whole table, is asked.
+    """
+    dated = sorted(v for v in partition_dirs(spark, path, parts) if None not in v)
+    for values in reversed(dated):
+        df = high_water_mark_df(spark.read.parquet(f"{path.rstrip('/')}/{partition_dir(parts, values)}"), time_col)
+        if df.first()["max_date"] is not None:
+            return df
+    return high_water_mark_df(spark.read.parquet(path), time_col)
+
+
 def load_range(last_loaded: dt.date | None, *, load_type: str = "incremental",
                lookback_days: int = LOOKBACK_DAYS, default_start: str = DEFAULT_START,
                start=None, end=None, today: dt.date | None = None) -> tuple[str, str]:

@@ -33,6 +33,15 @@ class Source:
     # wide feeds carry columns beyond the declared ones (one per region or
     # fuel): they are read as stored, not with the declared schema
     open_schema: bool = False
+    # every undeclared column of the open schema is a measure (a double by contract); else
+    # those named like one are
+    all_measures: bool = False
+    # columns that join the key where a feed carries them (its long form)
+    region_cols: tuple[str, ...] = ()
+
+    def keys_for(self, columns) -> tuple[str, ...]:
+        """The business key of a frame with these columns: a long feed is keyed by its region as well."""
+        return self.keys + tuple(c for c in self.region_cols if c in columns and c not in self.keys)
 
 
 # Landing column names and canonical names of each feed.
@@ -93,19 +102,20 @@ DAM = Source(
     keys=("Interval_Start", "Location", "Market", "Location_Type"),
     time_col="Interval_Start", rename=DAM_RENAME, required=("LMP",),
 )
-# Regional feeds arrive wide (GEN_<REGION>, STPPF_<REGION>); their long form is
-# keyed by (Interval_Start, region) after unpivoting.
+# Regional feeds arrive wide (GEN_<REGION>, STPPF_<REGION>) or long, a row per interval and
+# region; the region is then part of the key.
+REGION_COLS = ("Geographic_Region", "Region", "region")
 SOLAR_REGIONAL = Source(
     name="solar_hourly_actual_forecast_regional",
     schema=_schema(("Interval_Start", TS), ("Interval_End", TS)),
     keys=("Interval_Start",), time_col="Interval_Start", rename=REGIONAL_RENAME,
-    open_schema=True,
+    open_schema=True, region_cols=REGION_COLS,
 )
 WIND_REGIONAL = Source(
     name="wind_hourly_actual_forecast_regional",
     schema=_schema(("Interval_Start", TS), ("Interval_End", TS)),
     keys=("Interval_Start",), time_col="Interval_Start", rename=REGIONAL_RENAME,
-    open_schema=True,
+    open_schema=True, region_cols=REGION_COLS,
 )
 LOAD_FORECAST = Source(
     name="load_forecast_7day",
@@ -117,7 +127,7 @@ FUEL_MIX = Source(
     name="fuel_mix",
     schema=_schema(("Time", TS)),
     keys=("Time",), time_col="Time", partitions=("year", "month", "day"),
-    open_schema=True,
+    open_schema=True, all_measures=True,
 )
 LMP_SETTLEMENT_POINT = Source(
     name="lmp_by_settlement_point",

@@ -4,7 +4,8 @@ dedupe of a stored table, and run-stamped backups.
 
 A table is never overwritten from a plan that still reads it: the new content
 is first written to a staging directory under the shared checkpoint folder
-(which also cuts the lineage), and the target is rewritten from there.
+(which also cuts the lineage), the target is rewritten from there, and the staging
+directory is deleted.
 """
 
 from __future__ import annotations
@@ -12,13 +13,13 @@ from __future__ import annotations
 import datetime as dt
 import functools
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaic.operators.merge import dedupe_latest, upsert
 from voltaic.session import scratch_path
-from voltaic.sources.landing import LOAD_TYPES
+from voltaic.sources import files
+from voltaic.sources.landing import LOAD_TYPES, stamp_lineage
 from voltaic.sources.registry import Source
 
 _PART_FUNCS = {"year": F.year, "month": F.month, "day": F.dayofmonth}
@@ -36,21 +37,26 @@ def with_date_parts(df: DataFrame, time_col: str | None = None,
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing only
-        return True
-    except AnalysisException:
-        return False
+    """Whether a table stands at ``path`` (one folder listing)."""
+    return files.has_data(spark, path)
 
 
-def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
+    """The stored table, with the columns of all its files (appends may have added some);
+    ``merge_schema=False`` reads one file's schema, where it is known to be the only one."""
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, parts=(), mode: str = "append") -> None:
     """``append`` adds files (readers evolve the schema with ``mergeSchema``);
     ``overwrite`` replaces the whole table; ``replace_partitions`` replaces
-    only the partitions present in ``df``."""
+    only the partitions present in ``df``.
+
+    Rows are dealt out by partition first (a rebalance, which adaptive execution splits where
+    a partition is large and joins where they are small), so that a partition gets a few files
+    and not one from every task."""
+    if parts:
+        df = df.hint("rebalance", *[F.col(p) for p in parts])
     w = df.write.format("parquet")
     if mode == "replace_partitions":
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -63,11 +69,25 @@ def write_partitioned(df: DataFrame, path: str, parts=(), mode: str = "append")
     w.save(path)
 
 
-def _stage(spark: SparkSession, df: DataFrame, parts, name: str) -> DataFrame:
-    staged = scratch_path(spark, f"stage-{name}")
-    write_partitioned(df, staged, parts, "overwrite")
-    # the frame's own schema: an empty stage (no files) reads as no rows
-    return spark.read.schema(df.schema).parquet(staged)
+class _Staged:
+    """A frame written to the shared scratch folder, deleted when the block ends well; if it
+    fails the copy stays, and the error names it."""
+
+    def __init__(self, spark: SparkSession, df: DataFrame, name: str, parts=()):
+        self.spark, self.path = spark, scratch_path(spark, f"stage-{name}")
+        write_partitioned(df, self.path, parts, "overwrite")
+        # the frame's own schema: an empty stage (no files) reads as no rows
+        self.df = spark.read.schema(df.schema).parquet(self.path)
+
+    def __enter__(self) -> DataFrame:
+        return self.df
+
+    def __exit__(self, kind, error, trace) -> bool:
+        if error is None:
+            files.delete(self.spark, self.path)
+        else:
+            error.add_note(f"the staged rows are kept at {self.path}")
+        return False
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], *,
@@ -75,10 +95,11 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
                  on_missing_key: str = "error") -> dict:
     """Merge ``batch`` into the table at ``path`` by ``keys``.
 
-    First load: the (deduplicated) batch is written.  Later loads: only the
-    partitions the batch touches are read, merged (``merge.upsert``), staged
-    and written back with dynamic partition overwrite; all other partitions
-    are not read or rewritten.  A batch without a key column raises, unless
+    The batch is evaluated once, deduplicated, into a staged copy, from which everything
+    else is derived.  First load: it is written.  Later loads: only the partitions the batch
+    touches are read, merged (``merge.upsert``), staged and written back with dynamic
+    partition overwrite; all other partitions are not read or rewritten.  Staged copies are
+    deleted after the commit.  A batch without a key column raises, unless
     ``on_missing_key='append'``.
     """
     missing = [k for k in keys if k not in batch.columns]
@@ -88,12 +109,16 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
             raise ValueError(f"merge keys {missing} not in batch columns {batch.columns}")
         write_partitioned(batch, path, parts, "append")
         return {"action": "append", "path": path}
+    newest = dedupe_latest(batch, keys, list(order_by))
     if not table_exists(spark, path):
-        write_partitioned(dedupe_latest(batch, keys, order_by), path, parts, "overwrite")
+        write_partitioned(newest, path, parts, "overwrite")
         return {"action": "create", "path": path}
-    # schema from one footer: enough for the key and partition columns used
-    # below; the merged partitions are read with their own merged schema
-    stored = read_table(spark, path)
+    with _Staged(spark, newest, "batch") as own:
+        return _merge_staged(spark, path, own, keys, time_col, tuple(parts), list(order_by))
+
+
+def _merge_staged(spark, path, batch, keys, time_col, parts, order_by) -> dict:
+    stored = read_table(spark, path, merge_schema=False)  # keys and partition columns only
     # the batch's partitions: one small aggregate (bounded by the number of
     # partitions), flagged 1
     found = batch.select(*parts, F.lit(1).alias("_in_batch"))
@@ -117,42 +142,28 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
             return {"action": "none", "path": path, "partitions": 0}
         touched = batch_parts = set()
     target = (_read_partitions(spark, path, parts, touched, like=stored) if parts
-              else read_table(spark, path, merge_schema=True))
-    merged = upsert(target.drop(*parts), batch.drop(*parts), keys, list(order_by))
+              else read_table(spark, path))
+    merged = upsert(target.drop(*parts), batch.drop(*parts), keys, order_by, dedupe_batch=False)
     merged = with_date_parts(merged, time_col, parts)   # partitions always from the time column
-    staged = _stage(spark, merged, parts, "upsert")
-    write_partitioned(staged, path, parts, "replace_partitions")
-    if parts and touched - batch_parts:
-        # dynamic overwrite leaves a partition alone when the merge emptied it
-        # (all its rows moved to another partition): drop those explicitly.
-        # Only partitions that hold no batch row can end up empty.
-        kept = {tuple(r) for r in staged.select(*parts).distinct().collect()}
-        _drop_partitions(spark, path, parts, touched - kept)
+    with _Staged(spark, merged, "upsert", parts) as staged:
+        write_partitioned(staged, path, parts, "replace_partitions")
+        if parts and touched - batch_parts:
+            # dynamic overwrite leaves a partition alone when the merge emptied it
+            # (all its rows moved to another partition): drop those explicitly.
+            # Only partitions that hold no batch row can end up empty.
+            kept = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+            _drop_partitions(spark, path, parts, touched - kept)
     return {"action": "merge", "path": path, "partitions": len(touched)}
 
 
-def _partition_dir(parts, values) -> str:
-    return "/".join(f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"
-                    for p, v in zip(parts, values))
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def _read_partitions(spark: SparkSession, path: str, parts, values, like: DataFrame) -> DataFrame:
     """The stored rows of the given partitions, with the schema merged over
     those partitions' files only: an incremental load reads the footers of
     the partitions it touches, not of the whole table.  Partitions that do not
-    exist yet are skipped (NULL-safe: the NULL partition is a directory too)."""
-    jvm, root, fs = _file_system(spark, path)
-    dirs = []
-    for v in values:
-        sub = _partition_dir(parts, v)
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(root, sub)):
-            dirs.append(f"{path.rstrip('/')}/{sub}")
+    exist yet are skipped (NULL-safe: the NULL partition is a directory too);
+    one listing by level finds those that do."""
+    there = set(files.partition_dirs(spark, path, parts))
+    dirs = [f"{path.rstrip('/')}/{files.partition_dir(parts, v)}" for v in values if tuple(v) in there]
     if not dirs:
         return like.filter(F.lit(False))
     return (spark.read.option("basePath", path).option("mergeSchema", "true")
@@ -160,16 +171,14 @@ def _read_partitions(spark: SparkSession, path: str, parts, values, like: DataFr
 
 
 def _drop_partitions(spark: SparkSession, path: str, parts, values) -> None:
-    """Delete partition directories through Hadoop's file system layer (works
-    for any shared-storage URI).  Directory names are written as Spark writes
+    """Delete partition directories.  Directory names are written as Spark writes
     them for the numeric date parts the feeds are partitioned by
     (``year=2024/month=1``); string values needing escaping are not expected."""
     values = [v for v in values if len(v) == len(parts) and len(v) > 0]
     if not parts or not values:
         return                      # never the table root
-    jvm, root, fs = _file_system(spark, path)
     for vals in values:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, _partition_dir(parts, vals)), True)
+        files.delete(spark, f"{path.rstrip('/')}/{files.partition_dir(parts, vals)}")
 
 
 def load_bronze(spark: SparkSession, path: str, batch: DataFrame, source: Source, *,
@@ -183,7 +192,9 @@ def load_bronze(spark: SparkSession, path: str, batch: DataFrame, source: Source
     """
     if load_type not in LOAD_TYPES:
         raise ValueError(f"load_type must be one of {LOAD_TYPES}")
-    parts, keys = tuple(source.partitions), list(source.keys)
+    parts, keys = tuple(source.partitions), list(source.keys_for(batch.columns))
+    if "_ingested_at" not in batch.columns:  # keep-newest needs an order
+        batch = stamp_lineage(batch, source.name, source.name)
     if load_type == "full":
         missing = [k for k in keys if k not in batch.columns]
         if missing:
@@ -196,12 +207,12 @@ def load_bronze(spark: SparkSession, path: str, batch: DataFrame, source: Source
 
 
 def backup(spark: SparkSession, src: str, dst: str | None = None, parts=()) -> str:
-    """Copy the table at ``src`` to ``dst`` (default: a run-stamped path next
-    to the shared checkpoint folder).  Restore = ``backup(spark, dst, src)``."""
-    stamp = dt.datetime.now().strftime("%Y%m%d_%H%M%S")
-    dst = dst or scratch_path(spark, f"backup_{stamp}")
+    """Copy the table at ``src`` to ``dst`` (default: a run-stamped path beside the table, which no
+    cleaning of scratch folders touches).  Restore = ``backup(spark, dst, src)``."""
+    stamp = dt.datetime.now().strftime("%Y%m%d_%H%M%S_%f")
+    dst = dst or f"{src.rstrip('/')}_backup_{stamp}"
     # every file's schema: a column that appends added to some files is kept
-    write_partitioned(read_table(spark, src, merge_schema=True), dst, parts, "overwrite")
+    write_partitioned(read_table(spark, src), dst, parts, "overwrite")
     return dst
 
 
@@ -209,22 +220,38 @@ def dedupe_table(spark: SparkSession, path: str, keys: list[str], *,
                  order_by=("_ingested_at",), parts=()) -> dict:
     """Keep the newest row per key in the table at ``path``.
 
-    Counts before/after come from one grouped job; the table is backed up and
-    rewritten only when something is removed.
+    Counts before/after, and the partitions that hold a key more than once, come from one grouped
+    job over the keys.  Only those partitions are backed up and rewritten, and only if
+    something is removed.
     """
-    df = read_table(spark, path, merge_schema=True)   # the rewrite keeps every column
-    row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .agg(F.sum("_n").alias("before"), F.count(F.lit(1)).alias("after")).first())
+    df, parts = read_table(spark, path), tuple(parts)   # the rewrite keeps every column
+    in_key = all(p in keys for p in parts)
+    where = [] if in_key else [F.collect_set(F.struct(*parts)).alias("_parts")]
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *where)
+    row = per_key.agg(F.sum("_n").alias("before"), F.count(F.lit(1)).alias("after")).first()
     before, after = int(row["before"] or 0), int(row["after"] or 0)
-    out = {"before": before, "after": after, "removed": before - after, "backup": None}
-    if before > after:
-        out["backup"] = backup(spark, path, parts=parts)
-        staged = _stage(spark, dedupe_latest(df, keys, list(order_by)), parts, "dedupe")
-        write_partitioned(staged, path, parts, "overwrite")
+    out = {"before": before, "after": after, "removed": before - after, "backup": None, "partitions": 0}
+    if before == after:
+        return out
+    if parts:
+        repeated = per_key.filter("_n > 1")
+        repeated = repeated.select(*parts) if in_key else repeated.select(F.explode("_parts").alias("p")).select("p.*")
+        touched = {tuple(r) for r in repeated.distinct().collect()}  # bounded by the number of partitions
+        df = _read_partitions(spark, path, parts, touched, like=df)
+        out["partitions"] = len(touched)
+    stamp = dt.datetime.now().strftime("%Y%m%d_%H%M%S_%f")
+    out["backup"] = f"{path.rstrip('/')}_backup_{stamp}"
+    write_partitioned(df, out["backup"], parts, "overwrite")
+    with _Staged(spark, dedupe_latest(df, keys, list(order_by)), "dedupe", parts) as staged:
+        write_partitioned(staged, path, parts, "replace_partitions" if parts else "overwrite")
+        if parts:
+            kept = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+            _drop_partitions(spark, path, parts, touched - kept)
     return out
 
 
 def dedupe_source_table(spark: SparkSession, path: str, source: Source) -> dict:
     """``dedupe_table`` with the feed's own business keys and partitions from
     the registry (e.g. ``dedupe_source_table(spark, path, DAM)``)."""
-    return dedupe_table(spark, path, list(source.keys), parts=source.partitions)
+    return dedupe_table(spark, path, list(source.keys_for(read_table(spark, path).columns)),
+                        parts=source.partitions)

@@ -17,10 +17,14 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from voltaic.session import checkpoint_root
-from voltaic.sources.landing import LINEAGE_FIELDS, landed_schema  # noqa: F401 (re-exported)
+from voltaic.sources import files
+from voltaic.sources.landing import (  # noqa: F401 (LINEAGE_FIELDS is re-exported)
+    LINEAGE_FIELDS, landed_schema, normalize_landed, stamp_lineage,
+)
 from voltaic.sources.registry import Source
 from voltaic.sources.tables import upsert_table
 
@@ -33,31 +37,44 @@ def stream_checkpoint(spark: SparkSession, table_path: str, source: Source) -> s
     return f"{checkpoint_root(spark)}/stream-{source.name}-{digest}"
 
 
+def stream_schema(spark: SparkSession, landing_dir: str, source: Source, fmt: str = "parquet") -> T.StructType:
+    """The schema a stream over the landing reads with: that of all files landed so far, so that
+    no column is lost (a column that first lands later is picked up at the next start), or the
+    declared one while nothing has landed."""
+    if not files.has_data(spark, landing_dir):
+        return landed_schema(source)
+    reader = spark.read.format(fmt).option("mergeSchema", "true")
+    if fmt == "csv":
+        reader = reader.option("header", "true").option("inferSchema", "false")
+    return reader.load(landing_dir).schema
+
+
 def start_incremental_upsert(spark: SparkSession, landing_dir: str, table_path: str,
-                             source: Source, *, keys=None, parts=("year", "month"),
+                             source: Source, *, keys=None, parts=None,
                              checkpoint: str | None = None, available_now: bool = True,
                              processing_time: str = "1 hour", fmt: str = "parquet",
-                             max_files_per_trigger: int | None = None) -> StreamingQuery:
+                             max_files_per_trigger: int | None = 1000) -> StreamingQuery:
     """Start the stream; returns the running query (``awaitTermination()`` it
-    for an available-now run)."""
-    keys = list(keys or source.keys)
-    reader = spark.readStream.format(fmt).schema(landed_schema(source))
+    for an available-now run).
+
+    A micro-batch goes the way a batch load goes (``normalize_landed``, the source's partitions and
+    key), and is bounded by ``max_files_per_trigger`` files.
+    """
+    parts = tuple(source.partitions if parts is None else parts)
+    reader = spark.readStream.format(fmt).schema(stream_schema(spark, landing_dir, source, fmt))
+    if fmt == "csv":
+        reader = reader.option("header", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(landing_dir)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        # the merge runs several actions over the micro-batch: keep it (memory,
-        # spilling to disk) instead of re-reading the landed files each time.
-        # A micro-batch is bounded by maxFilesPerTrigger; a lost block is
-        # recomputed from the files.
-        batch.persist()
-        try:
-            if not batch.isEmpty():
-                upsert_table(batch.sparkSession, table_path, batch, keys,
-                             time_col=source.time_col, parts=parts)
-        finally:
-            batch.unpersist()
+        batch = normalize_landed(batch, source)
+        if "_ingested_at" not in batch.columns:
+            batch = stamp_lineage(batch, source.name, source.name)
+        # the upsert evaluates the micro-batch once, into its staged copy
+        upsert_table(batch.sparkSession, table_path, batch, list(keys or source.keys_for(batch.columns)),
+                     time_col=source.time_col, parts=parts)
 
     writer = (stream.writeStream.foreachBatch(merge_batch)
               .option("checkpointLocation", checkpoint or stream_checkpoint(spark, table_path, source)))
