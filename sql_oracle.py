@@ -727,6 +727,8 @@ SELECT CAST(interval_start AS DATE) AS date,
 FROM feat_rolled
 WHERE stppf_forecast_mw IS NOT NULL AND actual_mw > 10 AND actual_lag_24h IS NOT NULL
 GROUP BY 1""",
+    "EXT-quantiles": "SELECT * FROM daily_stats",
+    "EXT-features": "SELECT * FROM features",
     "EXT-corr": ("SELECT c.*, x.lmp_renewable_corr FROM correlation c JOIN (SELECT delivery_date, "
                  "corr(houston_lmp, total_renewable_actual_mw) AS lmp_renewable_corr FROM houston_join "
                  "GROUP BY delivery_date) x USING (delivery_date)"),

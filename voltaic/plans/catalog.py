@@ -493,6 +493,9 @@ _DEFS = {
     "EXT-skill": _skill,
     "EXT-corr": lambda f: gold.lmp_renewable_correlation(f.lmp, f.totals, with_corr=True),
     "EXT-zone": _zoned,
+    # the forms for groups and series without a bound
+    "EXT-quantiles": lambda f: metrics.daily_price_statistics(f.lmp, exact="distributed"),
+    "EXT-features": lambda f: gold.solar_features(f.solar, method="range"),
     "EXT-range": _ranged,
 }
 

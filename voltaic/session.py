@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # no Python call-site capture for every Column built (plan building is 4x faster)
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # files of checkpoint() go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
