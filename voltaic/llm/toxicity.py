@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import may_learn, pick
+from .common import may_learn, pick, stage
 from .words import words
 
 #: Insults that count from the start; training rows add their own.
@@ -185,7 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if total > sample:
         known = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(13)), F.lit(1 << 30))
                             < int(sample / total * (1 << 30)))
-    rows = pick(docs, doc_id=id_col, text=text_col).join(known, "doc_id")
+    # the sample's ids are broadcast (`sample` rows of two numbers), so that no other text moves, and its
+    # texts are written once for the passes below
+    rows = stage(pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(known), "doc_id"), "labelled")
 
     @F.pandas_udf("array<string>")
     def distinct_entries(text: pd.Series) -> pd.Series:
