@@ -162,6 +162,16 @@ def test_deduplicate_keeps_one_of_each_group(spark, documents):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in left) == sorted(min(v) for v in reps.values())
 
 
+def test_staged_folders_can_be_discarded(spark, documents):
+    from voltaic.llm.common import discard_all, stage
+
+    discard_all(spark)
+    kept = simhash.components(documents(["a b c", "a b c", "d"])).collect()
+    assert len(kept) == 3 and discard_all(spark) > 0 and discard_all(spark) == 0
+    df = stage(documents(["x"]), "again")
+    assert df.count() == 1 and discard_all(spark) == 1
+
+
 def test_empty(spark, documents):
     assert simhash.components(documents([])).count() == 0
     assert simhash.deduplicate(documents([])).count() == 0

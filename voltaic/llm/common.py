@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaic.session import scratch_path
+from voltaic.sources import files
 
 #: Rows of remainder 2 are held out of everything that learns from labels.
 FOLDS = 4
@@ -75,10 +76,33 @@ def may_learn(doc_id: Column) -> Column:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: its lineage is cut
     and a lost executor costs no more than the tasks it was running."""
+    return stage_at(df, name)[0]
+
+
+def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stage``, and the folder written, for ``discard`` once nothing reads it any more."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _STAGED.append(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    files.delete(spark, path)
+    _STAGED.remove(path)
+
+
+def discard_all(spark: SparkSession) -> int:
+    """Delete what operators of this process have staged so far, for a caller that has written
+    their results; returns how many folders went."""
+    n = len(_STAGED)
+    for path in list(_STAGED):
+        discard(spark, path)
+    return n
+
+
+_STAGED: list[str] = []
 
 
 def sample_by_hash(df: DataFrame, key: Column, most: int, seed: int = 7) -> DataFrame:

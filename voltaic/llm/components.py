@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import discard, stage_at
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -16,13 +16,15 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     of a component's size, a round moves each edge a constant number of times, and its
     result is written to the shared folder.  Ends when a round changes nothing.
     """
-    now = stage(_tidy(edges.select("a", "b")), "edges")
+    now, path = stage_at(_tidy(edges.select("a", "b")), "edges")
     mark = _mark(now)
     for _ in range(most_rounds):
         if mark[0] == 0:
             break
-        now = stage(_small_star(_large_star(now)), "edges")
+        now, new = stage_at(_small_star(_large_star(now)), "edges")
         last, mark = mark, _mark(now)
+        discard(edges.sparkSession, path)  # the round before is read no more
+        path = new
         if mark == last:
             break
     else:
