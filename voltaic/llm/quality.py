@@ -8,7 +8,9 @@ weights, by the Gumbel top-k trick: log weight plus Gumbel noise, the k largest
 N-grams are of two kinds: words (one and two), and word shapes (two, with whether the second
 word repeats the first), so that shouting, decoration, tables and stuck text, whose words are
 new in every document, have n-grams of their own.  Counts are smoothed towards the
-raw model, so that an n-gram too rare to judge by has a ratio near 1.
+raw model, so that an n-gram too rare to judge by has a ratio near 1, and a shortfall that two
+standard errors can explain is none: documents repeat their n-grams, so the error is
+that of the number of documents that hold one, not of its occurrences.
 
 The k-th largest key of all documents is found by counting keys in bins, a few passes over
 a staged column of keys; nothing is sorted and no key list reaches the driver.
@@ -32,6 +34,8 @@ from .common import may_learn, pick, stage
 WORD_BITS, PAIR_BITS, SHAPE_BITS = 15, 16, 12
 SIZES = (1 << WORD_BITS, 1 << PAIR_BITS, 1 << SHAPE_BITS)
 FEATURES = sum(SIZES)
+#: N-grams of a document that count in full when the models are fitted.
+MOST_IN_MODEL = 6000
 _MANY = np.uint64(0x9E3779B97F4A7C15)
 _AT_ONCE = 1 << 17
 _TAIL = re.compile(r"[^\W_]*([\W_]*)$")
@@ -94,21 +98,30 @@ class QualityModel:
         return float(sum(self.log_ratio[f].sum() for f in features(text)))
 
 
-def _counts(texts: DataFrame) -> np.ndarray:
-    """Occurrences of each feature over all rows: a number a feature reaches the driver."""
+def _counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences of each feature over all rows, in parts of 1024, and documents that hold it: two
+    numbers a feature reach the driver.  All of a text counts, but one of over MOST_IN_MODEL n-grams
+    counts as much as one of so many."""
     def count(batches):
-        total = np.zeros(FEATURES, np.int64)
+        total, held = np.zeros(FEATURES, np.int64), np.zeros(FEATURES, np.int64)
         for batch in batches:
             for text in batch.column(0):
-                for f in features(text.as_py()):
-                    total += np.bincount(f, minlength=FEATURES)
+                own, found = [], [np.unique(f, return_counts=True) for f in features(text.as_py())]
+                parts = round(1024 * min(1.0, MOST_IN_MODEL / max(1, sum(int(n.sum()) for _, n in found))))
+                for at, n in found:
+                    total[at] += n * max(1, parts)
+                    own.append(at)
+                if own:
+                    held[own[0] if len(own) == 1 else np.unique(np.concatenate(own))] += 1
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["feature", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64()),
+                                          pa.array(held[at], pa.int64())], names=["feature", "n", "held"])
 
-    got = texts.select("text").mapInArrow(count, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(FEATURES)
-    out[got["feature"].to_numpy(np.int64)] = got["n"].to_numpy(float)
-    return out
+    got = texts.select("text").mapInArrow(count, "feature int, n long, held long").groupBy("feature").agg(
+        F.sum("n").alias("n"), F.sum("held").alias("held")).toPandas()
+    out = np.zeros((2, FEATURES))
+    out[:, got["feature"].to_numpy(np.int64)] = got[["n", "held"]].to_numpy(float).T
+    return out[0] / 1024, out[1]
 
 
 def _sample(rows: DataFrame, most: int, seed: int) -> DataFrame:
@@ -131,14 +144,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.groupBy("doc_id").agg(F.min((F.col("label") > 0).cast("int")).alias("good"))
     n, n_good = known.agg(F.count("good"), F.sum("good")).first()
     good = known.where("good = 1").select("doc_id")
-    target = _counts(rows.join(_sample(good, sample, 17), "doc_id"))
-    raw = _counts(_sample(rows, sample, 19))
+    # the sample's ids are broadcast (`sample` numbers), so that no text moves
+    target, held_t = _counts(rows.join(F.broadcast(_sample(good, sample, 17)), "doc_id"))
+    raw, held_r = _counts(_sample(rows, sample, 19))
     out, at = np.zeros(FEATURES), 0
     for size in SIZES:  # each kind of n-gram is a distribution of its own
-        t, r = target[at:at + size], raw[at:at + size]
+        t, r, ht, hr = (x[at:at + size] for x in (target, raw, held_t, held_r))
         if t.sum() and r.sum():
             expected = r * (t.sum() / r.sum())
-            out[at:at + size] = np.log((t + smoothing) / (expected + smoothing))
+            ratio = np.log((t + smoothing) / (expected + smoothing))
+            error = np.sqrt(1 / (np.maximum(ht, hr * ht.sum() / hr.sum()) + 1) + 1 / (hr + 1))
+            out[at:at + size] = np.where(ratio < 0, np.minimum(0, ratio + 2 * error), ratio)
         at += size
     return QualityModel(out.astype(np.float32), ((n_good or 0) + 0.5) / (n + 1))
 
