@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bitpack, decontamination, language, licenses, neighbours, packing, quality, simhash, token_counts, toxicity
-from .common import held_out, pick, table
+from .common import held_out, pick, stage, table
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +24,8 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_before, and after personal data is masked: n_tokens, n_edits, n_chars, n_encoded (characters
     encoded again)."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    trees = token_counts.with_trees(table(spark, sf_dir, "documents"), vocabulary)
+    # trees are stored, then edited: each pass has one Python worker a core, and not two
+    trees = stage(token_counts.with_trees(table(spark, sf_dir, "documents"), vocabulary), "trees")
     edited = token_counts.edit_rows(trees.withColumn("edits", token_counts.mask_edits()("text")), "edits", vocabulary)
     return edited.select("doc_id", "n_before", "n_tokens", "n_edits", F.length("text").alias("n_chars"), "n_encoded")
 
