@@ -27,6 +27,8 @@ _ODD_SPACE = re.compile("[" + "".join(map(chr, (
 #: A word with the one space before it; white space up to its last character before a
 #: word; other white space.
 _SPACED = re.compile(r" ?\S+|\s+(?=\s\S)|\s+")
+#: White space in front of a space, after which a chunk need not start at the space.
+_BEFORE_SPACE = tuple(f"{c} " for c in " \t\n\x0b\x0c\r")
 #: The patterns of the two public kinds of pre-tokenizer.
 _SPACED_PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORD_PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -61,7 +63,7 @@ class _Recent:
 class ChunkEncoder:
     """ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``."""
 
-    def __init__(self, path: str, cached: int = 900_000, longest: int = 48):
+    def __init__(self, path: str, cached: int = 600_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -69,7 +71,9 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.longest, self.chunks, self.pretokens = longest, _Recent(cached), _Recent(cached // 2)
+        self.longest, self.pretokens = longest, _Recent(cached // 2)
+        #: chunks as they are, and those that stand behind a space, without it
+        self.chunks = {"": _Recent(cached), " ": _Recent(cached)}
         self.split, self.pretokenize, self.lower = self._rules(spec)
         special = [re.escape(t["content"]) for t in spec.get("added_tokens", [])]
         self.special = re.compile("|".join(special)) if special else None
@@ -122,18 +126,30 @@ class ChunkEncoder:
             return np.empty(0, "<u4")
         if self._whole(text):
             return np.frombuffer(self._by_library(text), "<u4")
-        out, plain, get = [], _PLAIN.fullmatch(text) is not None, self.chunks.young.get
-        for chunk in self.split(text):
+        plain = _PLAIN.fullmatch(text) is not None
+        if self.lower or any(s in text for s in _BEFORE_SPACE):
+            return np.frombuffer(b"".join(self._of_chunks(self.split(text), plain)), "<u4")
+        # every space follows a visible character, so that a pre-token starts at each: pieces between
+        # spaces are chunks, all but the first with a space in front
+        pieces = text.split(" ")
+        first = self._of_chunk(pieces[0], plain) if pieces[0] else b""
+        del pieces[0]
+        return np.frombuffer(b"".join([first, *self._of_chunks(pieces, plain, " ")]), "<u4")
+
+    def _of_chunks(self, chunks: list[str], plain: bool, front: str = "") -> list[bytes]:
+        known = self.chunks[front]
+        out, get = [], known.young.get
+        for chunk in chunks:
             ids = get(chunk)
             if ids is None:
-                ids = self.chunks.get(chunk)
+                ids = known.get(chunk)
                 if ids is None:
-                    ids = self._of_chunk(chunk, plain)
+                    ids = self._of_chunk(front + chunk, plain)
                     if len(chunk) <= self.longest:
-                        self.chunks.put(chunk, ids)
-                        get = self.chunks.young.get
+                        known.put(chunk, ids)
+                get = known.young.get
             out.append(ids)
-        return np.frombuffer(b"".join(out), "<u4")
+        return out
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
