@@ -9,7 +9,8 @@
    answered exactly, in blocks against all rows, and visits are widened until the leaves visited
    hold the share of true neighbours asked for.  With all leaves visited the search is exact.
 4. Queries meet the shards of the leaves they visit, a bounded number of queries and
-   rows a group; scores are inner products of the original vectors in double precision.
+   rows a group, in rounds that widen: the best few leaves first, which give each query a score
+   to reach, then more of them, where only rows that reach it are kept.  Scores are inner products of the original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ from .common import pick, stage
 #: Rows of a shard and queries of a chunk that meet in one group, on average at most.
 SHARD_ROWS = 4096
 CHUNK_QUERIES = 2048
+#: Leaves a query visits in the first round, and how many times more after each next one.
+FIRST_LEAVES = 8
+WIDER = 4
 #: Scores held at a time.
 _AT_ONCE = 1 << 21
 #: Scores that BLAS may have put in the wrong order are computed again.
@@ -126,32 +130,33 @@ def _matrix(column, dim: int) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
 
 
-def _top(scores: np.ndarray, ids: np.ndarray, k: int, own: int, exact) -> list[tuple[int, float]]:
-    """The k largest scores, ties to smaller ids, without the query's own id; ``exact(rows)`` gives
-    the scores of rows as the sum of products in one fixed order."""
-    scores = np.where(ids == own, -np.inf, scores)
-    n = min(k, len(scores))
-    if n == 0:
-        return []
-    kth = np.partition(scores, len(scores) - n)[len(scores) - n]
-    floor = kth - _DOUBT * max(1.0, abs(kth)) if np.isfinite(kth) else -np.inf
-    rows = np.flatnonzero((scores >= floor) & (ids != own))
-    again = exact(rows)
-    order = np.lexsort((ids[rows], -again))[:k]
-    return list(zip(ids[rows][order].tolist(), again[order].tolist()))
-
-
-def _score_block(q_ids, q, ids, x, k):
-    """(query_id, vec_id, score) of each query's k best of a block."""
-    out = []
+def _score_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int,
+                 floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query_id, vec_id, score) of each query's k best rows of a block, ties to smaller ids, of
+    those that score ``floor`` or more; rows with the query's own id are left out.
+
+    A matrix product finds the candidates; their scores are then summed again in one fixed order,
+    so that equal vectors score equal."""
+    out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
     step = max(1, _AT_ONCE // max(1, len(ids)))
-    for at in range(0, len(q_ids), step):
-        scores = q[at:at + step] @ x.T
-        for i, row in enumerate(scores):
-            own = q[at + i]
-            out += [(int(q_ids[at + i]), v, s)
-                    for v, s in _top(row, ids, k, q_ids[at + i], lambda r, own=own: (x[r] * own).sum(axis=1))]
-    return out
+    for at in range(0, len(q_ids) if len(ids) else 0, step):
+        own_ids, own = q_ids[at:at + step], q[at:at + step]
+        scores = own @ x.T
+        scores[own_ids[:, None] == ids[None, :]] = -np.inf
+        least = np.full(len(own_ids), -np.inf) if floor is None else floor[at:at + step].copy()
+        many = np.flatnonzero((scores >= least[:, None]).sum(axis=1) > k)
+        if len(many):
+            kth = np.partition(scores[many], len(ids) - k, axis=1)[:, len(ids) - k]
+            least[many] = np.maximum(least[many], kth)
+        least -= _DOUBT * np.maximum(1.0, np.abs(np.where(np.isfinite(least), least, 0.0)))
+        row, col = np.nonzero((scores >= least[:, None]) & np.isfinite(scores))
+        again = (own[row] * x[col]).sum(axis=1)
+        order = np.lexsort((ids[col], -again, row))
+        row, col, again = row[order], col[order], again[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best = place < k
+        out.append((own_ids[row[best]], ids[col[best]], again[best]))
+    return tuple(np.concatenate(c) for c in zip(*out))
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
@@ -174,17 +179,18 @@ def _exact(index: DataFrame, q_ids: np.ndarray, q: np.ndarray, k: int, dim: int)
 
     def search(batches):
         ids_, vectors = shared.value
-        best: dict[int, list] = {}
+        best = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)]
         for batch in batches:
             ids, leaves, x = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(2), dim)
-            at = {}
-            for row, i in enumerate(ids.tolist()):
-                at[i] = int(leaves[row])
-            for query, vec, score in _score_block(ids_, vectors, ids, x, k):
-                best.setdefault(query, []).append((-score, vec, at[vec]))
-            best = {i: sorted(own)[:k] for i, own in best.items()}
-        rows = [(i, v, -s, leaf) for i, own in best.items() for s, v, leaf in own]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, (
+            query, vec, score = _score_block(ids_, vectors, ids, x, k)
+            by_id = np.argsort(ids)
+            leaf = leaves[by_id][np.searchsorted(ids[by_id], vec)]
+            both = [np.concatenate(c) for c in zip(best, (query, vec, score, leaf))]
+            order = np.lexsort((both[1], -both[2], both[0]))
+            both = [c[order] for c in both]
+            keep = np.arange(len(order)) - np.searchsorted(both[0], both[0]) < k
+            best = [c[keep] for c in both]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(best, (
             pa.int64(), pa.int64(), pa.float64(), pa.int32()))], names=["query_id", "vec_id", "score", "leaf"])
 
     near = index.select("vec_id", "leaf", "vec").mapInArrow(search, "query_id long, vec_id long, score double, leaf int")
@@ -253,7 +259,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     for r in index.groupBy("leaf").count().collect():  # a row a leaf
         sizes[r["leaf"]] = r["count"]
     queries = index.where(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.min("vec").alias("vec"))
-    visits, reached = _calibrate(tree, index, queries, k, recall, calibration, dim)
+    visits, calibrated = _calibrate(tree, index, queries, k, recall, calibration, dim)
 
     def visit(batches):
         for batch in batches:
@@ -262,30 +268,57 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
             rows = np.repeat(np.arange(len(q)), [len(own) for own in leaves])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)),
-                 pa.array([x for own in leaves for x in own], pa.int32())], names=["query_id", "q", "leaf"])
-
-    visited = stage(queries.mapInArrow(visit, "query_id long, q array<double>, leaf int"), "visits")
+                 pa.array([x for own in leaves for x in own], pa.int32()),
+                 pa.array([i for own in leaves for i in range(len(own))], pa.int32())], names=["query_id", "q", "leaf", "turn"])
+
+    visited = stage(queries.mapInArrow(visit, "query_id long, q array<double>, leaf int, turn int"), "visits")
+    # widening rounds: each visits some times more leaves than those before, and keeps only rows that reach
+    # the k-th best score so far, so that a round adds a few times k rows a query, however many it looks at
+    best, turn, until = None, 0, FIRST_LEAVES
+    longest = visited.agg(F.max("turn")).first()[0]
+    while best is None or turn <= (-1 if longest is None else longest):
+        now = visited.where((F.col("turn") >= turn) & (F.col("turn") < until))
+        if best is None:
+            now = now.withColumn("floor", F.lit(-float("inf")))
+        else:
+            reached = best.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+            now = now.join(reached.drop("n"), "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(-float("inf"))))
+        near = _meet(now, index, sizes, k)
+        best = stage(_best(near if best is None else best.unionByName(near), k), "best")
+        turn, until = until, until * WIDER
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = best.withColumn("rank", F.row_number().over(order)).select("query_id", "rank", "vec_id", "score")
+    return Search(found, visits, tree.leaves, calibrated)
+
+
+def _best(near: DataFrame, k: int) -> DataFrame:
+    """Each query's k best rows, ties to the smaller vec_id."""
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
+
+
+def _meet(visited: DataFrame, index: DataFrame, sizes: np.ndarray, k: int) -> DataFrame:
+    """query_id, vec_id, score: of each leaf a query visits, its k best rows from ``floor`` on."""
+    spark = index.sparkSession
     # a leaf's rows and the queries that visit it are dealt out so that groups stay small: a row a leaf
     asked = {r["leaf"]: r["count"] for r in visited.groupBy("leaf").count().collect()}
     dealt = F.broadcast(spark.createDataFrame(
-        [(i, int(-(-max(1, int(n)) // SHARD_ROWS)), int(-(-asked.get(i, 1) // CHUNK_QUERIES))) for i, n in enumerate(sizes)],
+        [(i, int(-(-max(1, int(n)) // SHARD_ROWS)), int(-(-asked[i] // CHUNK_QUERIES))) for i, n in enumerate(sizes) if i in asked],
         "leaf int, shards int, chunks int"))
     q_side = visited.join(dealt, "leaf").select(
-        "query_id", "q", "leaf", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
+        "query_id", "q", "floor", "leaf", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
         F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int").alias("chunk"))
     x_side = index.join(dealt, "leaf").select(
         "vec_id", "vec", "leaf", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int").alias("shard"),
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
 
     def meet(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(block):
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        out = _score_block(queries["query_id"].to_numpy(), np.stack(queries["q"].to_numpy()), block["vec_id"].to_numpy(),
-                           np.stack(block["vec"].to_numpy()), k)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+        if len(queries) and len(block):
+            out = _score_block(queries["query_id"].to_numpy(), np.stack(queries["q"].to_numpy()), block["vec_id"].to_numpy(),
+                               np.stack(block["vec"].to_numpy()), k, queries["floor"].to_numpy())
+        else:
+            out = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), out)))
 
     by = ["leaf", "shard", "chunk"]
-    near = q_side.groupBy(*by).cogroup(x_side.groupBy(*by)).applyInPandas(meet, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-    return Search(found, visits, tree.leaves, reached)
+    return q_side.groupBy(*by).cogroup(x_side.groupBy(*by)).applyInPandas(meet, "query_id long, vec_id long, score double")
