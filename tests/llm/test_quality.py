@@ -91,3 +91,15 @@ def test_empty_tables(spark, documents):
     assert Q.resample(documents([]), Q.fit(documents([]), labels)).count() == 0
     docs = documents(["a b", "c"])
     assert {r.log_weight for r in Q.select(docs, Q.fit(docs, labels)).rows.collect()} == {0.0}
+
+
+def test_raw_counts_cover_all_rows(spark):
+    """More rows than ``sample``, of which 12 are of a poor kind: the labelled rows are all learned from, so the
+    sample's size changes nothing, and the poor kind goes."""
+    plain = spark.range(6000).selectExpr("id AS doc_id", "concat('a plain sentence of words, as it is in ', id % 7) AS text")
+    poor = spark.range(6000, 6012).selectExpr("id AS doc_id", "repeat('BUY!! NOW!! ', 400) AS text")
+    docs = plain.union(poor).repartition(5)
+    labels = spark.range(400).selectExpr("id AS doc_id", "1 AS quality")
+    model = Q.fit(docs, labels, sample=400)
+    assert np.array_equal(model.log_ratio, Q.fit(docs, labels).log_ratio)
+    assert model.log_weight("BUY!! NOW!! " * 400) < -100 < -10 < model.log_weight("a plain sentence of words, as it is in 3")

@@ -133,8 +133,8 @@ def _sample(rows: DataFrame, most: int, seed: int) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         sample: int = 20_000, smoothing: float = 20.0) -> QualityModel:
-    """Target model from about ``sample`` rows labelled 1 whose id isn't held out, raw model from
-    about ``sample`` rows of all (all rows, if fewer), chosen by hashes of the id.
+    """Target model from about ``sample`` rows labelled 1 whose id isn't held out (all, if fewer), chosen
+    by a hash of the id; raw model from all rows.
 
     An id is good if all its labels are; null labels don't count.  Without good rows every weight is 1.
     """
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     good = known.where("good = 1").select("doc_id")
     # the sample's ids are broadcast (`sample` numbers), so that no text moves
     target, held_t = _counts(rows.join(F.broadcast(_sample(good, sample, 17)), "doc_id"))
-    raw, held_r = _counts(_sample(rows, sample, 19))
+    raw, held_r = _counts(rows)
     out, at = np.zeros(FEATURES), 0
     for size in SIZES:  # each kind of n-gram is a distribution of its own
         t, r, ht, hr = (x[at:at + size] for x in (target, raw, held_t, held_r))
