@@ -74,3 +74,28 @@ def test_nothing_to_learn_from(spark, documents):
     got = {r["text"]: r.toxicity for r in T.score(docs, T.fit(docs, labels)).collect()}
     assert got["idiot"] > got["tree"] == got[None]
     assert T.score(documents([]), T.fit(documents([]), labels)).count() == 0
+
+
+def test_votes_outvote_wrong_labels():
+    rng = np.random.default_rng(5)
+    y = rng.random(4000) < 0.3
+    fires = np.stack([np.where(y, rng.random(4000) < 0.9, rng.random(4000) < 0.03) for _ in range(4)], axis=1)
+    fires = np.concatenate([fires, ~fires.any(axis=1)[:, None]], axis=1).astype(float)
+    wrong = rng.random(4000) < 0.05
+    known = np.where(rng.random(4000) < 0.3, (y ^ wrong).astype(float), np.nan)
+    posterior = T.label_model(fires, known)[3]
+    corrected = ((posterior > 0.5) == y)[wrong & ~np.isnan(known)]
+    assert len(corrected) > 30 and corrected.mean() > 0.8
+    assert ((posterior > 0.5) == y)[np.isnan(known)].mean() > 0.95
+
+
+def test_unlabelled_rows_are_voted_on(spark, documents, monkeypatch):
+    texts = ["you are an idiot, idiot", "a calm text about trees"] * 100
+    labels = spark.createDataFrame([(i, int("idiot" in texts[i])) for i in range(60)] + [(61, None)], "doc_id long, toxic int")
+    seen, plain = [], T.label_model
+    monkeypatch.setattr(T, "label_model", lambda fires, known, *a: seen.append(known) or plain(fires, known, *a))
+    T.fit(documents(texts), labels)
+    may = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert np.isnan(seen[0]).sum() == sum(i >= 60 for i in may) and (~np.isnan(seen[0])).sum() == sum(i < 60 for i in may)
+    T.fit(documents(texts), labels, sample=40)
+    assert 15 < np.isnan(seen[1]).sum() < 65

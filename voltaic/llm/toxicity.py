@@ -4,13 +4,13 @@
    words and word beginnings that stand out in toxic training rows) and pattern voters (several lexicon words, their
    density, address in the second person, shouting, stretched letters).  A voter votes for
    toxic where it fires; a few vote against, and all abstain elsewhere.
-2. A generative label model over the votes of training rows: expectation maximisation for
-   each voter's firing rate under either label, started at the labelled rows and held to
-   them, and correlations of voters within a label; a voter's evidence is shared
-   with the voters it moves with.
+2. A generative label model over the votes of training rows, with a label or without: expectation
+   maximisation for each voter's firing rate in clean rows and in two kinds of toxic ones, started at
+   the labelled rows, and correlations of voters within a kind; a voter's evidence is shared
+   with the voters it moves with.  A given label counts as one more voter.
 3. A linear classifier trained on the posterior labels; its score is what documents get.
 
-Training uses a bounded sample of the rows that may be learned from; scoring is one pass
+Training uses bounded samples of the labelled and of the unlabelled rows that may be learned from; scoring is one pass
 over the documents without a shuffle.
 """
 
@@ -33,6 +33,8 @@ LEXICON = ("bastard", "clown", "disgusting", "dumb", "filth", "idiot", "loser",
            "stupid", "trash", "ugly", "vermin", "worthless")
 #: Bytes of the word beginnings that may be learned.
 STEMS = (3, 4, 5, 6, 7)
+#: What a given label adds to a row's log odds, for or against: no more than a voter that is right 9 times of 10.
+LABEL_EVIDENCE = float(np.log(9))
 _SECOND_PERSON = frozenset((b"you", b"your", b"u", b"ur", b"youre"))
 _STRETCHED = re.compile(r"([A-Za-z])\1{3,}")
 PATTERNS = ("any strong entry", "two strong entries", "three strong entries", "density of strong entries", "second person insult",
@@ -129,31 +131,44 @@ def votes(x: np.ndarray, lexicon: int) -> np.ndarray:
     return fires.astype(float)
 
 
-def label_model(fires: np.ndarray, known: np.ndarray, rounds: int = 30) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-    """(prior, rates, correlations, posterior of label 1) from votes and labels (nan: unknown)."""
+def label_model(fires: np.ndarray, known: np.ndarray, rounds: int = 60) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """(prior, rates, correlations, posterior of label 1) from votes and labels (nan: unknown).
+
+    A mixture of clean rows and two kinds of toxic ones, started as those in which the last voter (against) is
+    silent and those in which it fires: their voters differ too much for one rate each."""
     labelled = ~np.isnan(known)
+    given = np.nan_to_num(known)
     prior = float(np.clip(known[labelled].mean() if labelled.any() else 0.1, 0.01, 0.99))
-    started = np.where(labelled, np.nan_to_num(known), np.where(fires[:, -1] > 0, 0.05, 0.7))
-    posterior, weight = started, np.ones(fires.shape[1])
-    # labelled rows hold most of the mass, so that voters can't talk each other round
-    row = np.where(labelled, max(1.0, 4 * (~labelled).sum() / max(1, labelled.sum())), 1.0)
+    toxic = np.where(labelled, given, np.where(fires[:, -1] > 0, 0.05, 0.7))
+    first = np.where(fires[:, -1] > 0, 0.05, 0.95)
+    kinds = np.stack([1 - toxic, toxic * first, toxic * (1 - first)], axis=1)  # rows x (clean, toxic, toxic)
+    # a given label starts the estimates, then it is one more voter, which the others can outvote
+    said = np.where(labelled, LABEL_EVIDENCE * (2 * given - 1), 0.0)[:, None] * [0, 1, 1]
+    # labelled rows hold half of the mass at least
+    row = np.where(labelled, max(1.0, (~labelled).sum() / max(1, labelled.sum())), 1.0)
+    counted = labelled if labelled.any() else ~labelled  # the first round goes by labelled rows
+    start = None
     for _ in range(rounds):
-        mass = np.array([(row * (1 - posterior)).sum(), (row * posterior).sum()])
-        rates = (np.stack([(row * (1 - posterior)) @ fires, (row * posterior) @ fires]) + [[0.5]] * 2) / (mass[:, None] + 1)
-        centred = fires - (np.outer(1 - posterior, rates[0]) + np.outer(posterior, rates[1]))
+        mass = (row * counted) @ kinds
+        rates = ((kinds * (row * counted)[:, None]).T @ fires + 0.5) / (mass[:, None] + 1)
+        # rates stay half way to those of the labelled rows, so that a kind can't drift to other rows
+        start = rates if start is None else start
+        rates = (start + rates) / 2
+        centred = (fires - kinds @ rates)[counted]
         spread = np.sqrt((centred ** 2).mean(axis=0)) + 1e-9
-        correlations = centred.T @ centred / len(fires) / np.outer(spread, spread)
-        # voters that move together within a label share their evidence
-        weight = 1 / np.maximum(1, np.abs(correlations).sum(axis=1))
-        evidence = (fires * (np.log(rates[1]) - np.log(rates[0]))
-                    + (1 - fires) * (np.log1p(-rates[1]) - np.log1p(-rates[0]))) @ weight
-        new = _sigmoid(evidence + np.log(prior / (1 - prior)))
-        # a label is strong evidence, not proof
-        new = np.where(labelled, 0.9 * np.nan_to_num(known) + 0.1 * new, new)
-        if np.abs(new - posterior).max() < 1e-4:
+        correlations = centred.T @ centred / len(centred) / np.outer(spread, spread)
+        # voters that move together within a kind share their evidence
+        weight = 1 / np.maximum(1, (correlations ** 2).sum(axis=1))
+        share = (mass[1:] + 1) / (mass[1:] + 1).sum()
+        z = ((fires * weight) @ np.log(rates).T + ((1 - fires) * weight) @ np.log1p(-rates).T
+             + np.log([1 - prior, *(prior * share)]) + said)
+        new = np.exp(z - z.max(axis=1, keepdims=True))
+        new /= new.sum(axis=1, keepdims=True)
+        done = counted.all() and np.abs(new - kinds).max() < 1e-4
+        kinds, counted = new, np.ones(len(fires), bool)
+        if done:
             break
-        posterior = new
-    return prior, rates, correlations, posterior
+    return prior, np.stack([rates[0], share @ rates[1:]]), correlations, 1 - kinds[:, 0]
 
 
 def linear_classifier(x: np.ndarray, posterior: np.ndarray, ridge: float = 1e-3, steps: int = 25) -> np.ndarray:
@@ -173,21 +188,30 @@ def linear_classifier(x: np.ndarray, posterior: np.ndarray, ridge: float = 1e-3,
     return w
 
 
+def _sample(ids: DataFrame, most: int, seed: int) -> DataFrame:
+    total = ids.count()
+    if total <= most:
+        return ids
+    return ids.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)), F.lit(1 << 30)) < int(most / total * (1 << 30)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         sample: int = 20_000, learned: int = 60, least_ratio: float = 6.0) -> ToxicityModel:
-    """Learn from rows whose id isn't held out: about ``sample`` labelled ones (all, if fewer),
-    chosen by a hash of the id.  Ids with several labels count as 1 if any is; null labels don't
-    count.  Without labels the fixed lexicon votes alone."""
-    known = pick(labels, doc_id=id_col, label=label_col).where(
-        F.col("label").isNotNull() & F.col("doc_id").isNotNull() & may_learn(F.col("doc_id")))
+    """Learn from rows whose id isn't held out: about ``sample`` labelled ones and about ``sample``
+    without a label (all, if fewer), chosen by hashes of the id.  Entries of the lexicon come from the labelled ones,
+    votes and the classifier's posterior labels from both.  Ids with several labels count as 1 if any is; null
+    labels don't count.  Without labels the fixed lexicon votes alone."""
+    docs = pick(docs, doc_id=id_col, text=text_col)
+    may = F.col("doc_id").isNotNull() & may_learn(F.col("doc_id"))
+    known = pick(labels, doc_id=id_col, label=label_col).where(F.col("label").isNotNull() & may)
     known = known.groupBy("doc_id").agg(F.max((F.col("label") > 0).cast("int")).alias("label"))
-    total = known.count()
-    if total > sample:
-        known = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(13)), F.lit(1 << 30))
-                            < int(sample / total * (1 << 30)))
-    # the sample's ids are broadcast (`sample` rows of two numbers), so that no other text moves, and its
+    free = docs.select("doc_id").where(may).distinct().join(known.select("doc_id"), "doc_id", "left_anti")
+    chosen_ids = _sample(known, sample, 13).unionByName(
+        _sample(free, sample, 15).withColumn("label", F.lit(None).cast("int")))
+    # the samples' ids are broadcast (twice `sample` rows of two numbers), so that no other text moves, and their
     # texts are written once for the passes below
-    rows = stage(pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(known), "doc_id"), "labelled")
+    rows = stage(docs.join(F.broadcast(chosen_ids), "doc_id"), "training")
+    labelled = rows.where(F.col("label").isNotNull())
 
     @F.pandas_udf("array<string>")
     def distinct_entries(text: pd.Series) -> pd.Series:
@@ -198,11 +222,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return pd.Series([one(t) for t in text], dtype=object)
 
     # entries by label: counts of documents, then those that stand out (at most 50 rows for one chosen)
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     chosen: dict[bytes, bool] = {}
     if n1 and n0:
-        counts = rows.select("label", F.explode(distinct_entries("text")).alias("entry")).groupBy("entry").agg(
+        counts = labelled.select("label", F.explode(distinct_entries("text")).alias("entry")).groupBy("entry").agg(
             F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
         p1, p0 = (F.col("toxic") + 0.5) / (n1 + 1), (F.col("clean") + 0.5) / (n0 + 1)
         # how much an entry tells, in bits of the toxic rows: frequent and rare among clean ones
@@ -229,12 +253,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         matcher = _matcher(lexicon, strong)
         return pd.Series([features(t, matcher) for t in text], dtype=object)
 
-    # a bounded matrix: the sample's rows, a number for each word and pattern
+    # a bounded matrix: the samples' rows, a number for each word and pattern
     got = rows.select("label", described("text").alias("x")).toPandas()
     x = np.array(got["x"].tolist(), float).reshape(len(got), size)
     y = got["label"].to_numpy(float)
-    if not len(x):  # nothing to learn from: any lexicon word is a sign
-        x, y = np.concatenate([np.zeros((1, size)), np.ones((1, size))]), np.array([0.0, 1.0])
+    if np.isnan(y).all():  # no labels to start from: any lexicon word is a sign
+        x, y = np.concatenate([np.zeros((1, size)), np.ones((1, size)), x]), np.concatenate([[0.0, 1.0], y])
     prior, rates, correlations, posterior = label_model(votes(x, len(lexicon)), y)
     return ToxicityModel(lexicon, strong, prior, rates, correlations, linear_classifier(x, posterior))
 
