@@ -87,3 +87,14 @@ def test_nothing_to_learn_from(spark, documents):
     docs = documents(["a b", None])
     assert {r.predicted.lang for r in L.identify(docs, L.fit(docs)).collect()} == {"und"}
     assert L.identify(documents([]), L.fit(documents([]))).count() == 0
+
+
+def test_rare_language_is_learned_from_all_its_rows(spark, documents):
+    common = [(i, "the cat and the dog sat on the mat", "en") for i in range(3000)]
+    rare = [(i, "zażółć gęślą jaźń święto ćma", "pl") for i in range(3000, 3012)]
+    docs = documents(common + rare)
+    model = L.fit(docs, sample=100)
+    pl = model.languages.index("pl")
+    assert np.array_equal(model.matrix[:, pl], L.fit(docs).matrix[:, pl])
+    assert np.ptp(model.matrix[:, pl]) > 0
+    assert model.predict(["święto jaźń", "the dog"])[0] == ["pl", "en"]

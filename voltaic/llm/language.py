@@ -132,8 +132,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         sample: int = 20_000, alpha: float = 0.5) -> LanguageModel:
     """Learn from text and language of rows whose language isn't null and whose id isn't held out.
 
-    Text statistics come from about ``sample`` of these rows (all, if fewer), chosen by a
-    hash of the id; priors from all of them.  What reaches the driver is a number per
+    Text statistics come from about ``sample`` of these rows of each language (all, if fewer), chosen
+    by a hash of the id; priors from all of them.  What reaches the driver is a number per
     language and feature.
     """
     rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col).where(
@@ -143,9 +143,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"{lang_col} holds over {MOST_LANGUAGES} values")
     total = sum(sizes.values())
-    share = min(1.0, sample / max(1, total))
-    chosen = rows if share == 1 else rows.where(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(11)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    # languages of more rows than `sample`, at most MOST_LANGUAGES numbers
+    share = [x for lang, n in sizes.items() if n > sample for x in (F.lit(lang), F.lit(int(sample / n * (1 << 30))))]
+    chosen = rows if not share else rows.where(
+        F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(11)), F.lit(1 << 30))
+        < F.coalesce(F.try_element_at(F.create_map(*share), F.col("lang")), F.lit(1 << 30)))
 
     def count(batches):
         counts: dict[str, np.ndarray] = {}
