@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bitpack, decontamination, language, licenses, neighbours, packing, quality, simhash, token_counts, toxicity
+from . import (bitpack, codes, decontamination, jaccard, language, lexical, licenses, neighbours, packing, quality, simhash,
+               token_counts, toxicity)
 from .common import held_out, pick, stage, table
 
 
@@ -73,6 +74,18 @@ def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read_packed(bitpack.write_packed(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0))
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"), size=5, percent=80)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.report(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
@@ -84,6 +97,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_toxicity": op9_toxicity,
     "op10_bit_packed_ids": op10_bit_packed_ids,
+    "op11_ngram_jaccard": op11_ngram_jaccard,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 #: DuckDB SQL by query; queries that SQL can't express have none.
