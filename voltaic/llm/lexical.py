@@ -175,9 +175,9 @@ def _ranked(docs: DataFrame, items: list[tuple], shared, item_terms: list[Counte
     return docs.mapInArrow(rank, "item int, doc_id long, score long")
 
 
-def _cuts(ends: np.ndarray, most: int = 4 * _AT_ONCE):
-    """Runs (first, last exclusive) of rows that make at most ``most`` together, or one row."""
-    a, done = 0, 0
+def _cuts(ends: np.ndarray):
+    """Runs (first, last exclusive) of rows that make at most four times _AT_ONCE together, or one row."""
+    a, done, most = 0, 0, 4 * _AT_ONCE
     while a < len(ends):
         b = max(a + 1, int(np.searchsorted(ends, done + most, "right")))
         yield a, b
