@@ -7,15 +7,18 @@ each map task before the shuffle, so a key that holds a third of all rows sends
 one row per task through it.  The order is total (ties on the order columns are
 broken by the other columns, so a re-run picks the same row).
 
+``newest_of_batch`` does the same in one pass over its input, for a batch that is costly to read.
+
 ``upsert`` is ``target ⟕anti batch ∪ batch`` on null-safe key equality: a NULL
-key matches a NULL key once instead of being inserted again on every run.
+key matches a NULL key once instead of being inserted again on every run.  ``merge_counted`` is the same,
+and observes how many stored rows it replaces and how many of these stay as they were.
 """
 
 from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -38,6 +41,14 @@ def dedupe_latest(df: DataFrame, keys: list[str], order_by: list[str] = ("_inges
     return df.join(rkeys, on, "left_anti").unionByName(chosen)
 
 
+def newest_of_batch(df: DataFrame, keys: list[str], order_by: list[str] = ("_ingested_at",)) -> DataFrame:
+    """``dedupe_latest`` reading its input once: all rows are shuffled by key, a key's rows are cut to the newest in
+    each map task before."""
+    order = list(order_by) + [c for c in df.columns if c not in keys and c not in order_by]
+    latest = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in order])
+    return df.withColumn("_rank", F.row_number().over(latest)).filter(F.col("_rank") == 1).drop("_rank")
+
+
 def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str], prefix: str):
     return functools.reduce(lambda a, b: a & b,
                             [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys])
@@ -65,3 +76,32 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
         src = (src.join(old, _null_safe_on(src, old, keys, "_b_"), "left")
                .drop(*[f"_b_{k}" for k in keys]))
     return kept.unionByName(src, allowMissingColumns=True)
+
+
+#: Columns that say how a row came in, not what it holds.
+LINEAGE = ("_ingested_at", "_source", "_endpoint")
+
+
+def merge_counted(target: DataFrame, batch: DataFrame, keys: list[str], order_by: list[str], seen: Observation) -> DataFrame:
+    """``upsert`` of a batch without repeated keys; ``seen`` gets ``replaced`` (stored rows whose key is in the batch) and
+    ``unchanged`` (those of them that the batch repeats, lineage aside)."""
+    content = sorted(c for c in batch.columns if c in target.columns and c not in keys and c not in LINEAGE)
+
+    def digest(df: DataFrame):
+        # a column that is null leaves a hash as it is, so its place goes in too
+        return F.xxhash64(*[x for i, c in enumerate(content) for x in (F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNull(), F.lit(i)))], F.lit(0))
+
+    same_type = {c: target.schema[c].dataType for c in content}
+    typed = batch.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in same_type.items() if batch.schema[c].dataType != t})
+    bkeys = typed.select(*[F.col(k).alias(f"_b_{k}") for k in keys], digest(typed).alias("_b_digest"))
+    joined = target.join(bkeys, _null_safe_on(target, bkeys, keys, "_b_"), "left")
+    matched = F.col("_b_digest").isNotNull()
+    joined = joined.observe(seen, F.count_if(matched).alias("replaced"), F.count_if(F.col("_b_digest") == digest(target)).alias("unchanged"))
+    kept = joined.filter(~matched).drop("_b_digest", *[f"_b_{k}" for k in keys])
+    carry = [c for c in target.columns if c not in batch.columns]
+    if carry:
+        order = [c for c in order_by if c in target.columns]
+        newest = dedupe_latest(target.select(*keys, *order, *carry), keys, order)
+        old = newest.select(*[F.col(k).alias(f"_b_{k}") for k in keys], *carry)
+        batch = batch.join(old, _null_safe_on(batch, old, keys, "_b_"), "left").drop(*[f"_b_{k}" for k in keys])
+    return kept.unionByName(batch, allowMissingColumns=True)
