@@ -4,11 +4,13 @@ lineage stamps, renames, the high-water mark and the incremental load range."""
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltaic.sources import schemas
 from voltaic.sources.files import partition_dir, partition_dirs
 from voltaic.sources.registry import Source
 
@@ -47,27 +49,30 @@ def rename(df: DataFrame, mapping: dict, required=()) -> DataFrame:
 
 
 def range_filter(df: DataFrame, time_col: str, start=None, end=None,
-                 parts: tuple[str, ...] = ()) -> DataFrame:
+                 parts: tuple[str, ...] = (), or_else: Column | None = None) -> DataFrame:
     """``start <= day(time) <= end`` (end inclusive), written as a range on
     the raw column so parquet row groups are skipped, plus ``year``/``month``
-    predicates when the data is stored partitioned by them (pruning)."""
-    col = F.col(time_col)
-    out = df
+    predicates when the data is stored partitioned by them (pruning); rows for which
+    ``or_else`` holds stay whatever their time."""
+    col, within = F.col(time_col), []
     if start is not None:
         s = _as_date(start)
-        out = out.filter(col >= F.lit(s.isoformat()).cast("timestamp_ntz"))
+        within.append(col >= F.lit(s.isoformat()).cast("timestamp_ntz"))
         if "year" in parts:
-            out = out.filter(F.col("year") >= s.year)
+            within.append(F.col("year") >= s.year)
     if end is not None:
         e = _as_date(end)
-        out = out.filter(col < F.lit((e + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz"))
+        within.append(col < F.lit((e + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz"))
         if "year" in parts:
-            out = out.filter(F.col("year") <= e.year)
+            within.append(F.col("year") <= e.year)
     if start is not None and end is not None and "month" in parts:
         s, e = _as_date(start), _as_date(end)
         if s.year == e.year:
-            out = out.filter((F.col("month") >= s.month) & (F.col("month") <= e.month))
-    return out
+            within.append((F.col("month") >= s.month) & (F.col("month") <= e.month))
+    if not within:
+        return df
+    where = functools.reduce(lambda a, b: a & b, within)
+    return df.filter(where if or_else is None else where | or_else)
 
 
 # lineage stamps carried by every landed batch (see ``stamp_lineage``)
@@ -81,13 +86,16 @@ def landed_schema(source: Source) -> T.StructType:
     return T.StructType(list(source.schema.fields) + list(LINEAGE_FIELDS))
 
 
-def normalize_landed(df: DataFrame, source: Source) -> DataFrame:
+def normalize_landed(df: DataFrame, source: Source, checked: bool = False) -> DataFrame:
     """A landed frame as bronze takes it: names sanitised, the columns the feed can't do without
     present, declared columns cast to their declared types, all others kept as they are.
 
     Nothing is invented: a declared column that the files lack stays absent, and a missing
     time, key or measure column is an error.  Measures of an ``open_schema`` feed that
     arrive as text (CSV) are doubles by contract.
+
+    A value that can't be cast is an error, or with ``checked`` noted in the column ``REJECTS`` (an array of column, raw and
+    reason, empty for a good row), in which a row that couldn't be parsed (``CORRUPT``) is noted too.
     """
     df = sanitize_columns(df)
     needed = [c for c in (source.time_col, *source.keys, *source.required) if c not in df.columns]
@@ -96,17 +104,39 @@ def normalize_landed(df: DataFrame, source: Source) -> DataFrame:
     declared = {f.name: f.dataType for f in landed_schema(source).fields}
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     known = {*declared, *source.partitions, *source.region_cols}
-    cols = []
+    cols, rejects = [], []
     for c in df.columns:
+        raw = F.col(f"`{c}`")
         if c in declared:
-            cols.append(F.col(f"`{c}`").cast(declared[c]).alias(c))
+            want = declared[c]
         elif source.open_schema and c in text and c not in known and (source.all_measures or _is_measure(c)):
-            cols.append(F.col(f"`{c}`").cast("double").alias(c))
+            want = T.DoubleType()
+        else:
+            want = df.schema[c].dataType
+        if c == CORRUPT:
+            rejects.append(_reject(raw.isNotNull(), c, raw, "the row can't be parsed"))
+        elif want == df.schema[c].dataType:
+            cols.append(raw)
+        elif checked:
+            typed = raw.try_cast(want)
+            cols.append(typed.alias(c))
+            rejects.append(_reject(raw.isNotNull() & typed.isNull(), c, raw, f"not a {want.simpleString()}"))
         else:
-            cols.append(F.col(f"`{c}`"))
+            cols.append(raw.cast(want).alias(c))
+    if checked:
+        none = F.array().cast("array<struct<column:string,raw:string,reason:string>>")
+        cols.append((F.filter(F.array(*rejects), lambda r: r.isNotNull()) if rejects else none).alias(REJECTS))
     return df.select(*cols)
 
 
+#: Columns of a checked read: what is wrong with a row, the file it stands in, and its text if it couldn't be parsed.
+REJECTS, FILE, CORRUPT = "_rejects", "_file", "_corrupt_record"
+
+
+def _reject(wrong, column: str, raw, reason: str):
+    return F.when(wrong, F.struct(F.lit(column).alias("column"), raw.cast("string").alias("raw"), F.lit(reason).alias("reason")))
+
+
 #: Prefixes of the measures of regional feeds.
 MEASURES = ("COP_HSL", "GEN", "HSL", "PVGRPP", "STPPF", "STWPF", "WGRPP")
 
@@ -138,26 +168,50 @@ def landed_paths(spark: SparkSession, path: str, source: Source, start=None, end
 
 
 def read_feed(spark: SparkSession, path: str, source: Source, start=None, end=None,
-              fmt: str = "parquet") -> DataFrame:
+              fmt: str = "parquet", checked: bool = False) -> DataFrame:
     """The landed feed for the days ``[start, end]`` (by its time column), lossless: by stored names,
     with every column of the files in range (their schemas merged), then ``normalize_landed``.
 
+    Parquet files whose types differ (a column of whole numbers in one load, of fractions in the next) are read
+    in groups of equal types, each normalised, and stacked with their common types (``schemas``).
     CSV is read by its header with all columns as text, so no scan infers types; JSON
     names come from the files.  Only the partition folders in range are listed and read.
+
+    With ``checked``, values that can't be cast don't end the read: rows carry what is wrong with them
+    in ``REJECTS`` and their file in ``FILE``, and rows whose time isn't known are kept whatever the range.
     """
     paths = landed_paths(spark, path, source, start, end)
     if not paths:  # no folder in range: the feed's columns, no rows
-        return range_filter(read_feed(spark, path, source, fmt=fmt).limit(0), source.time_col, start, end)
-    reader = spark.read.format(fmt)
-    if paths != [path]:
-        reader = reader.option("basePath", path)
-    if fmt == "csv":
-        reader = reader.option("header", "true").option("inferSchema", "false")
-    elif fmt == "parquet":
-        reader = reader.option("mergeSchema", "true")
-    df = normalize_landed(reader.load(paths), source)
+        return range_filter(read_feed(spark, path, source, fmt=fmt, checked=checked).limit(0), source.time_col, start, end)
+    base = None if paths == [path] else path
+    if fmt == "parquet":
+        groups = schemas.read_groups(spark, paths, base, FILE if checked else None)
+    else:
+        reader = spark.read.format(fmt)
+        if base:
+            reader = reader.option("basePath", base)
+        if fmt == "csv":
+            reader = reader.option("header", "true").option("inferSchema", "false")
+        if checked:
+            reader = _with_corrupt(reader, paths, fmt)
+        df = reader.load(paths)
+        groups = [df.withColumn(FILE, F.col("_metadata.file_path")) if checked else df]
+    frames = [normalize_landed(g, source, checked) for g in groups]
+    df = frames[0] if len(frames) == 1 else schemas.stacked(frames)
     parts = tuple(p for p in source.partitions if p in df.columns)
-    return range_filter(df, source.time_col, start, end, parts)
+    unknown = F.col(source.time_col).isNull() & (F.size(REJECTS) > 0) if checked else None
+    return range_filter(df, source.time_col, start, end, parts, unknown)
+
+
+def _with_corrupt(reader, paths: list[str], fmt: str):
+    """The reader with a column for rows that can't be parsed (too few or too many fields, broken JSON); the
+    names in every CSV header must be those of the first."""
+    found = reader.load(paths).schema
+    if CORRUPT not in found.fieldNames():
+        data = [f for f in found.fields]
+        found = T.StructType(data + [T.StructField(CORRUPT, T.StringType())])
+    reader = reader.schema(found).option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
+    return reader.option("enforceSchema", "false") if fmt == "csv" else reader
 
 
 def _as_date(v) -> dt.date:
