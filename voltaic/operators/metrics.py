@@ -81,6 +81,11 @@ def skill_score(df: DataFrame, *, actual: str, forecast: str, floor: float,
                         F.lit(1.0) - F.try_divide("mse_forecast", "mse_persistence")))
 
 
+def instant(*frames: DataFrame) -> list[str]:
+    """The column that tells intervals apart where local times repeat (clocks going back), if all frames have it."""
+    return ["interval_start_utc"] if all("interval_start_utc" in f.columns for f in frames) else []
+
+
 # ------------------------------------------------------ generation profiles
 
 def hourly_totals(combined: DataFrame, *, parts=("solar", "wind"),
@@ -95,7 +100,7 @@ def hourly_totals(combined: DataFrame, *, parts=("solar", "wind"),
             F.sum("estimated_curtailment_mw").alias("total_curtailment_mw")]
     aggs += [F.sum(F.when(tag == p, F.col("actual_mw"))).alias(f"{p}_actual_mw") for p in parts]
     ts = F.col("interval_start")
-    out = combined.groupBy("interval_start").agg(*aggs)
+    out = combined.groupBy("interval_start", *instant(combined)).agg(*aggs)
     derived = {"hour_of_day": F.hour(ts), "day_of_week": F.date_format(ts, "EEEE"),
                "is_weekend": F.dayofweek(ts).isin(1, 7),
                "year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts)}
@@ -248,11 +253,12 @@ def houston_join(lmp: DataFrame, totals: DataFrame, *, point_like: str = "HOUSTO
     renewable totals of the same interval (inner join on the interval; the
     totals have one row per interval, so the join does not multiply rows)."""
     hub = (lmp.filter(F.col("settlement_point").contains(point_like))
-           .select("interval_start", "delivery_date", "hour_of_day", "settlement_point",
+           .select("interval_start", *instant(lmp, totals), "delivery_date", "hour_of_day", "settlement_point",
                    F.col("lmp_price").alias("houston_lmp")))
-    gen = totals.select("interval_start", "total_renewable_actual_mw", "solar_actual_mw",
+    at = instant(lmp, totals) or ["interval_start"]
+    gen = totals.select(*at, "total_renewable_actual_mw", "solar_actual_mw",
                         "wind_actual_mw", "total_curtailment_mw")
-    return hub.join(gen, "interval_start", "inner")
+    return hub.join(gen, at, "inner")
 
 
 def price_vs_generation(lmp: DataFrame, totals: DataFrame, *, point_like: str = "HOUSTON",

@@ -7,6 +7,7 @@ import functools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltaic.sources.landing import MEASURES
 
@@ -66,21 +67,25 @@ def daily_spreads(df: DataFrame, by: str = "delivery_date",
             .withColumns({"year": F.year(by), "month": F.month(by)}))
 
 
-def region_columns(columns, metrics: tuple[str, ...] = MEASURES) -> dict[str, dict[str, str]]:
+#: Fixed value: what follows the metric in a column of the whole system; no region.
+SYSTEM = "SYSTEM_WIDE"
+
+
+def region_columns(columns, metrics: tuple[str, ...] = MEASURES, totals: tuple[str, ...] = (SYSTEM,)) -> dict[str, dict[str, str]]:
     """region -> metric -> column, of columns named ``<METRIC>_<REGION>``.
 
-    Regions are what follows a known metric; any other column that ends in one of these
-    regions is a metric too."""
+    Regions are what follows a known metric, ``totals`` excepted: those columns hold sums over regions and are
+    no region's.  Any other column that ends in one of these regions is a metric too."""
     known = sorted(metrics, key=len, reverse=True)
     regions: dict[str, dict[str, str]] = {}
     for c in columns:
         m = next((m for m in known if c.startswith(f"{m}_") and len(c) > len(m) + 1), None)
-        if m:
+        if m and c[len(m) + 1:] not in totals:
             regions.setdefault(c[len(m) + 1:], {})[m] = c
     taken = {c for own in regions.values() for c in own.values()}
     for c in columns:
         r = max((r for r in regions if c.endswith(f"_{r}") and len(c) > len(r) + 1), key=len, default=None)
-        if c not in taken and r:
+        if c not in taken and r and not c.endswith(tuple(f"_{t}" for t in totals)):
             regions[r][c[:-len(r) - 1]] = c
     return regions
 
@@ -93,9 +98,13 @@ def unpivot_regions(df: DataFrame, ids: list[str] | None = None, metrics: tuple[
     A generator (``inline`` of an array of structs) in a projection: narrow,
     no shuffle.  Regions and metrics are read from the column names (schema metadata).
     A region lacking one of the metrics gets NULL for it; all columns that aren't
-    a region's are carried, unless ``ids`` names those to keep.
+    a region's are carried (totals of the system, and text that ends in a region's name), unless ``ids`` names those to
+    keep.
     """
-    regions = region_columns(df.columns, metrics)
+    # measures are numbers, or text under a known metric's name (CSV)
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.NullType))
+               or isinstance(f.dataType, T.StringType) and any(f.name.startswith(f"{m}_") for m in metrics)]
+    regions = region_columns(numbers, metrics)
     if not regions:
         raise ValueError(f"no <METRIC>_<REGION> columns for metrics {metrics}")
     wide = {c for own in regions.values() for c in own.values()}

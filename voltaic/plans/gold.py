@@ -78,7 +78,7 @@ def solar_features(solar: DataFrame, block_rows: int | None = None,
     ``method="range"`` numbers rows without assuming a bounded day
     (``series.position_index``)."""
     base = solar.filter(F.col("actual_mw").isNotNull())
-    rolled = series.lag_roll(base, ["interval_start"], "actual_mw",
+    rolled = series.lag_roll(base, ["interval_start", *metrics.instant(base)], "actual_mw",
                              lags=FEATURE_LAGS, frames=FEATURE_FRAMES, block_rows=block_rows,
                              method=method)
     angle = F.lit(2 * math.pi) * F.col("hour_of_day") / F.lit(24.0)
@@ -104,7 +104,7 @@ def hub_hourly_comparison(lmp: DataFrame, hubs=None, spreads=SPREADS) -> DataFra
     (day, hour), with spreads."""
     pivot = reshape.pivot_first(lmp.filter(F.col("point_type") == "Hub"),
                                 ["delivery_date", "hour_of_day"], "settlement_point",
-                                None if hubs is None else list(hubs), "lmp_price", "interval_start")
+                                None if hubs is None else list(hubs), "lmp_price", (metrics.instant(lmp) or ["interval_start"])[0])
     for a, b, name in spreads:
         pivot = reshape.add_spread(pivot, a, b, name)
     return pivot.withColumns({"year": F.year("delivery_date"),

@@ -58,9 +58,10 @@ def _write(df: DataFrame | None, root: str, name: str, parts) -> str | None:
     return path
 
 
-def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -> dict[str, str]:
+def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, zone: str | None = None) -> dict[str, str]:
     """Silver tables from the bronze frames keyed by source name (solar, wind,
-    the regional feeds and day-ahead prices; any may be missing)."""
+    the regional feeds and day-ahead prices; any may be missing).  With a ``zone``, all of them (and so gold) are in its
+    wall-clock time."""
     out: dict[str, str] = {}
     P = SILVER_TABLES
 
@@ -70,9 +71,9 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -
             out[name] = path
 
     if SOLAR.name in bronze:
-        put("solar_hourly", silver.transform_solar_hourly(bronze[SOLAR.name]))
+        put("solar_hourly", silver.transform_solar_hourly(bronze[SOLAR.name], zone))
     if WIND.name in bronze:
-        put("wind_hourly", silver.transform_wind_hourly(bronze[WIND.name]))
+        put("wind_hourly", silver.transform_wind_hourly(bronze[WIND.name], zone))
     if "solar_hourly" in out and "wind_hourly" in out:
         by_tag = {"solar": read_table(spark, out["solar_hourly"]),
                   "wind": read_table(spark, out["wind_hourly"])}
@@ -81,9 +82,9 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -
     for src, name in ((SOLAR_REGIONAL, "solar_hourly_regional"),
                       (WIND_REGIONAL, "wind_hourly_regional")):
         if src.name in bronze:
-            put(name, silver.transform_regional(bronze[src.name], src))
+            put(name, silver.transform_regional(bronze[src.name], src, zone))
     if DAM.name in bronze:
-        put("lmp_day_ahead_market", silver.transform_lmp_dam(bronze[DAM.name]))
+        put("lmp_day_ahead_market", silver.transform_lmp_dam(bronze[DAM.name], zone))
         lmp = read_table(spark, out["lmp_day_ahead_market"])
         put("lmp_hub_daily_summary", silver.lmp_hub_daily_summary(lmp))
         put("lmp_load_zone_daily_summary", silver.lmp_load_zone_daily_summary(lmp))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.functions.calendar import calendar_columns, forecast_horizon_hours
+from voltaic.functions.calendar import calendar_columns, forecast_horizon_hours, local_time
 from voltaic.functions.classify import classify_point
 from voltaic.functions.measures import curtailment, forecast_error, forecast_error_pct
 from voltaic.operators import metrics, reshape
@@ -26,11 +26,12 @@ def lineage_columns(source_table: str) -> dict:
 def transform_hourly(bronze: DataFrame, source: Source, forecast: str,
                      zone: str | None = None) -> DataFrame:
     """PIP-1 / PIP-2: canonical names, calendar, error vs ``<forecast>``,
-    curtailment estimate, lineage and partition columns (one projection).  Calendar columns
-    are of the time in ``zone`` (stored as UTC), or of the time as stored without one."""
-    df = rename(bronze, source.rename, source.required)
+    curtailment estimate, lineage and partition columns (one projection).  With a ``zone``, the feed's times (stored as
+    UTC) become the wall-clock times there, so that this and all later steps, which take dates, hours and months
+    from them, are in that zone; the instant stays as ``interval_start_utc``.  Where clocks go back, two rows share an hour."""
+    df = _in_zone(rename(bronze, source.rename, source.required), zone)
     fc = f"{forecast}_forecast_mw"
-    cols = calendar_columns("interval_start", zone=zone)
+    cols = calendar_columns("interval_start")
     cols.update({
         f"{forecast}_error_mw": forecast_error("actual_mw", fc),
         f"{forecast}_error_pct": forecast_error_pct("actual_mw", fc),
@@ -42,6 +43,18 @@ def transform_hourly(bronze: DataFrame, source: Source, forecast: str,
     return df.withColumns(cols)
 
 
+#: Columns of a feed's intervals and of its publication.
+TIMES = ("interval_start", "interval_end", "report_time", "Publish_Time")
+
+
+def _in_zone(df: DataFrame, zone: str | None) -> DataFrame:
+    """The frame with its times in ``zone``, and the start as it was stored."""
+    if zone is None:
+        return df
+    local = {c: local_time(c, zone) for c in TIMES if c in df.columns}
+    return df.withColumns({"interval_start_utc": F.col("interval_start")} | local)
+
+
 def transform_solar_hourly(bronze: DataFrame, zone: str | None = None) -> DataFrame:
     return transform_hourly(bronze, SOLAR, "stppf", zone)
 
@@ -65,6 +78,7 @@ def combined_resources(by_tag: dict[str, DataFrame]) -> DataFrame:
     """PIP-3 / SET-1: slim rows of every resource with its tag and its own
     forecast column, stacked by name."""
     frames = [df.select(*SLIM_COLUMNS,
+                        *(["interval_start_utc"] if "interval_start_utc" in df.columns else []),
                         F.lit(tag).alias("resource_type"),
                         F.col(f"{RESOURCE_FORECAST[tag]}_forecast_mw").alias("forecast_mw"))
               for tag, df in by_tag.items()]
@@ -76,13 +90,13 @@ def renewable_totals(by_tag: dict[str, DataFrame]) -> DataFrame:
     return metrics.hourly_totals(combined_resources(by_tag), parts=tuple(by_tag))
 
 
-def transform_regional(bronze: DataFrame, source: Source = SOLAR_REGIONAL) -> DataFrame:
+def transform_regional(bronze: DataFrame, source: Source = SOLAR_REGIONAL, zone: str | None = None) -> DataFrame:
     """PIP-4: sanitise names, unpivot every ``<METRIC>_<REGION>`` column to one row per
     (interval, region) with a column per metric, calendar and partitions.  All other
     columns (publish time, lineage) are carried; a feed that is long already (its region is a
     column) keeps its rows."""
     df = rename(sanitize_columns(bronze), source.rename, ("Interval_Start",))
-    df = df.drop("year", "month", "day")  # derived again below
+    df = _in_zone(df.drop("year", "month", "day"), zone)  # derived again below
     region = next((c for c in source.region_cols if c in df.columns), None)
     long = df.withColumnRenamed(region, "region") if region else reshape.unpivot_regions(df)
     cols = {"hour_of_day": F.hour("interval_start"), "year": F.year("interval_start"),
@@ -91,10 +105,10 @@ def transform_regional(bronze: DataFrame, source: Source = SOLAR_REGIONAL) -> Da
     return long.withColumns(cols)
 
 
-def transform_lmp_dam(bronze: DataFrame) -> DataFrame:
+def transform_lmp_dam(bronze: DataFrame, zone: str | None = None) -> DataFrame:
     """PIP-5: canonical names, delivery date, hour ending, calendar, peak flag,
     point class, lineage and partitions (one projection)."""
-    df = rename(bronze, DAM.rename, DAM.required)
+    df = _in_zone(rename(bronze, DAM.rename, DAM.required), zone)
     cols = calendar_columns("interval_start", "interval_end", peak=True, delivery_date=True)
     cols["point_type"] = classify_point("settlement_point")
     cols.update(lineage_columns(DAM.name))
