@@ -27,12 +27,27 @@ def test_chunked_ids_are_the_library_s(path, text):
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_odd_texts_and_a_small_cache(path):
-    enc = ChunkEncoder(path, cached=3, longest=4)
+    enc = ChunkEncoder(path, cache_bytes=3000)
     assert enc.split is not None
     for t in ODD_TEXTS * 2:
         assert enc.encode(t).tolist() == (enc.tokenizer.encode(t, add_special_tokens=False).ids if t else [])
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_what_comes_back_is_kept(path, monkeypatch):
+    """Chunks that come back are kept, within the bytes allowed; ids stay the library's."""
+    monkeypatch.setattr("voltaic.llm.tokens.MOST_YOUNG", 60)
+    enc = ChunkEncoder(path, cache_bytes=60_000)
+    want = lambda t: enc.tokenizer.encode(t, add_special_tokens=False).ids if t else []
+    for k in range(30):
+        for t in [f"once{k}x{i} again, again\nand~again {i % 7} \t Word. Word" for i in range(40)] + list(ODD_TEXTS):
+            assert enc.encode(t).tolist() == want(t)
+            assert sum(known.held for known in enc.known.values()) <= 60_000
+            assert all(len(known.young) <= 60 for known in enc.known.values())
+    kept = set().union(*(known.ids for known in enc.known.values()))
+    assert not any("x" in c and c.startswith("once") for c in kept) and "again" in kept
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 50), st.integers(1, 300), max_size=20))
 def test_plan_fills_sequences_without_gap_or_overlap(counts):

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltaic.session import scratch_path
+from voltaic.sources import files
 
 from .common import pick, stage
 from .tokens import encoder
@@ -44,6 +45,8 @@ from .tokens import encoder
 MAGIC = b"VBP1"
 BLOCK = 4096
 FILE_IDS = 8 << 20
+#: Ids packed at a time.
+AT_ONCE = 1 << 18
 #: Files are read by at most so many tasks, several files a task beyond.
 MOST_READ_TASKS = 50_000
 _HEAD = struct.Struct("<4sIIQQQ")
@@ -89,9 +92,11 @@ def file_bytes(documents: list[np.ndarray], width: int, block: int = BLOCK) -> b
     """A whole file of the documents' ids."""
     starts = np.concatenate([[0], np.cumsum([len(d) for d in documents])]).astype("<u8")
     ids = np.concatenate(documents) if documents else np.empty(0, "<u4")
-    payload = [pack_ids(ids[i:i + block], width) for i in range(0, len(ids), block)]
-    offsets = np.concatenate([[0], np.cumsum([len(b) for b in payload])]).astype("<u8")
-    head = _HEAD.pack(MAGIC, width, block, len(documents), len(ids), len(payload))
+    # blocks are whole words, so that many are packed in one go
+    payload = [pack_ids(ids[i:i + AT_ONCE], width) for i in range(0, len(ids), AT_ONCE)]
+    blocks, total = -(-len(ids) // block), sum(map(len, payload))
+    offsets = np.minimum(np.arange(blocks + 1) * (block // 64 * width * 8), total).astype("<u8")
+    head = _HEAD.pack(MAGIC, width, block, len(documents), len(ids), blocks)
     return b"".join([head, starts.tobytes(), offsets.tobytes(), *payload])
 
 
@@ -143,8 +148,15 @@ class PackedFile:
             k = last
 
 
+def _qualified(spark, path: str) -> str:
+    """The path with the file system that Spark resolves it on, so that tasks go to the same one."""
+    _, root, fs = files.file_system(spark, path)
+    own = fs.makeQualified(root).toString()
+    return own.replace("file:/", "file:///", 1) if own.startswith("file:/") and not own.startswith("file://") else own
+
+
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    return pafs.FileSystem.from_uri(path)
 
 
 def write_packed(docs: DataFrame, vocabulary: str, end_id: int = 0, id_col: str = "doc_id",
@@ -156,10 +168,11 @@ def write_packed(docs: DataFrame, vocabulary: str, end_id: int = 0, id_col: str
     other; null and empty texts hold the end id only; an empty table writes no file.
     """
     spark = docs.sparkSession
-    root = path or scratch_path(spark, "llm-ids")
-    src = pick(docs, doc_id=id_col, text=text_col).withColumn("tie", F.xxhash64("text"))
-    # the text is moved once, by range: repeated ids are told apart by their text's hash
-    dealt = src.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    root = _qualified(spark, path or scratch_path(spark, "llm-ids"))
+    src = pick(docs, doc_id=id_col, text=text_col).withColumn("tie", F.xxhash64("text")).withColumn("row", F.rand(41))
+    # the text is moved once, by range: repeated ids are told apart by their text's hash, and rows
+    # that repeat both, whose order makes no difference, are spread by a number of their own
+    dealt = src.repartitionByRange("doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     id_type = dealt.schema["doc_id"].dataType.simpleString()
 
     def write(batches):

@@ -3,8 +3,11 @@
 A byte-pair tokenizer never merges across the places its pre-tokenizer splits at,
 so ids of a text are the ids of its white-space chunks, and those the ids of their
 pre-tokens, one after the other.  Both repeat far more often than texts, so each
-worker keeps the ids of chunks and pre-tokens it has met, and gives the library's
-model new pre-tokens only.  Chunks with characters on which Unicode tables might
+worker keeps the ids of chunks and pre-tokens, and gives the library's
+model those that it doesn't know.  One that comes back is kept for good, one met once for a while, so that the many
+that never come back don't drive out those that do; what is kept is bounded in bytes.
+
+Chunks with characters on which Unicode tables might
 differ go to the library whole, and so do texts for which the split at white space
 isn't known to be exact (white space that libraries class differently, strings of special
 tokens) and all texts of tokenizers of another kind.
@@ -32,38 +35,56 @@ _BEFORE_SPACE = tuple(f"{c} " for c in " \t\n\x0b\x0c\r")
 #: The patterns of the two public kinds of pre-tokenizer.
 _SPACED_PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORD_PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-
-
 #: Characters (of Latin scripts) whose case, normal form and class are the same in every Unicode version.
-_PLAIN = re.compile("[\t-\r -~\u00a1-\u012f\u0131-\u024f]*")
+_PLAIN = re.compile("[\t-\r -~¡-įı-ɏ]*")
+
 #: Byte-level alphabet: printable bytes stand for themselves, others for code points from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {
     b: chr(256 + k) for k, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
 
-
-class _Recent:
-    """The ids of at most ``most`` strings, those met lately: when the younger half is full, the older one goes."""
-
-    def __init__(self, most: int):
-        self.half, self.young, self.old = max(1, most // 2), {}, {}
-
-    def get(self, key: str) -> bytes | None:
-        ids = self.young.get(key)
-        if ids is None and (ids := self.old.get(key)) is not None:
-            self.put(key, ids)
+#: Punctuation that ends a chunk, a pre-token of its own behind letters.
+_ENDS = frozenset(".,;:!?")
+#: Bytes of strings kept by a worker, and what one takes beside its characters and ids; strings met once.
+CACHE_BYTES = 128 << 20
+MOST_YOUNG = 200_000
+_EACH = 190
+
+
+class _Known:
+    """Ids of strings: those that came back lately (``ids``, within a number of bytes), and those met once (``young``).
+    One for strings as they are, one for those that stand behind a space, without it; the bytes are shared."""
+
+    def __init__(self, most: int, other: "_Known | None" = None):
+        self.most, self.ids, self.young = most, {}, {}
+        self.all = [self] if other is None else [other, self]
+        self.held = 0
+        if other is not None:
+            other.all = self.all
+
+    def again(self, key: str) -> bytes | None:
+        """The ids of a string that was met once; it is kept from now on."""
+        ids = self.young.pop(key, None)
+        if ids is not None:
+            own = _EACH + len(key) + len(ids)
+            if sum(k.held for k in self.all) + own > self.most:  # those that come back are soon here again
+                for k in self.all:
+                    k.ids.clear()
+                    k.held = 0
+            self.held += own
+            self.ids[key] = ids
         return ids
 
-    def put(self, key: str, ids: bytes) -> None:
-        if len(self.young) >= self.half:
-            self.old, self.young = self.young, {}
+    def learn(self, key: str, ids: bytes) -> None:
+        if len(self.young) >= MOST_YOUNG:
+            self.young.clear()
         self.young[key] = ids
 
 
 class ChunkEncoder:
     """ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``."""
 
-    def __init__(self, path: str, cached: int = 600_000, longest: int = 48):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES, longest: int = 48):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -71,9 +92,9 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.longest, self.pretokens = longest, _Recent(cached // 2)
-        #: chunks as they are, and those that stand behind a space, without it
-        self.chunks = {"": _Recent(cached), " ": _Recent(cached)}
+        self.longest = longest
+        bare = _Known(cache_bytes)
+        self.known = {"": bare, " ": _Known(cache_bytes, bare)}
         self.split, self.pretokenize, self.lower = self._rules(spec)
         special = [re.escape(t["content"]) for t in spec.get("added_tokens", [])]
         self.special = re.compile("|".join(special)) if special else None
@@ -102,23 +123,42 @@ class ChunkEncoder:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _of_pretoken(self, pretoken: str) -> bytes:
-        ids = self.pretokens.get(pretoken)
+        front = " " if pretoken[0] == " " and len(pretoken) > 1 else ""
+        return self._of_letters(front, pretoken[1:] if front else pretoken)
+
+    def _of_letters(self, front: str, key: str) -> bytes:
+        """ids of one pre-token, ``front`` and ``key``."""
+        known = self.known[front]
+        ids = known.ids.get(key) or known.again(key)
         if ids is None:
-            mapped = pretoken if pretoken.isascii() and pretoken.isalnum() else \
-                pretoken.encode().decode("latin-1").translate(_BYTE_CHARS)
+            mapped = front + key
+            if not (mapped.isascii() and mapped.isalnum()):
+                mapped = mapped.encode().decode("latin-1").translate(_BYTE_CHARS)
             ids = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-            if len(pretoken) <= self.longest:
-                self.pretokens.put(pretoken, ids)
+            if len(key) <= self.longest:
+                known.learn(key, ids)
         return ids
 
-    def _of_chunk(self, chunk: str, plain: bool) -> bytes:
+    def _of_chunk(self, front: str, chunk: str, plain: bool) -> bytes:
+        """ids of a chunk that isn't among those kept."""
+        known = self.known[front]
+        ids = known.again(chunk)
+        if ids is not None:
+            return ids
         if not plain and not _PLAIN.fullmatch(chunk):
-            return self._by_library(chunk)
-        if self.lower:
-            chunk = chunk.lower()
-        if chunk.isalpha() or chunk[0] == " " and chunk[1:].isalpha():  # one run of letters
-            return self._of_pretoken(chunk)
-        return b"".join(map(self._of_pretoken, self.pretokenize(chunk)))
+            return self._by_library(front + chunk)
+        own = chunk.lower() if self.lower else chunk
+        if own.isalpha():  # one run of letters
+            ids = self._of_letters(front, own)
+            if own is chunk or own == chunk:
+                return ids
+        elif len(own) > 1 and own[-1] in _ENDS and own[:-1].isalpha():
+            ids = self._of_letters(front, own[:-1]) + self._of_letters("", own[-1])
+        else:
+            ids = b"".join(map(self._of_pretoken, self.pretokenize(front + own)))
+        if len(chunk) <= self.longest:
+            known.learn(chunk, ids)
+        return ids
 
     def encode(self, text: str | None) -> np.ndarray:
         """ids as little-endian unsigned 32-bit integers; none for null or empty text."""
@@ -128,27 +168,19 @@ class ChunkEncoder:
             return np.frombuffer(self._by_library(text), "<u4")
         plain = _PLAIN.fullmatch(text) is not None
         if self.lower or any(s in text for s in _BEFORE_SPACE):
-            return np.frombuffer(b"".join(self._of_chunks(self.split(text), plain)), "<u4")
+            return np.frombuffer(b"".join(self._of_chunks("", self.split(text), plain)), "<u4")
         # every space follows a visible character, so that a pre-token starts at each: pieces between
         # spaces are chunks, all but the first with a space in front
         pieces = text.split(" ")
-        first = self._of_chunk(pieces[0], plain) if pieces[0] else b""
-        del pieces[0]
-        return np.frombuffer(b"".join([first, *self._of_chunks(pieces, plain, " ")]), "<u4")
-
-    def _of_chunks(self, chunks: list[str], plain: bool, front: str = "") -> list[bytes]:
-        known = self.chunks[front]
-        out, get = [], known.young.get
-        for chunk in chunks:
-            ids = get(chunk)
-            if ids is None:
-                ids = known.get(chunk)
-                if ids is None:
-                    ids = self._of_chunk(front + chunk, plain)
-                    if len(chunk) <= self.longest:
-                        known.put(chunk, ids)
-                get = known.young.get
-            out.append(ids)
+        first = pieces.pop(0)
+        own = self._of_chunks(" ", pieces, plain)
+        return np.frombuffer(b"".join([*self._of_chunks("", [first], plain), *own] if first else own), "<u4")
+
+    def _of_chunks(self, front: str, chunks: list[str], plain: bool) -> list[bytes]:
+        out = list(map(self.known[front].ids.get, chunks))
+        if None in out:
+            for i in [i for i, ids in enumerate(out) if ids is None]:
+                out[i] = self._of_chunk(front, chunks[i], plain)
         return out
 
 
