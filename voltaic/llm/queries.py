@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import (bitpack, codes, decontamination, jaccard, language, lexical, licenses, neighbours, packing, quality, simhash,
                token_counts, toxicity)
 from .common import held_out, pick, stage, table
+from .sql import ORACLE_SQL  # noqa: F401  DuckDB SQL by query; those that SQL can't express have none
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +26,9 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_before, and after personal data is masked: n_tokens, n_edits, n_chars, n_encoded (characters
     encoded again)."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    # trees are stored, then edited: each pass has one Python worker a core, and not two
+    # trees are stored, then edited: each pass has one Python function, and so one worker a core
     trees = stage(token_counts.with_trees(table(spark, sf_dir, "documents"), vocabulary), "trees")
-    edited = token_counts.edit_rows(trees.withColumn("edits", token_counts.mask_edits()("text")), "edits", vocabulary)
-    return edited.select("doc_id", "n_before", "n_tokens", "n_edits", F.length("text").alias("n_chars"), "n_encoded")
+    return token_counts.count_edited(trees, token_counts.masks, vocabulary)
 
 
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,5 +102,3 @@ QUERIES = {
     "op13_vector_codes": op13_vector_codes,
 }
 
-#: DuckDB SQL by query; queries that SQL can't express have none.
-ORACLE_SQL: dict[str, str] = {}

@@ -14,6 +14,7 @@ edited again later.  One pass of rows for building, one join by document for edi
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -187,30 +188,54 @@ def with_trees(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
 
 
 _EDITED = "text string, lengths array<int>, sums array<bigint>, n_edits int, n_encoded bigint"
+_COUNTED = "n_tokens bigint, n_edits int, n_chars bigint, n_encoded bigint"
 
 
-def _apply(vocabulary: str):
+def _edited(text, lengths, sums, edits, count):
+    """(new text, lengths, tree, edits made, characters encoded again)."""
+    new, lengths, tree, made, encoded = edit(text, list(lengths), SegmentTree.of(sums), edits, count)
+    return text if text is None and not made else new, lengths, tree, made, encoded
+
+
+def edit_rows(trees: DataFrame, edits_col: str, vocabulary: str) -> DataFrame:
+    """Trees after the edits in the column ``edits_col`` (array of struct first, last, new: characters
+    ``first`` to ``last``, exclusive, of the text become ``new``): doc_id, text, lengths, sums,
+    n_before, n_tokens, n_edits, n_encoded (characters encoded again)."""
     @F.pandas_udf(_EDITED)
     def run(text: pd.Series, lengths: pd.Series, sums: pd.Series, edits: pd.Series) -> pd.DataFrame:
         count, out = _counter(vocabulary), []
         for t, n, s, own in zip(text, lengths, sums, edits):
             own = [] if own is None else [(e["first"], e["last"], e["new"]) for e in own]
-            new, n, tree, made, encoded = edit(t, list(n), SegmentTree.of(s), own, count)
-            out.append((t if t is None and not made else new, n, tree.sums, made, encoded))
+            new, n, tree, made, encoded = _edited(t, n, s, own, count)
+            out.append((new, n, tree.sums, made, encoded))
         return pd.DataFrame(out, columns=["text", "lengths", "sums", "n_edits", "n_encoded"])
 
-    return run
-
-
-def edit_rows(trees: DataFrame, edits_col: str, vocabulary: str) -> DataFrame:
-    """Trees after the edits in the column ``edits_col`` (array of struct first, last, new: characters
-    ``first`` to ``last``, exclusive, of the text become ``new``): doc_id, text, lengths, sums,
-    n_before, n_tokens, n_edits, n_encoded (characters encoded again)."""
-    own = trees.withColumn("edited", _apply(vocabulary)("text", "lengths", "sums", F.col(edits_col)))
+    own = trees.withColumn("edited", run("text", "lengths", "sums", F.col(edits_col)))
     return own.select("doc_id", "edited.text", "edited.lengths", "edited.sums", F.col("n_tokens").alias("n_before"),
                       F.element_at("edited.sums", 2).alias("n_tokens"), "edited.n_edits", "edited.n_encoded")
 
 
+def count_edited(trees: DataFrame, find: Callable[[str], list[tuple[int, int, str]]], vocabulary: str) -> DataFrame:
+    """What edits would make of the counts, without the edited texts: doc_id, n_before, n_tokens, n_edits, n_chars (null
+    for a null text) and n_encoded.  ``find`` gives the edits of a text (first, last exclusive, new); they are found and made
+    in one pass."""
+    @F.pandas_udf(_COUNTED)
+    def run(text: pd.Series, lengths: pd.Series, sums: pd.Series) -> pd.DataFrame:
+        count, out = _counter(vocabulary), []
+        for t, n, s in zip(text, lengths, sums):
+            own = find(t) if t else []
+            if own:
+                new, _, tree, made, encoded = _edited(t, n, s, own, count)
+                out.append((tree.total(), made, len(new), encoded))
+            else:
+                out.append((int(s[1]), 0, None if t is None else len(t), 0))
+        rows = pd.DataFrame(out, columns=["n_tokens", "n_edits", "n_chars", "n_encoded"])
+        return rows.astype({"n_chars": "Int64"})
+
+    own = trees.withColumn("counted", run("text", "lengths", "sums"))
+    return own.select("doc_id", F.col("n_tokens").alias("n_before"), "counted.*")
+
+
 def apply_edits(trees: DataFrame, edits: DataFrame, vocabulary: str) -> DataFrame:
     """Trees after edits given as a table: doc_id, first, last, new.  Documents without edits stay as
     they are, edits of unknown or null ids do nothing, and each of the rows that repeat an id is edited."""
@@ -229,11 +254,6 @@ MASKED = (
 _MASKED = re.compile("|".join(f"({p})" for p, _ in MASKED))
 
 
-def mask_edits():
-    """Column function: text -> the edits that mask personal data in it."""
-    @F.pandas_udf("array<struct<first:int,last:int,new:string>>")
-    def run(text: pd.Series) -> pd.Series:
-        return pd.Series([[{"first": m.start(), "last": m.end(), "new": MASKED[m.lastindex - 1][1]}
-                           for m in _MASKED.finditer(t or "")] for t in text], dtype=object)
-
-    return run
+def masks(text: str) -> list[tuple[int, int, str]]:
+    """The edits that mask personal data in a text."""
+    return [(m.start(), m.end(), MASKED[m.lastindex - 1][1]) for m in _MASKED.finditer(text)]
