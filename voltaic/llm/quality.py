@@ -34,8 +34,6 @@ from .common import may_learn, pick, stage
 WORD_BITS, PAIR_BITS, SHAPE_BITS = 15, 16, 12
 SIZES = (1 << WORD_BITS, 1 << PAIR_BITS, 1 << SHAPE_BITS)
 FEATURES = sum(SIZES)
-#: N-grams of a document that count in full when the models are fitted.
-MOST_IN_MODEL = 6000
 _MANY = np.uint64(0x9E3779B97F4A7C15)
 _AT_ONCE = 1 << 17
 _TAIL = re.compile(r"[^\W_]*([\W_]*)$")
@@ -50,22 +48,30 @@ def shape(word: str) -> str:
 
 
 class _Numbers:
-    """Hashes of words and of their shapes, remembered for the words met lately."""
+    """Hashes of words (upper 32 bits) and of their shapes (lower), remembered for the words met lately."""
 
     def __init__(self, most: int = 200_000):
         self.most, self.known = most, {}
 
-    def of(self, word: str) -> tuple[int, int]:
-        got = self.known.get(word)
-        if got is None:
-            got = zlib.crc32(word.lower().encode("utf-8", "replace")), zlib.crc32(shape(word).encode("utf-8", "replace"))
+    def of(self, own: list[str]) -> np.ndarray:
+        got = list(map(self.known.get, own))
+        if None in got:
+            for i in [i for i, n in enumerate(got) if n is None]:
+                got[i] = self._new(own[i])
+        return np.array(got, np.uint64)
+
+    def _new(self, word: str) -> int:
+        n = self.known.get(word)  # the text may hold it twice
+        if n is None:
+            n = zlib.crc32(word.lower().encode("utf-8", "replace")) << 32 | zlib.crc32(shape(word).encode("utf-8", "replace"))
             if len(self.known) >= self.most:
                 self.known.clear()
-            self.known[word] = got
-        return got
+            self.known[word] = n
+        return n
 
 
 _NUMBERS = _Numbers()
+_LOW = np.uint64(0xFFFFFFFF)
 
 
 def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
@@ -77,9 +83,10 @@ def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
 def features(text: str | None):
     """Arrays of the text's n-grams (numbers below FEATURES), some at a time."""
     own = text.split() if text else []
-    numbers = np.array(list(map(_NUMBERS.of, own)), np.uint64).reshape(-1, 2)
+    numbers = _NUMBERS.of(own)
     for at in range(0, len(own), _AT_ONCE):
-        w, s = numbers[at:at + _AT_ONCE + 1].T  # pairs reach one word further
+        both = numbers[at:at + _AT_ONCE + 1]  # pairs reach one word further
+        w, s = both >> np.uint64(32), both & _LOW
         n = min(_AT_ONCE, len(own) - at)
         yield np.concatenate([
             _bucket(w[:n] + np.uint64(1), WORD_BITS),
@@ -98,30 +105,27 @@ class QualityModel:
         return float(sum(self.log_ratio[f].sum() for f in features(text)))
 
 
-def _counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences of each feature over all rows, in parts of 1024, and documents that hold it: two
-    numbers a feature reach the driver.  All of a text counts, but one of over MOST_IN_MODEL n-grams
-    counts as much as one of so many."""
+def _counts(texts: DataFrame) -> np.ndarray:
+    """For each feature its occurrences over all rows, documents that hold it, and the roots of its occurrences in each, added up:
+    three numbers a feature reach the driver."""
     def count(batches):
-        total, held = np.zeros(FEATURES, np.int64), np.zeros(FEATURES, np.int64)
+        sums = np.zeros((3, FEATURES), np.int64)
         for batch in batches:
             for text in batch.column(0):
-                own, found = [], [np.unique(f, return_counts=True) for f in features(text.as_py())]
-                parts = round(1024 * min(1.0, MOST_IN_MODEL / max(1, sum(int(n.sum()) for _, n in found))))
-                for at, n in found:
-                    total[at] += n * max(1, parts)
-                    own.append(at)
+                own = list(features(text.as_py()))
                 if own:
-                    held[own[0] if len(own) == 1 else np.unique(np.concatenate(own))] += 1
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64()),
-                                          pa.array(held[at], pa.int64())], names=["feature", "n", "held"])
+                    at, n = np.unique(own[0] if len(own) == 1 else np.concatenate(own), return_counts=True)
+                    sums[0, at] += n
+                    sums[1, at] += 1
+                    sums[2, at] += np.round(1024 * np.sqrt(n)).astype(np.int64)  # whole numbers add up the same in any order
+        at = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *[pa.array(x[at]) for x in sums]], names=["feature", "n", "held", "roots"])
 
-    got = texts.select("text").mapInArrow(count, "feature int, n long, held long").groupBy("feature").agg(
-        F.sum("n").alias("n"), F.sum("held").alias("held")).toPandas()
-    out = np.zeros((2, FEATURES))
-    out[:, got["feature"].to_numpy(np.int64)] = got[["n", "held"]].to_numpy(float).T
-    return out[0] / 1024, out[1]
+    got = texts.select("text").mapInArrow(count, "feature int, n long, held long, roots long").groupBy("feature").agg(
+        *[F.sum(c).alias(c) for c in ("n", "held", "roots")]).toPandas()
+    out = np.zeros((3, FEATURES))
+    out[:, got["feature"].to_numpy(np.int64)] = got[["n", "held", "roots"]].to_numpy(float).T
+    return out
 
 
 def _sample(rows: DataFrame, most: int, seed: int) -> DataFrame:
@@ -145,13 +149,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n, n_good = known.agg(F.count("good"), F.sum("good")).first()
     good = known.where("good = 1").select("doc_id")
     # the sample's ids are broadcast (`sample` numbers), so that no text moves
-    target, held_t = _counts(rows.join(F.broadcast(_sample(good, sample, 17)), "doc_id"))
-    raw, held_r = _counts(rows)
+    target = _counts(rows.join(F.broadcast(_sample(good, sample, 17)), "doc_id"))
+    raw = _counts(rows)
     out, at = np.zeros(FEATURES), 0
     for size in SIZES:  # each kind of n-gram is a distribution of its own
-        t, r, ht, hr = (x[at:at + size] for x in (target, raw, held_t, held_r))
+        (t, ht, roots_t), (r, hr, roots_r) = (x[:, at:at + size] for x in (target, raw))
         if t.sum() and r.sum():
-            expected = r * (t.sum() / r.sum())
+            # how much text the target is of the raw: by roots, so that one text that repeats a line without end, though
+            # it counts in full for its own n-grams, doesn't make all others look rare
+            expected = r * (roots_t.sum() / roots_r.sum())
             ratio = np.log((t + smoothing) / (expected + smoothing))
             error = np.sqrt(1 / (np.maximum(ht, hr * ht.sum() / hr.sum()) + 1) + 1 / (hr + 1))
             out[at:at + size] = np.where(ratio < 0, np.minimum(0, ratio + 2 * error), ratio)
