@@ -90,12 +90,32 @@ def test_votes_outvote_wrong_labels():
 
 
 def test_unlabelled_rows_are_voted_on(spark, documents, monkeypatch):
+    """All rows without a label count, whatever the sample of labelled ones."""
     texts = ["you are an idiot, idiot", "a calm text about trees"] * 100
     labels = spark.createDataFrame([(i, int("idiot" in texts[i])) for i in range(60)] + [(61, None)], "doc_id long, toxic int")
-    seen, plain = [], T.label_model
-    monkeypatch.setattr(T, "label_model", lambda fires, known, *a: seen.append(known) or plain(fires, known, *a))
+    seen, plain = [], T.estimate
+    monkeypatch.setattr(T, "estimate", lambda sums, voters, n_known, n_unknown, *a: seen.append((n_known, n_unknown)) or plain(
+        sums, voters, n_known, n_unknown, *a))
     T.fit(documents(texts), labels)
     may = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2]
-    assert np.isnan(seen[0]).sum() == sum(i >= 60 for i in may) and (~np.isnan(seen[0])).sum() == sum(i < 60 for i in may)
-    T.fit(documents(texts), labels, sample=40)
-    assert 15 < np.isnan(seen[1]).sum() < 65
+    unknown = sum(i >= 60 for i in may)
+    assert seen[0] == (sum(i < 60 for i in may), unknown)
+    T.fit(documents(texts), labels, sample=20)
+    assert 5 < seen[1][0] < 35 and seen[1][1] == unknown
+
+
+def test_sums_over_tasks_are_those_of_all_rows(spark, documents, monkeypatch):
+    """The model learned by sums over tasks is the one learned from a matrix of all rows."""
+    rng = np.random.default_rng(7)
+    kinds = ["you are an idiot, %s", "what a moron %s", "a calm text about trees %s", "idiot trees %s calm", "SHOUTING!! AT YOU!! %s"]
+    texts = [kinds[k] % ("x" * n) for k, n in zip(rng.integers(0, 5, 300), rng.integers(1, 9, 300))]
+    texts += [texts[0]] * 150  # a third of the rows is one text, under one id
+    docs = documents([(i if i < 300 else 1, t) for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, int("idiot" in texts[i] or "moron" in texts[i])) for i in range(100)], "doc_id long, toxic int")
+    model = T.fit(docs, labels, learned=0)
+    ids = [i if i < 300 else 1 for i in range(450)]
+    rows = [(t, float("idiot" in texts[i] or "moron" in texts[i]) if i < 100 else np.nan) for i, t in zip(ids, texts) if zlib.crc32(str(i).encode()) % 4 != 2]
+    x = np.array([T.features(t, T.Matcher(model.lexicon, model.strong)) for t, _ in rows]).astype(np.float32).astype(float)
+    prior, rates, correlations, posterior = T.label_model(T.votes(x, len(model.lexicon)), np.array([y for _, y in rows]))
+    assert np.allclose(model.rates, rates, atol=1e-6) and np.allclose(model.correlations, correlations, atol=1e-5)
+    assert np.allclose(model.weights, T.linear_classifier(x, posterior), atol=1e-4)
