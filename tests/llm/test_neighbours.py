@@ -105,3 +105,17 @@ def test_few_and_no_rows(spark):
     two = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 0.0]), (1, [2.0, 0.0])], "vec_id long, embedding array<float>")
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in N.nearest(two, lambda i: i >= 0).found.collect()) == [
         (0, 1, 1, 2.0), (0, 2, 1, 1.0), (1, 1, 0, 1.0)]
+
+
+def test_hot_ids(spark):
+    """A third of the rows has one id, which is a query: every query still gets k candidates, nothing of that size is fetched."""
+    rng = np.random.default_rng(9)
+    rows = [(0, rng.normal(size=4).tolist()) for _ in range(150)] + [(i, rng.normal(size=4).tolist()) for i in range(1, 300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    own = N.nearest(df, lambda i: F.pmod(i, F.lit(100)) == 0, k=5, recall=0.1, leaf_rows=16, fit_sample=60)
+    got = own.found.collect()
+    assert own.leaves > 4
+    by = {}
+    for r in got:
+        by.setdefault(r.query_id, []).append(r.vec_id)
+    assert sorted(by) == [0, 100, 200] and all(len(v) == 5 for v in by.values()) and 0 not in by[0]

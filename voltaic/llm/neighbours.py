@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by inner product, through a hierarchical k-means tree.
 
 1. The tree is fitted on a bounded sample of the vectors and broadcast; every row is put in
-   the leaf that it descends to.  Rows of a leaf are dealt out over shards of bounded
+   the leaf that it descends to.  Rows of a leaf, whatever their ids, are dealt out over shards of bounded
    size, so that a leaf that holds very many rows is no group of its own.
 2. A query visits leaves best bin first: a priority queue holds the nodes seen so far, the
    one whose centroid has the largest inner product with the query comes next.
@@ -202,7 +202,7 @@ def _calibrate(tree: Tree, index: DataFrame, queries: DataFrame, k: int, recall:
     """(leaves to visit, share of the true neighbours of the sampled queries they hold)."""
     n = queries.count()
     share = int(min(1.0, sample / max(1, n)) * (1 << 30))
-    chosen = queries.where(F.pmod(F.xxhash64("vec_id", F.lit(29)), F.lit(1 << 30)) <= share).toPandas()
+    chosen = queries.select("vec_id", "vec").where(F.pmod(F.xxhash64("vec_id", F.lit(29)), F.lit(1 << 30)) <= share).toPandas()
     if not len(chosen):
         return 1, 1.0
     q = np.stack(chosen["vec"].to_numpy()).astype(np.float64)
@@ -243,8 +243,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     schema = "query_id long, rank int, vec_id long, score double"
     if not total:
         return Search(spark.createDataFrame([], schema), 0, 0, 1.0)
-    share = int(min(1.0, fit_sample / total) * (1 << 30))
-    sample = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(31)), F.lit(1 << 30)) <= share).orderBy("vec_id").toPandas()
+    # rows are drawn one by one, whatever their ids, and never more than twice as many are fetched
+    drawn = rows if total <= fit_sample else rows.where(F.rand(31) < fit_sample / total).limit(2 * fit_sample)
+    sample = drawn.orderBy("vec_id", "vec").toPandas()
     x = np.stack(sample["vec"].to_numpy()).astype(np.float64) if len(sample) else np.zeros((1, dim))
     tree = fit_tree(x, total, leaf_rows)
     shared = spark.sparkContext.broadcast(tree)
@@ -254,17 +255,19 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
             leaf = shared.value.descend(_matrix(batch.column(1), dim))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(leaf, pa.int32()), batch.column(1)], names=["vec_id", "leaf", "vec"])
 
-    index = stage(rows.mapInArrow(descend, "vec_id long, leaf int, vec array<double>"), "index")
+    # each row has a number of its own, so that rows of one id, and of one vector, are dealt out over shards
+    index = stage(rows.mapInArrow(descend, "vec_id long, leaf int, vec array<double>").withColumn("row", F.rand(37)), "index")
     sizes = np.zeros(tree.leaves, np.int64)
     for r in index.groupBy("leaf").count().collect():  # a row a leaf
         sizes[r["leaf"]] = r["count"]
-    queries = index.where(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    # `copies` rows have the query's own id and are no candidates
+    queries = index.where(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.min("vec").alias("vec"), F.count(F.lit(1)).alias("copies"))
     visits, calibrated = _calibrate(tree, index, queries, k, recall, calibration, dim)
 
     def visit(batches):
         for batch in batches:
             q = _matrix(batch.column(1), dim)
-            leaves = [shared.value.best_bin_first(v, visits, sizes, k + 1) for v in q]
+            leaves = [shared.value.best_bin_first(v, visits, sizes, k + n) for v, n in zip(q, batch.column(2).to_pylist())]
             rows = np.repeat(np.arange(len(q)), [len(own) for own in leaves])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)),
@@ -309,7 +312,7 @@ def _meet(visited: DataFrame, index: DataFrame, sizes: np.ndarray, k: int) -> Da
         "query_id", "q", "floor", "leaf", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
         F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int").alias("chunk"))
     x_side = index.join(dealt, "leaf").select(
-        "vec_id", "vec", "leaf", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int").alias("shard"),
+        "vec_id", "vec", "leaf", F.pmod(F.xxhash64("vec_id", "vec", "row"), F.col("shards")).cast("int").alias("shard"),
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
 
     def meet(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
