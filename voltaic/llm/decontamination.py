@@ -94,7 +94,7 @@ def find(docs: DataFrame, benchmark: DataFrame, n: int = 10, text_col: str = "te
     """
     spark = docs.sparkSession
     items = pick(benchmark, item=item_col, text=item_text_col).where(F.col("text").isNotNull()).select(
-        F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"), "text")
+        F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"), "text").distinct()
     chars = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-chars // block_chars))
     names = docs.columns
@@ -103,7 +103,7 @@ def find(docs: DataFrame, benchmark: DataFrame, n: int = 10, text_col: str = "te
     acc = temporary("hits")
     out = docs.toDF(*tmp)
     for b in range(blocks):
-        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)
+        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
         index = spark.sparkContext.broadcast(WindowIndex([(r["item"], r["text"]) for r in own.collect()], n))
         out = out.withColumn(acc, _scan(index, b > 0)(F.col(tmp[at]), *([F.col(acc)] if b else [])))
         if blocks > 1:  # one block's index in the workers at a time
