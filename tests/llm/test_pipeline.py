@@ -23,8 +23,8 @@ def plain(spark):
     rows = {r.doc_id: r["text"] for r in docs.collect()}
     out = []
     m = language.fit(docs)
-    lang, score = m.predict(list(rows.values()))
-    rows = {i: t for (i, t), s in zip(rows.items(), score) if s >= 0.5}
+    lang, score, support = m.judge(list(rows.values()))
+    rows = {i: t for (i, t), s, x in zip(rows.items(), score, support) if s >= 0.5 and x >= 0.6}
     out.append(set(rows))
     kept = docs.where(docs.doc_id.isin(*rows))
     q = quality.fit(kept, table(spark, SF, "labels"))
@@ -88,3 +88,16 @@ def test_stages_get_through_odd_documents(spark, documents):
             docs = C.stage(apply(spark, docs, SF), "test")
             assert docs.columns == names
         C.STAGES[-1][1](spark, docs, SF).collect()
+
+
+def test_language_stage_rejects_what_no_language_explains(spark, documents):
+    """Letter noise and a language that wasn't learned go, though some language always wins; clean texts stay."""
+    own = [(r["text"], r.lang) for r in table(spark, SF, "documents").collect()]
+    rng = np.random.default_rng(2)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), n)) for n in (30, 200, 3000)] + ["qqqq xxxx zzzz wwww", "12345 ..."]
+    strangers = [t for t, lang in own if lang == "es"][:15]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(x for x in own if x[1] != "es")]
+    docs = documents(rows + [(10_000 + i, t) for i, t in enumerate(noise + strangers)])
+    kept = {r.doc_id for r in C.language_id(spark, docs, SF).collect()}
+    assert kept >= {i for i, _, _ in rows}
+    assert not kept & set(range(10_000, 10_000 + len(noise))) and len(kept & set(range(10_000 + len(noise), 20_000))) <= 2

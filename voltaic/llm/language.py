@@ -72,10 +72,10 @@ class LanguageModel:
     matrix: np.ndarray
     bits: int
 
-    def log_likelihoods(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(texts x languages, has a letter)."""
+    def log_likelihoods(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(texts x languages, has a letter, n-grams that count)."""
         out = np.tile(self.prior, (len(texts), 1))
-        letters = np.zeros(len(texts), bool)
+        letters, n_grams = np.zeros(len(texts), bool), np.zeros(len(texts), np.int64)
         more, step = max(ORDERS) - 1, max(1 << 12, GATHERED // max(1, len(self.languages)))
         batch, owner, size = [], [], 0
 
@@ -91,12 +91,14 @@ class LanguageModel:
             for j in range(1, more + 1):
                 keep[ends - j] = False
             padded = np.concatenate([codes, np.zeros(more, np.uint64)])
-            total = np.zeros((len(codes), len(self.languages)))
+            total, number = np.zeros((len(codes), len(self.languages))), np.zeros(len(codes), np.int64)
             for order in ORDERS:
                 scored = keep & _counted(padded, order)
                 at = np.flatnonzero(scored)
                 total[at] += self.matrix[_features(padded, order, self.bits)[at]]
+                number[at] += 1
             np.add.at(out, owner, np.add.reduceat(total, starts, axis=0))
+            np.add.at(n_grams, owner, np.add.reduceat(number, starts))
             batch, owner, size = [], [], 0
 
         for i, text in enumerate(texts):
@@ -114,18 +116,28 @@ class LanguageModel:
                 if size >= step:
                     flush()
         flush()
-        return out, letters
+        return out, letters, n_grams
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """(language or und, posterior probability of it; 0 for und)."""
-        ll, letters = self.log_likelihoods(texts)
+        languages, score, _ = self.judge(texts)
+        return languages, score
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """``predict``, and how well the language explains the text: by how much its n-grams are likelier than chance, a n-gram, as a share of
+        what the language's own text has (about 1; unlike a posterior, it tells noise and languages that weren't learned; 0 for und)."""
+        ll, letters, n_grams = self.log_likelihoods(texts)
         if not self.languages:
-            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         best = ll.argmax(axis=1)
         top = ll.max(axis=1, keepdims=True)
         score = 1 / np.exp(ll - top).sum(axis=1)
+        chance = self.bits * np.log(2)  # n-grams are hashed to 2 ** bits features
+        log_p = self.matrix.astype(np.float64)
+        own = (np.exp(log_p) * log_p).sum(axis=0) + chance  # of the language's own text
+        support = ((ll - self.prior)[np.arange(len(texts)), best] / np.maximum(1, n_grams) + chance) / np.maximum(own[best], 1e-9)
         return ([self.languages[b] if has else UNDETERMINED for b, has in zip(best, letters)],
-                np.where(letters, score, 0.0))
+                np.where(letters, score, 0.0), np.where(letters, support, 0.0))
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bits: int = 16,
@@ -179,20 +191,19 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def predictor(spark, model: LanguageModel):
-    """Column function: text -> struct(lang, score)."""
+    """Column function: text -> struct(lang, score, support)."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, support double")
     def predict(text: pd.Series) -> pd.DataFrame:
-        lang, score = shared.value.predict(list(text))
-        return pd.DataFrame({"lang": lang, "score": score})
+        return pd.DataFrame(dict(zip(("lang", "score", "support"), shared.value.judge(list(text)))))
 
     return predict
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", into: str = "predicted") -> DataFrame:
     """``docs`` with a struct column ``into``: lang (a learned one; ``und`` if the text is null or
-    has no letter) and score (posterior probability; 0 for ``und``).  Ties go to the
+    has no letter), score (posterior probability; 0 for ``und``) and support (``LanguageModel.judge``).  Ties go to the
     language that sorts first; with nothing to learn from, all is ``und``."""
     names = docs.columns
     out = docs.toDF(*[f"c{i}" for i in range(len(names))])
@@ -200,7 +211,13 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", into
     return out.withColumn("predicted", predict(F.col(f"c{names.index(text_col)}"))).toDF(*names, into)
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose language is identified with a posterior of ``least`` or more."""
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, support: float = 0.6, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose language is identified with a posterior of ``least`` or more, and explains the text by ``support`` or
+    more of what it explains of its own: letter noise and texts in other languages go, as do null and empty texts."""
     predict = predictor(docs.sparkSession, model)
-    return keep_where(docs, text_col, lambda text: predict(text)["score"] >= least)
+
+    def decide(text):
+        own = predict(text)
+        return F.filter(F.array(own), lambda p: (p["score"] >= least) & (p["support"] >= support))[0].isNotNull()
+
+    return keep_where(docs, text_col, decide)
