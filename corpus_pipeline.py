@@ -3,11 +3,15 @@
 Each stage calls one operator of ``voltaic.llm`` on all that the stage before it kept,
 and all but the last return the columns of documents:
 
-1. language identification: texts without letters, or whose language is less likely than not, go;
+1. language identification: texts without letters, whose language is less likely than not, or that their language explains
+   badly (noise, languages that weren't learned) go;
 2. quality: importance resampling towards rows labelled good; documents that aren't sampled go;
 3. near-duplicates by SimHash: one document of each component stays;
 4. benchmark decontamination: documents in which a benchmark window occurs go;
 5. packing: where each piece of each document stands in sequences of 4096 tokens.
+
+Null and empty texts go in the first stage.  Rows that repeat an id are documents each, until near-duplicates are
+removed; a null id is an id like others.  Empty tables pass through all stages; further columns stay as they are.
 """
 
 from __future__ import annotations
