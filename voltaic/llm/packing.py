@@ -7,10 +7,11 @@ Planned over the histogram of lengths, not over documents:
 2. counts by length (at most ``capacity`` rows, whatever the input) reach the
    driver, and best-fit decreasing runs over the counts: equal lengths are placed
    by the run, so the plan is a list of slot runs;
-3. pieces take their slots by joining on length and rank.
+3. pieces take their slots by joining on length and rank: runs are cut at every ``RANKS`` ranks, so that a
+   piece meets the runs of its length that hold ranks next to its own, and no others.
 
 No text or id moves: the one shuffle carries a few numbers per piece, keyed by
-(length, partition of origin), so a length that very many pieces share is spread
+(length, partition of origin) and then by (length, ranks), so a length that very many pieces share is spread
 over as many keys as there were input partitions.
 """
 
@@ -29,6 +30,8 @@ from .tokens import encoder
 
 #: Slot runs are broadcast up to here (48 bytes each) and joined with a shuffle beyond.
 MOST_BROADCAST_RUNS = 200_000
+#: Ranks of one length that are looked up together.
+RANKS = 1024
 
 
 def plan_best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -135,16 +138,19 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1
     by_part = placed.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     # at most `capacity` rows reach the driver
     counts = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    plan = plan_best_fit(counts, capacity)
     runs = spark.createDataFrame(
-        plan_best_fit(counts, capacity),
-        "length int, first_rank long, pieces long, first_sequence long, per int, first_offset int")
-    if len(counts) and runs.count() <= MOST_BROADCAST_RUNS:
+        plan, "length int, first_rank long, pieces long, first_sequence long, per int, first_offset int")
+    few = len(plan) + sum(-(-n // RANKS) for n in counts.values()) <= MOST_BROADCAST_RUNS
+    last = F.floor((F.col("first_rank") + F.col("pieces") - 1) / RANKS)
+    runs = runs.withColumn("ranks", F.explode(F.sequence(F.floor(F.col("first_rank") / RANKS), last)))
+    if few:
         runs = F.broadcast(runs)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = by_part.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = placed.join(base, ["length", "part"]).withColumn("rank", F.col("base") + F.col("rank_in_part"))
     i = F.col("rank") - F.col("first_rank")
-    joined = ranked.join(runs, "length").where((i >= 0) & (i < F.col("pieces")))
+    joined = ranked.withColumn("ranks", F.floor(F.col("rank") / RANKS)).join(runs, ["length", "ranks"]).where((i >= 0) & (i < F.col("pieces")))
     return joined.select(
         "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32",
         (F.col("first_sequence") + F.floor(i / F.col("per"))).cast("long").alias("sequence_id"),
