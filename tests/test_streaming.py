@@ -48,3 +48,24 @@ def test_restarted_stream_resumes_from_its_checkpoint(spark, scratch):
     # the batch ids go on from the first run (a fresh checkpoint starts at 0)
     assert [p["batchId"] for p in q.recentProgress if p["numInputRows"]] == [1]
     assert read_table(spark, table).count() == 30
+
+
+def test_a_column_that_lands_while_the_stream_runs_is_complete(spark, scratch):
+    landing, table = scratch("landing three"), scratch("bronze3")
+    _batch(spark, range(0, 24), 1.0, BASE).write.mode("append").parquet(landing)
+    q = start_incremental_upsert(spark, landing, table, SOLAR, checkpoint=scratch("ckpt3"), available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        assert read_table(spark, table).count() == 24
+        more = _batch(spark, range(20, 30), 5.0, BASE + dt.timedelta(days=1))
+        # a new column, and a measure that is a whole number in this load
+        more.withColumn("Note", F.hour("Interval_Start").cast("string")).withColumn(
+            "HSL_SYSTEM_WIDE", F.col("HSL_SYSTEM_WIDE").cast("long")).write.mode("append").parquet(landing)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.Interval_Start: r for r in read_table(spark, table).collect()}
+    assert len(got) == 30
+    for h in range(30):
+        r = got[BASE + dt.timedelta(hours=h)]
+        assert r.Note == (str(r.Interval_Start.hour) if h >= 20 else None) and r.GEN_SYSTEM_WIDE == (5.0 if h >= 20 else 1.0) + h

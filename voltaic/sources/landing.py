@@ -183,7 +183,15 @@ def read_feed(spark: SparkSession, path: str, source: Source, start=None, end=No
     paths = landed_paths(spark, path, source, start, end)
     if not paths:  # no folder in range: the feed's columns, no rows
         return range_filter(read_feed(spark, path, source, fmt=fmt, checked=checked).limit(0), source.time_col, start, end)
-    base = None if paths == [path] else path
+    df = read_files(spark, paths, source, fmt, None if paths == [path] else path, checked)
+    parts = tuple(p for p in source.partitions if p in df.columns)
+    unknown = F.col(source.time_col).isNull() & (F.size(REJECTS) > 0) if checked else None
+    return range_filter(df, source.time_col, start, end, parts, unknown)
+
+
+def read_files(spark: SparkSession, paths: list[str], source: Source, fmt: str = "parquet", base: str | None = None,
+               checked: bool = False) -> DataFrame:
+    """Landed files or folders (below ``base``, whose partition folders give columns), all rows, as ``read_feed`` reads them."""
     if fmt == "parquet":
         groups = schemas.read_groups(spark, paths, base, FILE if checked else None)
     else:
@@ -197,10 +205,7 @@ def read_feed(spark: SparkSession, path: str, source: Source, start=None, end=No
         df = reader.load(paths)
         groups = [df.withColumn(FILE, F.col("_metadata.file_path")) if checked else df]
     frames = [normalize_landed(g, source, checked) for g in groups]
-    df = frames[0] if len(frames) == 1 else schemas.stacked(frames)
-    parts = tuple(p for p in source.partitions if p in df.columns)
-    unknown = F.col(source.time_col).isNull() & (F.size(REJECTS) > 0) if checked else None
-    return range_filter(df, source.time_col, start, end, parts, unknown)
+    return frames[0] if len(frames) == 1 else schemas.stacked(frames)
 
 
 def _with_corrupt(reader, paths: list[str], fmt: str):

@@ -15,15 +15,15 @@ landed, then stop) or with a processing-time trigger as a service.
 from __future__ import annotations
 
 import hashlib
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from voltaic.session import checkpoint_root
-from voltaic.sources import files
 from voltaic.sources.landing import (  # noqa: F401 (LINEAGE_FIELDS is re-exported)
-    LINEAGE_FIELDS, landed_schema, normalize_landed, stamp_lineage,
+    LINEAGE_FIELDS, landed_schema, read_files, stamp_lineage,
 )
 from voltaic.sources.registry import Source
 from voltaic.sources.tables import upsert_table
@@ -37,18 +37,6 @@ def stream_checkpoint(spark: SparkSession, table_path: str, source: Source) -> s
     return f"{checkpoint_root(spark)}/stream-{source.name}-{digest}"
 
 
-def stream_schema(spark: SparkSession, landing_dir: str, source: Source, fmt: str = "parquet") -> T.StructType:
-    """The schema a stream over the landing reads with: that of all files landed so far, so that
-    no column is lost (a column that first lands later is picked up at the next start), or the
-    declared one while nothing has landed."""
-    if not files.has_data(spark, landing_dir):
-        return landed_schema(source)
-    reader = spark.read.format(fmt).option("mergeSchema", "true")
-    if fmt == "csv":
-        reader = reader.option("header", "true").option("inferSchema", "false")
-    return reader.load(landing_dir).schema
-
-
 def start_incremental_upsert(spark: SparkSession, landing_dir: str, table_path: str,
                              source: Source, *, keys=None, parts=None,
                              checkpoint: str | None = None, available_now: bool = True,
@@ -57,23 +45,29 @@ def start_incremental_upsert(spark: SparkSession, landing_dir: str, table_path:
     """Start the stream; returns the running query (``awaitTermination()`` it
     for an available-now run).
 
-    A micro-batch goes the way a batch load goes (``normalize_landed``, the source's partitions and
-    key), and is bounded by ``max_files_per_trigger`` files.
+    The stream itself carries the names of new files.  A micro-batch reads its files, whatever columns and types they have
+    (a column that first lands while the stream runs is complete in the table), and goes the way a batch load goes
+    (``landing.read_files``, the source's partitions and key); it is bounded by ``max_files_per_trigger`` files.
     """
     parts = tuple(source.partitions if parts is None else parts)
-    reader = spark.readStream.format(fmt).schema(stream_schema(spark, landing_dir, source, fmt))
+    # rows are counted off by file, no column of them is read here
+    reader = spark.readStream.format(fmt).schema(landed_schema(source))
     if fmt == "csv":
         reader = reader.option("header", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.load(landing_dir)
+    stream = reader.load(landing_dir).select(F.col("_metadata.file_path").alias("file"))
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = normalize_landed(batch, source)
-        if "_ingested_at" not in batch.columns:
-            batch = stamp_lineage(batch, source.name, source.name)
+        own = batch.sparkSession
+        new = sorted(unquote(r["file"]) for r in batch.distinct().collect())  # at most max_files_per_trigger
+        if not new:
+            return
+        rows = read_files(own, new, source, fmt, landing_dir)
+        if "_ingested_at" not in rows.columns:
+            rows = stamp_lineage(rows, source.name, source.name)
         # the upsert evaluates the micro-batch once, into its staged copy
-        upsert_table(batch.sparkSession, table_path, batch, list(keys or source.keys_for(batch.columns)),
+        upsert_table(own, table_path, rows, list(keys or source.keys_for(rows.columns)),
                      time_col=source.time_col, parts=parts)
 
     writer = (stream.writeStream.foreachBatch(merge_batch)
