@@ -48,7 +48,7 @@ DOUBLE_COLUMNS = (
     "l_discount", "l_tax", "volatility_7d", "cv_7d_pct", "p10_mw", "p90_mw",
     "total_gwh", "curtailment_gwh",
     "stwpf_mw", "wgrpp_mw", "forecast_horizon_hours", "mse_forecast", "mse_persistence",
-    "skill_score", "lmp_renewable_corr", "max_6h",
+    "skill_score", "lmp_renewable_corr", "max_6h", "orders_mw",
     *HUBS,
     *[f"GEN_{r.replace(' ', '_')}" for r in REGIONS],
     *[f"STPPF_{r.replace(' ', '_')}" for r in REGIONS],
@@ -532,17 +532,18 @@ def _deps(sql: str) -> list[str]:
     return list(names)
 
 
-def build(final: str, round_doubles: bool = True) -> str:
-    """``WITH <needed fragments> <final>``; doubles rounded to 6 decimals."""
-    needed: set[str] = set()
+def build(final: str, round_doubles: bool = True, other: dict[str, str] | None = None) -> str:
+    """``WITH <needed fragments> <final>``; doubles rounded to 6 decimals; ``other`` fragments take the place of those of
+    the same name."""
+    needed, own = set(), F | (other or {})
     stack = _deps(final)
     while stack:
         n = stack.pop()
         if n in needed:
             continue
         needed.add(n)
-        stack.extend(d for d in _deps(F[n]) if d != n)
-    ctes = [f"{n} AS ({F[n]}\n)" for n in ORDER if n in needed]
+        stack.extend(d for d in _deps(own[n]) if d != n)
+    ctes = [f"{n} AS ({own[n]}\n)" for n in ORDER if n in needed]
     body = final
     if round_doubles:
         names = ", ".join(f"'{c}'" for c in DOUBLE_COLUMNS)
@@ -565,7 +566,8 @@ WIND_CANON = ("interval_start", "interval_end", "report_time", "actual_mw", "hsl
 
 _NO_ROUND = {"INC-1", "QC-1", "QC-2", "QC-3", "QC-4", "QC-5", "QC-6", "QC-8", "AGG-18",
              "PRJ-5", "PRJ-6", "PRJ-7", "PRJ-8", "PRJ-9", "PRJ-10", "PRJ-14", "PRJ-15",
-             "PRJ-16", "EXT-zone", "PRJ-25", "PRJ-26", "PRJ-27", "SNK-1", "QC-7", "AGG-19"}
+             "PRJ-16", "EXT-zone", "PRJ-25", "PRJ-26", "PRJ-27", "SNK-1", "QC-7", "AGG-19",
+             "EXT-rejects", "EXT-counts"}
 
 _FINAL = {
     "SRC-1": ("SELECT *, CAST(hour(Interval_Start) AS VARCHAR) AS \"Operator_Note\" FROM solar_bronze "
@@ -734,6 +736,24 @@ GROUP BY 1""",
                  "GROUP BY delivery_date) x USING (delivery_date)"),
     "EXT-zone": (f"SELECT interval_start, {_i('hour(local_start)')} AS hour_of_day, "
                  f"dayname(local_start) AS day_of_week, dayofweek(local_start) IN (0, 6) AS is_weekend FROM zoned"),
+    "EXT-types": """
+SELECT CAST(o_orderdate AS TIMESTAMP) AS "Time",
+       CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN CAST(count(*) AS DOUBLE) ELSE count(*) / CAST(4.0 AS DOUBLE) END AS orders_mw
+FROM orders GROUP BY o_orderdate""",
+    "EXT-rejects": """
+SELECT 'LMP' AS "column", 'N/A' AS raw, 'not a double' AS reason, count(*) AS n FROM dam_bronze WHERE Location = 'RN_1' AND hour(Interval_Start) = 5
+HAVING count(*) > 0
+UNION ALL
+SELECT 'loaded', NULL, 'rejected ' || count(*) FILTER (WHERE Location = 'RN_1' AND hour(Interval_Start) = 5),
+       count(*) FILTER (WHERE NOT (Location = 'RN_1' AND hour(Interval_Start) = 5)) FROM dam_bronze""",
+    "EXT-counts": """
+SELECT 'first' AS load, (SELECT count(*) FROM up_target) AS rows_in, (SELECT count(*) FROM up_target) AS rows, (SELECT count(*) FROM up_target) AS inserted,
+       CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS unchanged
+UNION ALL
+SELECT 'again', (SELECT count(*) FROM up_batch), count(*), count(*) FILTER (WHERE t.event_id IS NULL), count(*) FILTER (WHERE t.event_id IS NOT NULL), 0
+FROM up_batch_latest b LEFT JOIN up_target t ON t.event_id = b.event_id
+UNION ALL
+SELECT 'repeated', (SELECT count(*) FROM up_batch), count(*), 0, 0, count(*) FROM up_batch_latest""",
     "EXT-range": """
 SELECT event_id,
        max(value) OVER (PARTITION BY event_type ORDER BY epoch_s RANGE BETWEEN 21600 PRECEDING AND 1 PRECEDING) AS max_6h,
@@ -742,5 +762,36 @@ FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS epoch_s FROM events)""",
 }
 
 
+def _local(feed: str) -> str:
+    """A feed with its times in the zone."""
+    zoned = ", ".join(f"({c} AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago' AS {c}" for c in ("Interval_Start", "Interval_End", "Publish_Time"))
+    return f"SELECT * REPLACE ({zoned}) FROM ({feed})"
+
+
+_ORDER_HOUR = "CAST(o_orderdate AS TIMESTAMP) + to_hours(CAST(o_custkey % 24 AS INTEGER))"
+_ZONED = {f"{t}_bronze": _local(F[f"{t}_bronze"]) for t in ("solar", "wind")}
+_ORDERS = {
+    "solar_bronze": f"""
+SELECT Interval_Start, Interval_Start + INTERVAL 1 HOUR AS Interval_End, Interval_Start - INTERVAL 1 DAY AS Publish_Time,
+       s AS GEN_SYSTEM_WIDE, mx * n AS HSL_SYSTEM_WIDE, CAST(50.0 AS DOUBLE) * n AS STPPF_SYSTEM_WIDE,
+       CAST(55.0 AS DOUBLE) * n AS PVGRPP_SYSTEM_WIDE, mx * n AS COP_HSL_SYSTEM_WIDE
+FROM (SELECT {_ORDER_HOUR} AS Interval_Start, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS s, count(*) AS n,
+             max(o_totalprice) AS mx FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)""",
+    "dam_bronze": f"""
+SELECT Interval_Start, Interval_Start + INTERVAL 1 HOUR AS Interval_End, Location, 'SP' AS Location_Type, 'DAM' AS Market,
+       s / n - 30.0 AS LMP
+FROM (SELECT {_ORDER_HOUR} AS Interval_Start, {_POINT_LIST}[CAST(o_custkey % {len(POINTS)} AS INTEGER) + 1] AS Location,
+             CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS s, count(*) AS n FROM orders GROUP BY 1, 2)""",
+}
+#: Queries over other feeds: the query whose SQL they share, and the fragments that differ.
+_OTHER = {
+    "EXT-zone-accuracy": ("PIP-8", _ZONED),
+    "EXT-zone-totals": ("PIP-3", _ZONED),
+    "EXT-refresh-features": ("PIP-12", _ORDERS),
+    "EXT-refresh-volatility": ("PIP-15", _ORDERS),
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: build(v, round_doubles=k not in _NO_ROUND) for k, v in _FINAL.items()}
+    plain = {k: build(v, round_doubles=k not in _NO_ROUND) for k, v in _FINAL.items()}
+    return plain | {k: build(_FINAL[like], True, other) for k, (like, other) in _OTHER.items()}

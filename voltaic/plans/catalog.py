@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltaic.operators import merge, metrics, ordering, quality, reshape, series
-from voltaic.plans import bronze, gold, reports, silver
+from voltaic.plans import bronze, gold, refresh, reports, silver
 from voltaic.session import scratch_path
 from voltaic.sources import derived, landing, tables
-from voltaic.sources.registry import DAM, SOLAR, WIND, WIND_REGIONAL, Source
+from voltaic.sources.registry import DAM, FUEL_MIX, SOLAR, WIND, WIND_REGIONAL, Source
 
 NONDETERMINISTIC = ("_transformed_at", "_ingested_at")
 
@@ -328,9 +328,71 @@ def _skill(f: Frames) -> DataFrame:
                                floor=gold.SOLAR_FLOOR, persistence="actual_lag_24h")
 
 
+ZONE = "America/Chicago"
+
+
 def _zoned(f: Frames) -> DataFrame:
-    return silver.transform_solar_hourly(f.solar_bronze, zone="America/Chicago").select(
-        _S, "hour_of_day", "day_of_week", "is_weekend")
+    return silver.transform_solar_hourly(f.solar_bronze, zone=ZONE).select(
+        F.col("interval_start_utc").alias(_S), "hour_of_day", "day_of_week", "is_weekend")
+
+
+def _zoned_accuracy(f: Frames) -> DataFrame:
+    """Days and months of the zone."""
+    return gold.solar_forecast_accuracy(silver.transform_solar_hourly(f.solar_bronze, zone=ZONE))[0]
+
+
+def _zoned_totals(f: Frames) -> DataFrame:
+    by_tag = {"solar": silver.transform_solar_hourly(f.solar_bronze, zone=ZONE), "wind": silver.transform_wind_hourly(f.wind_bronze, zone=ZONE)}
+    return silver.renewable_totals(by_tag).drop("interval_start_utc")
+
+
+def _refreshed(f: Frames, feed: DataFrame, source: Source, measure: str, name: str) -> DataFrame:
+    """Six years of a feed with a wrong month in the middle are built; then the last months and the corrections land, and
+    a refresh brings the layers up to date: the table is that of a full build."""
+    bronze_path, s_root, g_root = (scratch_path(f.spark, n) for n in ("bronze-orders", "silver-orders", "gold-orders"))
+    wrong = "Interval_Start >= TIMESTAMP_NTZ '1998-06-01' AND Interval_Start < TIMESTAMP_NTZ '1998-07-01'"
+    late = "Interval_Start >= TIMESTAMP_NTZ '2001-05-01'"
+    stamp = lambda df, day: df.withColumn("_ingested_at", F.expr(f"TIMESTAMP_NTZ '{day}'"))
+    first = feed.where(f"NOT ({late})").withColumn(measure, F.expr(f"CASE WHEN {wrong} THEN {measure} * 2 + 1 ELSE {measure} END"))
+    tables.load_bronze(f.spark, bronze_path, stamp(first, "2024-01-01"), source)
+    refresh.refresh(f.spark, {source.name: bronze_path}, s_root, g_root)
+    tables.load_bronze(f.spark, bronze_path, stamp(feed.where(f"({wrong}) OR ({late})"), "2024-01-02"), source)
+    refresh.refresh(f.spark, {source.name: bronze_path}, s_root, g_root)
+    return tables.read_table(f.spark, f"{g_root}/{name}")
+
+
+def _types(f: Frames) -> DataFrame:
+    """Daily orders, landed as whole numbers until 1998 and as fractions from then on."""
+    path = scratch_path(f.spark, "landing-types")
+    daily = f.table("orders").groupBy(F.expr("CAST(o_orderdate AS TIMESTAMP_NTZ)").alias("Time")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr("count(1) / 4.0D").alias("share"))
+    whole = daily.where("Time < TIMESTAMP_NTZ '1998-01-01'").select("Time", F.col("n").alias("orders_mw"))
+    tables.write_partitioned(whole, path, (), "append")
+    tables.write_partitioned(daily.where("Time >= TIMESTAMP_NTZ '1998-01-01'").select("Time", F.col("share").alias("orders_mw")), path, (), "append")
+    return landing.read_feed(f.spark, path, FUEL_MIX)
+
+
+def _rejects(f: Frames) -> DataFrame:
+    """Price files in which a point has no number at five o'clock: what is loaded, and what is kept of the rest."""
+    path, table, bad = (scratch_path(f.spark, n) for n in ("landing-csv", "bronze-csv", "rejects"))
+    odd = "Location = 'RN_1' AND hour(Interval_Start) = 5"
+    raw = f.dam_bronze.withColumn("LMP", F.expr(f"CASE WHEN {odd} THEN 'N/A' ELSE CAST(LMP AS STRING) END"))
+    raw.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("Interval_Start", "Interval_End")}).write.csv(path, header=True)
+    out = bronze.land(f.spark, path, table, DAM, fmt="csv", rejects_path=bad, most_rejected=0.2)
+    kept = bronze.rejects(f.spark, bad).groupBy("column", "raw", "reason").agg(F.count(F.lit(1)).alias("n"))
+    loaded = tables.read_table(f.spark, table).agg(F.count(F.lit(1)).alias("n"))
+    loaded = loaded.select(F.lit("loaded").alias("column"), F.lit(None).cast("string").alias("raw"), F.lit(f"rejected {out['rejected']}").alias("reason"), "n")
+    return kept.unionByName(loaded)
+
+
+def _load_counts(f: Frames) -> DataFrame:
+    """What the two landings of SNK-5 report of themselves, the second one twice."""
+    path, rows = scratch_path(f.spark, "counted"), []
+    target, batch = f.upsert_pair
+    for name, df in (("first", target), ("again", batch), ("repeated", batch)):
+        out = tables.load_bronze(f.spark, path, df, EVENTS, counts=True)
+        rows.append((name, *[out[c] for c in ("rows_in", "rows", "inserted", "updated", "unchanged")]))
+    return f.spark.createDataFrame(rows, "load string, rows_in long, rows long, inserted long, updated long, unchanged long")
 
 
 def _ranged(f: Frames) -> DataFrame:
@@ -493,6 +555,15 @@ _DEFS = {
     "EXT-skill": _skill,
     "EXT-corr": lambda f: gold.lmp_renewable_correlation(f.lmp, f.totals, with_corr=True),
     "EXT-zone": _zoned,
+    "EXT-zone-accuracy": _zoned_accuracy,
+    "EXT-zone-totals": _zoned_totals,
+    # layers brought up to date from what changed
+    "EXT-refresh-features": lambda f: _refreshed(f, derived.order_feed(f.spark, f.sf), SOLAR, "GEN_SYSTEM_WIDE", "solar_forecast_features"),
+    "EXT-refresh-volatility": lambda f: _refreshed(f, derived.order_prices(f.spark, f.sf), DAM, "LMP", "lmp_volatility_metrics"),
+    # landings whose types change or whose values don't cast, and what loads report
+    "EXT-types": _types,
+    "EXT-rejects": _rejects,
+    "EXT-counts": _load_counts,
     # the forms for groups and series without a bound
     "EXT-quantiles": lambda f: metrics.daily_price_statistics(f.lmp, exact="distributed"),
     "EXT-features": lambda f: gold.solar_features(f.solar, method="range"),

@@ -121,6 +121,37 @@ def dam_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                 f"_sum / _n - {PRICE_OFFSET!r}D AS LMP"))
 
 
+# Fixed value: orders of this status feed the first resource, all others the second.
+FINISHED = "F"
+
+
+def _order_hour(c: str = "o_orderdate") -> str:
+    """Orders have a day; the hour comes from the customer."""
+    return f"CAST({c} AS TIMESTAMP_NTZ) + make_dt_interval(0, CAST(pmod(o_custkey, 24) AS INT), 0, 0)"
+
+
+def order_feed(spark: SparkSession, sf_dir: str, resource: str = "solar") -> DataFrame:
+    """An hourly feed over the years of the orders, with gaps: as ``resource_feed``, from their prices."""
+    fc, pot = ("STPPF_SYSTEM_WIDE", "PVGRPP_SYSTEM_WIDE") if resource == "solar" else ("STWPF_SYSTEM_WIDE", "WGRPP_SYSTEM_WIDE")
+    own = table(spark, sf_dir, "orders").where(f"o_orderstatus {'=' if resource == 'solar' else '<>'} '{FINISHED}'")
+    per_hour = own.groupBy(F.expr(_order_hour()).alias("Interval_Start")).agg(
+        F.expr(f"{_exact_sum('o_totalprice')} AS s"), F.expr("count(1) AS n"), F.expr("max(o_totalprice) AS mx"))
+    return per_hour.selectExpr(
+        "Interval_Start", "Interval_Start + INTERVAL 1 HOUR AS Interval_End", "Interval_Start - INTERVAL 1 DAY AS Publish_Time",
+        "s AS GEN_SYSTEM_WIDE", "mx * n AS HSL_SYSTEM_WIDE", f"{FORECAST_PER_EVENT!r}D * n AS {fc}",
+        f"{POTENTIAL_PER_EVENT!r}D * n AS {pot}", "mx * n AS COP_HSL_SYSTEM_WIDE")
+
+
+def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices over the years of the orders, a point picked by customer."""
+    names = ", ".join(f"'{n}'" for n in POINT_NAMES)
+    point = F.expr(f"element_at(array({names}), CAST(pmod(o_custkey, {len(POINT_NAMES)}) + 1 AS INT))")
+    return (table(spark, sf_dir, "orders").groupBy(F.expr(_order_hour()).alias("Interval_Start"), point.alias("Location"))
+            .agg(F.expr(f"{_exact_sum('o_totalprice')} AS s"), F.expr("count(1) AS n"))
+            .selectExpr("Interval_Start", "Interval_Start + INTERVAL 1 HOUR AS Interval_End", "Location",
+                        f"'{DAM_LOCATION_TYPE}' AS Location_Type", f"'{DAM_MARKET}' AS Market", f"s / n - {PRICE_OFFSET!r}D AS LMP"))
+
+
 def region_names(spark: SparkSession, sf_dir: str) -> list[str]:
     """Pivot values: the names in the ``region`` dimension (a handful of rows)."""
     return sorted(r[0] for r in table(spark, sf_dir, "region").select("r_name").distinct().collect())
