@@ -793,5 +793,6 @@ _OTHER = {
 
 
 def oracle_sql() -> dict[str, str]:
+    _FINAL["EXT-range-cells"] = _FINAL["EXT-range"]
     plain = {k: build(v, round_doubles=k not in _NO_ROUND) for k, v in _FINAL.items()}
     return plain | {k: build(_FINAL[like], True, other) for k, (like, other) in _OTHER.items()}

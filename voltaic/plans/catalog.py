@@ -395,11 +395,11 @@ def _load_counts(f: Frames) -> DataFrame:
     return f.spark.createDataFrame(rows, "load string, rows_in long, rows long, inserted long, updated long, unchanged long")
 
 
-def _ranged(f: Frames) -> DataFrame:
+def _ranged(f: Frames, method: str = "rows") -> DataFrame:
     """Time frames over the events as they come, gaps and repeated times included."""
     ev = f.table("events").select("event_id", "event_type", "ts", "value")
     return series.range_roll(ev, "ts", "value", {"max_6h": ("max", -6 * 3600, -1), "n_24h": ("count", -24 * 3600, -3600)},
-                             by=["event_type"]).select("event_id", "max_6h", "n_24h")
+                             by=["event_type"], method=method).select("event_id", "max_6h", "n_24h")
 
 
 def _sel(attr: str, *cols, idx=None):
@@ -568,6 +568,7 @@ _DEFS = {
     "EXT-quantiles": lambda f: metrics.daily_price_statistics(f.lmp, exact="distributed"),
     "EXT-features": lambda f: gold.solar_features(f.solar, method="range"),
     "EXT-range": _ranged,
+    "EXT-range-cells": lambda f: _ranged(f, "cells"),
 }
 
 QUERIES = {k: _q(v) for k, v in _DEFS.items()}
