@@ -24,6 +24,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(root, True)
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete what is at ``path`` when the application ends (its driver exits in an orderly way)."""
+    _, root, fs = file_system(spark, path)
+    fs.deleteOnExit(root)
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """Whether a table stands at ``path``: a folder with anything but hidden or marker files
     (one listing of the folder itself, not of all files below it)."""
