@@ -80,10 +80,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``stage``, and the folder written, for ``discard`` once nothing reads it any more."""
+    """``stage``, and the folder written, for ``discard`` once nothing reads it any more; what isn't discarded
+    goes when the application ends."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
+    files.delete_at_exit(spark, path)
     _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -103,9 +105,3 @@ def discard_all(spark: SparkSession) -> int:
 
 
 _STAGED: list[str] = []
-
-
-def sample_by_hash(df: DataFrame, key: Column, most: int, seed: int = 7) -> DataFrame:
-    """At most ``most`` rows, those whose hashed key is smallest: the same rows whatever
-    the partitioning.  A bounded training sample, nothing else."""
-    return df.orderBy(F.xxhash64(key.cast("string"), F.lit(seed)), key.cast("string")).limit(most)
