@@ -92,7 +92,7 @@ def test_stages_get_through_odd_documents(spark, documents):
 
 def test_language_stage_rejects_what_no_language_explains(spark, documents):
     """Letter noise and a language that wasn't learned go, though some language always wins; clean texts stay."""
-    own = [(r["text"], r.lang) for r in table(spark, SF, "documents").collect()]
+    own = [(r["text"], r.lang) for r in table(spark, "/root/testdata/sf0.01", "documents").collect()]
     rng = np.random.default_rng(2)
     noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), n)) for n in (30, 200, 3000)] + ["qqqq xxxx zzzz wwww", "12345 ..."]
     strangers = [t for t, lang in own if lang == "es"][:15]

@@ -218,6 +218,6 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, s
 
     def decide(text):
         own = predict(text)
-        return F.filter(F.array(own), lambda p: (p["score"] >= least) & (p["support"] >= support))[0].isNotNull()
+        return F.exists(F.array(own), lambda p: (p["score"] >= least) & (p["support"] >= support))
 
     return keep_where(docs, text_col, decide)
