@@ -125,7 +125,8 @@ class LanguageModel:
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """``predict``, and how well the language explains the text: by how much its n-grams are likelier than chance, a n-gram, as a share of
-        what the language's own text has (about 1; unlike a posterior, it tells noise and languages that weren't learned; 0 for und)."""
+        what the language's own text has (about 1; unlike a posterior, it tells noise and languages that weren't learned; 0 for und), and two
+        standard errors more, since few n-grams tell little."""
         ll, letters, n_grams = self.log_likelihoods(texts)
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
@@ -136,6 +137,7 @@ class LanguageModel:
         log_p = self.matrix.astype(np.float64)
         own = (np.exp(log_p) * log_p).sum(axis=0) + chance  # of the language's own text
         support = ((ll - self.prior)[np.arange(len(texts)), best] / np.maximum(1, n_grams) + chance) / np.maximum(own[best], 1e-9)
+        support = support + 2 / np.sqrt(np.maximum(1, n_grams))
         return ([self.languages[b] if has else UNDETERMINED for b, has in zip(best, letters)],
                 np.where(letters, score, 0.0), np.where(letters, support, 0.0))
 
