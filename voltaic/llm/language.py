@@ -72,8 +72,12 @@ class LanguageModel:
     matrix: np.ndarray
     bits: int
 
-    def log_likelihoods(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(texts x languages, has a letter, n-grams that count)."""
+    def log_likelihoods(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(texts x languages, has a letter)."""
+        return self._sums(texts)[:2]
+
+    def _sums(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``log_likelihoods``, and the n-grams that count in each text."""
         out = np.tile(self.prior, (len(texts), 1))
         letters, n_grams = np.zeros(len(texts), bool), np.zeros(len(texts), np.int64)
         more, step = max(ORDERS) - 1, max(1 << 12, GATHERED // max(1, len(self.languages)))
@@ -127,7 +131,7 @@ class LanguageModel:
         """``predict``, and how well the language explains the text: by how much its n-grams are likelier than chance, a n-gram, as a share of
         what the language's own text has (about 1; unlike a posterior, it tells noise and languages that weren't learned; 0 for und), and two
         standard errors more, since few n-grams tell little."""
-        ll, letters, n_grams = self.log_likelihoods(texts)
+        ll, letters, n_grams = self._sums(texts)
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         best = ll.argmax(axis=1)
