@@ -204,6 +204,7 @@ class Refresh:
 
     def _features(self, scope: Partitions) -> None:
         name, source = "solar_forecast_features", "solar_hourly"
+        scope = scope if self.there(self.state_path(f"{name}_rows")) else None  # what was there before isn't known
         counts = self._counts(f"{name}_rows", scope, lambda s: s.where("actual_mw IS NOT NULL").groupBy(*YM).agg(
             F.count(F.lit(1)).alias("n")).withColumn("series", F.lit(0)), source, ["series"])
         scope = self._scope(scope, name)
@@ -280,6 +281,7 @@ class Refresh:
 
     def _volatility(self, scope: Partitions) -> None:
         name, source, hub = "lmp_volatility_metrics", "lmp_daily_statistics", F.col("point_type") == "Hub"
+        scope = scope if self.there(self.state_path(f"{name}_rows")) else None
         counts = self._counts(f"{name}_rows", scope, lambda s: s.where(hub).groupBy(*YM, "settlement_point").agg(
             F.count(F.lit(1)).alias("n")), source, ["settlement_point"])
         scope = self._scope(scope, name)

@@ -42,8 +42,8 @@ def has_data(spark: SparkSession, path: str) -> bool:
 def log_dir(path: str, name: str) -> str:
     """A folder beside the table at ``path`` for what is kept about it (hidden from readers of the
     folder above, and out of the way when the table is overwritten)."""
-    parent, _, table = path.rstrip("/").rpartition("/")
-    return f"{parent}/_{table}_log/{name}"
+    parent, slash, table = path.rstrip("/").rpartition("/")
+    return f"{parent}{slash}_{table}_log/{name}"
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
