@@ -3,8 +3,11 @@
 import datetime as dt
 import math
 import random
+import re
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from voltaic.operators import series
 
@@ -41,3 +44,37 @@ def test_a_hot_second_is_one_row_before_the_window(spark):
     assert {r["n"] for r in out.select("n").distinct().collect()} == {1667, 3334, 3333}
     with pytest.raises(ValueError):
         series.range_roll(df, "t", "v", {}, method="other")
+
+
+@pytest.mark.parametrize("method", ["rows", "cells"])
+def test_no_frame_is_gone_through_row_by_row(spark, method):
+    """A frame of a day over a dense series would be read again for each row."""
+    rows = [(i, BASE + dt.timedelta(seconds=20 * i), float(i % 97)) for i in range(2000)]
+    rows += [(2000 + i, BASE + dt.timedelta(days=9, hours=i), v) for i, v in enumerate([1.0, float("inf"), 2.0, float("nan"), 3.0])]
+    df = spark.createDataFrame(rows, "id int, t timestamp_ntz, v double")
+    frames = {"hi": ("max", -86400, -1), "n": ("count", -86400, -3600), "one": ("count", 0, 0), "lo": ("min", -7200, -7200)}
+    out = series.range_roll(df, "t", "v", frames, method=method)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    found = set(re.findall(r"specifiedwindowframe\(([^)]*)\)", plan, re.I))
+    assert found and all("unboundedpreceding$" in f for f in found), found
+    got = {r.id: r for r in out.collect()}
+    bigger = lambda x: (math.isnan(x), x)  # noqa: E731 - NaN is the greatest
+    for i, t, _ in rows[::37] + rows[-5:]:
+        ago = [((u - t).total_seconds(), v) for _, u, v in rows]
+        inside = lambda lo, hi: [v for s, v in ago if lo <= s <= hi]
+        hi, lo = max(inside(-86400, -1), key=bigger, default=None), min(inside(-7200, -7200), key=bigger, default=None)
+        assert (got[i].n, got[i].one) == (len(inside(-86400, -3600)), 1)
+        assert str(got[i].hi) == str(hi) and str(got[i].lo) == str(lo), (i, got[i], hi, lo)
+
+
+def test_types_are_those_of_the_plain_window(spark):
+    df = spark.sql("SELECT id, TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(0, 0, 0, id * 700) AS t, CAST(id AS INT) AS a, "
+                   "CAST(id / 4 AS DECIMAL(9, 2)) AS b, TIMESTAMP_NTZ '2024-01-01' AS c, 0 AS e FROM range(30)")
+    w = Window.partitionBy("e").orderBy(F.unix_seconds(F.col("t").cast("timestamp"))).rangeBetween(-5000, 0)
+    for col, fns in (("a", ("sum", "avg", "min", "count", "stddev")), ("b", ("sum", "avg", "max")), ("c", ("max", "count"))):
+        mine = series.range_roll(df, "t", col, {f: (f, -5000, 0) for f in fns}, by=["e"])
+        plain = df.withColumns({f: series._FUNCS[f](F.col(col)).over(w) for f in fns})
+        assert [(f.name, f.dataType) for f in mine.schema] == [(f.name, f.dataType) for f in plain.schema]
+        for x, y in zip(mine.orderBy("id").collect(), plain.orderBy("id").collect(), strict=True):
+            for f in fns:
+                assert x[f] == y[f] or math.isclose(x[f], y[f], rel_tol=1e-12), (col, f, x, y)
