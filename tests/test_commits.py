@@ -171,3 +171,14 @@ def test_restore(spark, scratch):
     assert out["removed"] == 2 and _stored(spark, path) == before
     tables.restore(spark, out["backup"], path, ("year", "month"), whole=False)
     assert _stored(spark, path) == doubled
+
+
+def test_keys_are_dealt_out_before_their_bits(spark):
+    """A key becomes a row for each of its bits, which are sorted: not where the rows happen to lie."""
+    rows = spark.range(5000, numPartitions=1).selectExpr("id AS a", "CAST(id % 2 AS INT) AS part")
+    filters = keyindex.build(rows, ["a"], ["part"])
+    plan = filters._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Generate explode") < plan.index("RepartitionByExpression" if "RepartitionByExpression" in plan else "REPARTITION_BY_NUM")
+    assert filters.count() == 2 * 4
+    asked = rows.where("a < 10").select("a")
+    assert keyindex.candidates(filters, asked, ["a"], ["part"]).count() == 2
