@@ -119,3 +119,25 @@ def test_hot_ids(spark):
     for r in got:
         by.setdefault(r.query_id, []).append(r.vec_id)
     assert sorted(by) == [0, 100, 200] and all(len(v) == 5 for v in by.values()) and 0 not in by[0]
+
+
+def test_a_query_meets_a_block_once_a_round(spark, monkeypatch):
+    """A query is sent on once for all leaves of a block, not once a leaf."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(2000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sent, meet = [], N._meet
+
+    def watched(visited, *rest):
+        sent.append(visited.count())
+        return meet(visited, *rest)
+
+    monkeypatch.setattr(N, "_meet", watched)
+    own = N.nearest(df, lambda i: F.pmod(i, F.lit(20)) == 0, k=5, recall=1.0, leaf_rows=20, calibration=10 ** 6)
+    got = {}
+    for r in own.found.collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    want = brute(rows, lambda i: i % 20 == 0, 5)
+    assert {i: [j for _, j in sorted(v)] for i, v in got.items()} == {i: [j for j, _ in v] for i, v in want.items()}
+    # one block holds these rows; leaves are many
+    assert own.visits > 50 and len(sent) > 1 and sent == [100] * len(sent)

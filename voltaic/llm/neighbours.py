@@ -8,8 +8,9 @@
 3. How many leaves to visit is calibrated: a bounded sample of the queries is
    answered exactly, in blocks against all rows, and visits are widened until the leaves visited
    hold the share of true neighbours asked for.  With all leaves visited the search is exact.
-4. Queries meet the shards of the leaves they visit, a bounded number of queries and
-   rows a group, in rounds that widen: the best few leaves first, which give each query a score
+4. Leaves that follow each other make a block. Queries meet the blocks of the leaves they visit, once a block with the leaves'
+   numbers, a bounded number of queries and rows a group (a block that holds very many rows is cut into shards), in
+   rounds that widen: the best few leaves first, which give each query a score
    to reach, then more of them, where only rows that reach it are kept.  Scores are inner products of the original vectors in double precision.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import pick, stage
 
-#: Rows of a shard and queries of a chunk that meet in one group, on average at most.
+#: Rows of a block of leaves or a shard of one, and queries of a chunk, that meet in one group, on average at most.
 SHARD_ROWS = 4096
 CHUNK_QUERIES = 2048
 #: Leaves a query visits in the first round, and how many times more after each next one.
@@ -264,31 +265,44 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     queries = index.where(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.min("vec").alias("vec"), F.count(F.lit(1)).alias("copies"))
     visits, calibrated = _calibrate(tree, index, queries, k, recall, calibration, dim)
 
+    block = (np.cumsum(sizes) - sizes) // SHARD_ROWS
+    ends = [FIRST_LEAVES]
+    while ends[-1] < tree.leaves:
+        ends.append(ends[-1] * WIDER)
+
     def visit(batches):
         for batch in batches:
-            q = _matrix(batch.column(1), dim)
-            leaves = [shared.value.best_bin_first(v, visits, sizes, k + n) for v, n in zip(q, batch.column(2).to_pylist())]
-            rows = np.repeat(np.arange(len(q)), [len(own) for own in leaves])
+            rows, blocks, rounds, leaves = [], [], [], []
+            for i, (v, n) in enumerate(zip(_matrix(batch.column(1), dim), batch.column(2).to_pylist())):
+                own = np.array(shared.value.best_bin_first(v, visits, sizes, k + n), np.int64)
+                turn = np.searchsorted(ends, np.arange(len(own)), side="right")
+                order = np.lexsort((block[own], turn))
+                cut = np.flatnonzero((np.diff(turn[order]) != 0) | (np.diff(block[own[order]]) != 0)) + 1
+                for part in np.split(order, cut):
+                    rows.append(i)
+                    blocks.append(int(block[own[part[0]]]))
+                    rounds.append(int(turn[part[0]]))
+                    leaves.append(own[part].tolist())
+            at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)),
-                 pa.array([x for own in leaves for x in own], pa.int32()),
-                 pa.array([i for own in leaves for i in range(len(own))], pa.int32())], names=["query_id", "q", "leaf", "turn"])
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(blocks, pa.int32()), pa.array(rounds, pa.int32()),
+                 pa.array(leaves, pa.list_(pa.int32()))], names=["query_id", "q", "block", "turn", "leaves"])
 
-    visited = stage(queries.mapInArrow(visit, "query_id long, q array<double>, leaf int, turn int"), "visits")
+    visited = stage(queries.mapInArrow(visit, "query_id long, q array<double>, block int, turn int, leaves array<int>"), "visits")
     # widening rounds: each visits some times more leaves than those before, and keeps only rows that reach
     # the k-th best score so far, so that a round adds a few times k rows a query, however many it looks at
-    best, turn, until = None, 0, FIRST_LEAVES
+    best, turn = None, 0
     longest = visited.agg(F.max("turn")).first()[0]
     while best is None or turn <= (-1 if longest is None else longest):
-        now = visited.where((F.col("turn") >= turn) & (F.col("turn") < until))
+        now = visited.where(F.col("turn") == turn)
         if best is None:
             now = now.withColumn("floor", F.lit(-float("inf")))
         else:
             reached = best.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
             now = now.join(reached.drop("n"), "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(-float("inf"))))
-        near = _meet(now, index, sizes, k)
+        near = _meet(now, index, sizes, block, k)
         best = stage(_best(near if best is None else best.unionByName(near), k), "best")
-        turn, until = until, until * WIDER
+        turn += 1
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = best.withColumn("rank", F.row_number().over(order)).select("query_id", "rank", "vec_id", "score")
     return Search(found, visits, tree.leaves, calibrated)
@@ -300,28 +314,38 @@ def _best(near: DataFrame, k: int) -> DataFrame:
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
 
 
-def _meet(visited: DataFrame, index: DataFrame, sizes: np.ndarray, k: int) -> DataFrame:
-    """query_id, vec_id, score: of each leaf a query visits, its k best rows from ``floor`` on."""
+def _meet(visited: DataFrame, index: DataFrame, sizes: np.ndarray, block: np.ndarray, k: int) -> DataFrame:
+    """query_id, vec_id, score: of the leaves that a query visits in a block, its k best rows from ``floor`` on."""
     spark = index.sparkSession
-    # a leaf's rows and the queries that visit it are dealt out so that groups stay small: a row a leaf
-    asked = {r["leaf"]: r["count"] for r in visited.groupBy("leaf").count().collect()}
-    dealt = F.broadcast(spark.createDataFrame(
-        [(i, int(-(-max(1, int(n)) // SHARD_ROWS)), int(-(-asked[i] // CHUNK_QUERIES))) for i, n in enumerate(sizes) if i in asked],
-        "leaf int, shards int, chunks int"))
-    q_side = visited.join(dealt, "leaf").select(
-        "query_id", "q", "floor", "leaf", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
+    # a block's rows and the queries that visit it are dealt out so that groups stay small: a row a block, and one a leaf
+    asked = {r["block"]: r["count"] for r in visited.groupBy("block").count().collect()}
+    held = np.bincount(block, sizes, len(sizes) and int(block.max()) + 1).astype(np.int64)
+    dealt = {b: (int(-(-max(1, int(held[b])) // SHARD_ROWS)), int(-(-n // CHUNK_QUERIES))) for b, n in asked.items()}
+    by_block = F.broadcast(spark.createDataFrame([(b, *d) for b, d in dealt.items()], "block int, shards int, chunks int"))
+    by_leaf = F.broadcast(spark.createDataFrame([(i, int(b), *dealt[int(b)]) for i, b in enumerate(block) if int(b) in dealt],
+                                                "leaf int, block int, shards int, chunks int"))
+    q_side = visited.join(by_block, "block").select(
+        "query_id", "q", "floor", "leaves", "block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
         F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int").alias("chunk"))
-    x_side = index.join(dealt, "leaf").select(
-        "vec_id", "vec", "leaf", F.pmod(F.xxhash64("vec_id", "vec", "row"), F.col("shards")).cast("int").alias("shard"),
+    x_side = index.join(by_leaf, "leaf").select(
+        "vec_id", "vec", "leaf", "block", F.pmod(F.xxhash64("vec_id", "vec", "row"), F.col("shards")).cast("int").alias("shard"),
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
 
-    def meet(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if len(queries) and len(block):
-            out = _score_block(queries["query_id"].to_numpy(), np.stack(queries["q"].to_numpy()), block["vec_id"].to_numpy(),
-                               np.stack(block["vec"].to_numpy()), k, queries["floor"].to_numpy())
-        else:
-            out = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), out)))
-
-    by = ["leaf", "shard", "chunk"]
+    def meet(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        if len(queries) and len(rows):
+            q_ids, q, floor = queries["query_id"].to_numpy(), np.stack(queries["q"].to_numpy()), queries["floor"].to_numpy()
+            ids, x, leaf = rows["vec_id"].to_numpy(), np.stack(rows["vec"].to_numpy()), rows["leaf"].to_numpy()
+            wanted = np.concatenate(queries["leaves"].to_list())
+            asking = np.repeat(np.arange(len(queries)), queries["leaves"].map(len))
+            for own in np.unique(leaf):
+                who, there = asking[wanted == own], leaf == own
+                out.append(_score_block(q_ids[who], q[who], ids[there], x[there], k, floor[who]))
+        query, vec, score = (np.concatenate(c) for c in zip(*out))
+        order = np.lexsort((vec, -score, query))
+        query, vec, score = query[order], vec[order], score[order]
+        best = np.arange(len(query)) - np.searchsorted(query, query) < k
+        return pd.DataFrame({"query_id": query[best], "vec_id": vec[best], "score": score[best]})
+
+    by = ["block", "shard", "chunk"]
     return q_side.groupBy(*by).cogroup(x_side.groupBy(*by)).applyInPandas(meet, "query_id long, vec_id long, score double")
