@@ -182,3 +182,42 @@ def test_keys_are_dealt_out_before_their_bits(spark):
     assert filters.count() == 2 * 4
     asked = rows.where("a < 10").select("a")
     assert keyindex.candidates(filters, asked, ["a"], ["part"]).count() == 2
+
+
+def _dealt(filters):
+    """Tasks that keys are dealt to, and rows of the key index's bits."""
+    filters.collect()
+    plan, found = filters._jdf.queryExecution().executedPlan(), {}
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        if name == "Generate":
+            found["bits"] = node.metrics().apply("numOutputRows").value()
+        if name == "Exchange" and "REPARTITION_BY_NUM" in node.toString():
+            found["tasks"] = node.outputPartitioning().numPartitions()
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan)
+    return found
+
+
+def test_key_index_tasks_grow_with_keys(spark, monkeypatch):
+    """However few shuffle partitions there are, a task sorts the bits of a bounded number of keys."""
+    rows = spark.range(5000, numPartitions=2).selectExpr("id AS a", "CAST(id % 2 AS INT) AS part")
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _dealt(keyindex.build(rows, ["a"], ["part"])) == {"tasks": few, "bits": 5000 * keyindex.PROBES}
+    monkeypatch.setattr(keyindex, "TASK_KEYS", 100)
+    assert few < 50 and _dealt(keyindex.build(rows, ["a"], ["part"])) == {"tasks": 50, "bits": 5000 * keyindex.PROBES}
+
+
+def test_a_key_of_many_rows_sets_its_bits_once(spark):
+    rows = spark.range(4000, numPartitions=2).selectExpr("IF(id < 3000, NULL, id) AS a", "CAST(id % 2 AS INT) AS part")
+    filters = keyindex.build(rows, ["a"], ["part"])
+    assert _dealt(filters)["bits"] == (1000 + 2) * keyindex.PROBES
+    for asked in ("CAST(NULL AS BIGINT) AS a", "3001L AS a"):
+        assert keyindex.candidates(filters, spark.range(1).selectExpr(asked), ["a"], ["part"]).count() >= 1
